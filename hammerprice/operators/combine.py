@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hammerprice.session import materialize
+
 _CHUNK = 100_000
 
 
@@ -28,21 +30,28 @@ def align_full(frames: list[DataFrame], sort: bool = False) -> DataFrame:
     twice = sorted({c for c in extras if extras.count(c) > 1})
     if twice:
         raise ValueError(f"columns outside the key occur in several frames: {twice}")
-    if extras:
-        joined = reduce(lambda a, b: _full_outer(a, b, shared), frames)
-    else:
-        joined = _align_identical(frames, shared)
+    joined = _align_with_extras(frames, shared) if extras else _align_identical(frames, shared)
     return joined.orderBy(*shared) if sort else joined
 
 
+def _align_with_extras(frames: list[DataFrame], on: list[str]) -> DataFrame:
+    joined = _full_outer(frames[0], frames[1], on) if len(frames) > 1 else frames[0]
+    for frame in frames[2:]:
+        # Each step reads its left side three times, so it starts from a written table.
+        joined = _full_outer(materialize(joined, "aligned"), frame, on)
+    return joined
+
+
 def _full_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer join as left join plus unmatched right rows.
+    """Full outer join as its three parts.
 
-    Adaptive execution can split a hot key in left and anti joins, but not in a full outer join.
+    Adaptive execution splits a hot key on either side of an inner join and on the left of an anti join,
+    but cannot split a full outer join. The anti joins look keys up in distinct keys, which are never hot.
     """
-    matched = left.join(right, on, "left")
-    unmatched = right.join(left.select(*on), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    matched = left.join(right, on)
+    only_left = left.join(right.select(*on).distinct(), on, "left_anti")
+    only_right = right.join(left.select(*on).distinct(), on, "left_anti")
+    return union_all([matched, only_left, only_right])
 
 
 def _align_identical(frames: list[DataFrame], columns: list[str]) -> DataFrame:
@@ -69,7 +78,7 @@ def _align_identical(frames: list[DataFrame], columns: list[str]) -> DataFrame:
         counted.where(F.col("_copies") > _CHUNK)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_CHUNK}"))))
         .withColumn("_copies", F.least(F.lit(_CHUNK), F.col("_copies") - F.col("_chunk") * _CHUNK))
-        .repartition()
+        .repartition(int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions")))
     )
     many = _repeat_rows(chunked, F.col("_copies"), columns)
     return few.unionByName(many)

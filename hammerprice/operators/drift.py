@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hammerprice.operators.columns import text_columns
@@ -28,25 +28,33 @@ def percent_grid(buckets: int) -> list[float]:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n) of the non-missing numbers; combined map-side, one scan for all columns."""
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return (
-        numbers.unpivot([], list(columns), "column", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """(column, value, n) of the numbers in each column, missing ones as NULL, in durable form.
+
+    Combined map-side, so a hot value costs no more than a rare one; one scan serves all columns.
+    """
+    numbers = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(math.nan)).alias(c) for c in columns])
+    long = numbers.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
     )
+    return materialize(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES_PER_TASK
 ) -> dict[str, list[float]]:
-    """Exact, linearly interpolated quantiles per column.
+    """Exact, linearly interpolated quantiles per column."""
+    return quantiles_of_counts(value_counts(df, columns), columns, probabilities, max_values)
+
+
+def quantiles_of_counts(
+    counted: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES_PER_TASK
+) -> dict[str, list[float]]:
+    """The same from `value_counts`: missing values are left out.
 
-    Rows shrink to distinct values with counts first. Columns with few distinct values then need one
-    aggregate over those; for the others the wanted ranks are located by range (`_search_ranks`).
+    Columns with few distinct values need one aggregate over those; for the others the wanted ranks are
+    located by range (`_search_ranks`).
     """
-    counted = materialize(value_counts(df, columns), "value-counts")
+    counted = counted.where(F.col("value").isNotNull())
     sizes = {
         row["column"]: row
         for row in counted.groupBy("column").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()
@@ -120,24 +128,29 @@ def quantile_table(df: DataFrame, columns: Sequence[str], buckets: int = 10) ->
 # ---- histograms and the population stability index ----
 
 
-def histogram_shares(expected: DataFrame, actual: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+def histogram_shares(counted: DataFrame, actual: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     """(column, bin, lower, upper, expected_count, actual_count, expected_share, actual_share).
 
-    Bins are ``[lower, upper)``, the last one closed. Values outside every bin, and missing ones, are in
-    no count but in the denominator of the shares. One scan of both tables, no row is shuffled.
+    The expected side comes as its `value_counts`, which finding the edges needed anyway, so that the
+    large training table is scanned once. Bins are ``[lower, upper)``, the last one closed. Values outside
+    every bin, and missing ones, are in no count but in the denominator of the shares.
     """
-    columns = list(edges)
-    both = _tagged(expected, actual, [F.col(c).cast("double").alias(c) for c in columns])
     bins = [
         (c, i, float(lo), float(hi), i == len(edges[c]) - 2)
-        for c in columns
+        for c in edges
         for i, (lo, hi) in enumerate(zip(edges[c][:-1], edges[c][1:]))
     ]
-    counts = []
-    for k, (c, _, lo, hi, closed) in enumerate(bins):
-        below = F.col(c) <= hi if closed else F.col(c) < hi
-        counts.append(F.count_if((F.col(c) >= lo) & below).alias(f"b{k}"))
-    wide = both.groupBy("_expected").agg(F.count(F.lit(1)).alias("_rows"), *counts)
+    inside = lambda value, lo, hi, closed: (value >= lo) & (value <= hi if closed else value < hi)
+    of = lambda c: F.col("column") == c
+    expected_bins = [
+        F.sum(F.when(of(c) & inside(F.col("value"), lo, hi, closed), F.col("n")).otherwise(0))
+        for c, _, lo, hi, closed in bins
+    ]
+    actual_bins = [F.count_if(inside(F.col(c).cast("double"), lo, hi, closed)) for c, _, lo, hi, closed in bins]
+    expected_rows = F.sum(F.when(of(next(iter(edges))), F.col("n")).otherwise(0))
+    sides = _one_row(counted, True, expected_rows, expected_bins).unionAll(
+        _one_row(actual, False, F.count(F.lit(1)), actual_bins)
+    )
     rows = F.array(
         *[
             F.struct(
@@ -150,19 +163,22 @@ def histogram_shares(expected: DataFrame, actual: DataFrame, edges: Mapping[str,
             for k, (c, i, lo, hi, _) in enumerate(bins)
         ]
     )
-    long = wide.select("_expected", "_rows", F.inline(rows))
-    sided = lambda side, value: F.coalesce(F.sum(F.when(F.col("_expected") == side, value)), F.lit(0))
-    return long.groupBy("column", "bin", "lower", "upper").agg(
-        sided(True, F.col("n")).alias("expected_count"),
-        sided(False, F.col("n")).alias("actual_count"),
-        sided(True, F.col("n") / F.col("_rows")).alias("expected_share"),
-        sided(False, F.col("n") / F.col("_rows")).alias("actual_share"),
+    side = lambda expected, value: F.coalesce(F.sum(F.when(F.col("_expected") == expected, value)), F.lit(0))
+    return (
+        sides.select("_expected", "_rows", F.inline(rows))
+        .groupBy("column", "bin", "lower", "upper")
+        .agg(
+            side(True, F.col("n")).alias("expected_count"),
+            side(False, F.col("n")).alias("actual_count"),
+            side(True, F.try_divide("n", "_rows")).alias("expected_share"),
+            side(False, F.try_divide("n", "_rows")).alias("actual_share"),
+        )
     )
 
 
-def _tagged(expected: DataFrame, actual: DataFrame, columns: list) -> DataFrame:
-    return expected.select(F.lit(True).alias("_expected"), *columns).unionAll(
-        actual.select(F.lit(False).alias("_expected"), *columns)
+def _one_row(df: DataFrame, expected: bool, rows: Column, counts: list[Column]) -> DataFrame:
+    return df.agg(
+        F.lit(expected).alias("_expected"), rows.alias("_rows"), *[n.alias(f"b{k}") for k, n in enumerate(counts)]
     )
 
 
@@ -200,8 +216,9 @@ def population_stability(
     limit: float = PSI_LIMIT,
     on_degenerate: str = "reference",
 ) -> DataFrame:
-    edges = exact_quantiles(expected, columns, percent_grid(buckets))
-    return psi_from_shares(histogram_shares(expected, actual, edges), limit, on_degenerate)
+    counted = value_counts(expected, columns)
+    edges = quantiles_of_counts(counted, columns, percent_grid(buckets))
+    return psi_from_shares(histogram_shares(counted, actual, edges), limit, on_degenerate)
 
 
 # ---- categories ----
@@ -210,9 +227,11 @@ def population_stability(
 def category_presence(train: DataFrame, test: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, value, in_train, in_test) of every text value; one map-side combined pass over both."""
     columns = list(columns or text_columns(train))
+    both = train.select(F.lit(True).alias("_expected"), *columns).unionAll(
+        test.select(F.lit(False).alias("_expected"), *columns)
+    )
     return (
-        _tagged(train, test, [F.col(c) for c in columns])
-        .unpivot(["_expected"], columns, "column", "value")
+        both.unpivot(["_expected"], columns, "column", "value")
         .groupBy("column", "value")
         .agg(F.bool_or("_expected").alias("in_train"), F.bool_or(~F.col("_expected")).alias("in_test"))
     )

@@ -10,18 +10,26 @@ from hammerprice.session import materialize
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
-def with_row_index(df: DataFrame, order: list[str], index: str = "row_index", partitions: int | None = None):
+def with_row_index(
+    df: DataFrame, order: list[str], index: str = "row_index", spread_ties: bool = False
+) -> DataFrame:
     """Dense 0-based position of each row in the total order of `order`.
 
     The rows are range-partitioned on the whole key, so one hot month (or any other leading value) is
     spread over many tasks, and each partition numbers its own rows; the only shared state is one row
-    count per partition. `order` must be unique for a repeatable result. The sorted rows are written to
-    the shared scratch folder: both uses of them must see the same partitions.
+    count per partition. `order` must be unique for a repeatable result; where it may not be,
+    `spread_ties` adds a random last key, so that many rows with equal keys do not meet in one task. The
+    sorted rows are written to the shared scratch folder: both uses of them must see the same partitions.
     """
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    numbered = ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    keys = [F.col(c) for c in order]
+    if spread_ties:
+        df = df.withColumn("_tie", F.rand(0))
+        keys.append(F.col("_tie"))
+    columns = [c for c in df.columns if c != "_tie"]
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    numbered = ranged.select(*columns, F.monotonically_increasing_id().alias("_id"))
     saved = materialize(numbered, "row-index").select(
-        *df.columns,
+        *columns,
         F.shiftright("_id", _POSITION_BITS).alias("_part"),
         F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
     )
@@ -33,7 +41,7 @@ def with_row_index(df: DataFrame, order: list[str], index: str = "row_index", pa
     table = df.sparkSession.createDataFrame(offsets, "_part bigint, _offset bigint")
     # One offset per shuffle partition: always small enough to broadcast.
     return saved.join(F.broadcast(table), "_part").select(
-        *df.columns, (F.col("_offset") + F.col("_pos")).alias(index)
+        *columns, (F.col("_offset") + F.col("_pos")).alias(index)
     )
 
 
