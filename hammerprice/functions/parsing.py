@@ -11,7 +11,7 @@ _JAVA_LITERAL = r"[0-9.][dDfF]\s*$|[xX]"
 
 def to_double(text: Column) -> Column:
     """Number, or NULL where the text is none ("NaN" counts as missing)."""
-    number = F.nullif(text.try_cast("double"), F.lit(float("nan")))
+    number = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
     return F.when(~text.rlike(_JAVA_LITERAL), number)
 
 

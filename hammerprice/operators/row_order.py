@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,39 +12,70 @@ from hammerprice.session import materialize
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
-def with_row_index(
-    df: DataFrame, order: list[str], index: str = "row_index", spread_ties: bool = False
-) -> DataFrame:
-    """Dense 0-based position of each row in the total order of `order`.
+@dataclass(frozen=True)
+class OrderedRows:
+    """Rows in a total order, stored so that a row position is a literal bound on a column.
+
+    `frame` carries ``_id``: the number of the sorted partition and the position in it, which grow with
+    the row position. `offsets` has the first row position of each partition.
+    """
 
-    The rows are range-partitioned on the whole key, so one hot month (or any other leading value) is
-    spread over many tasks, and each partition numbers its own rows; the only shared state is one row
-    count per partition. `order` must be unique for a repeatable result; where it may not be,
-    `spread_ties` adds a random last key, so that many rows with equal keys do not meet in one task. The
-    sorted rows are written to the shared scratch folder: both uses of them must see the same partitions.
+    frame: DataFrame
+    offsets: list[tuple[int, int]]
+    rows: int
+
+    def indexed(self, index: str = "row_index") -> DataFrame:
+        """The rows with their dense 0-based position."""
+        table = self.frame.sparkSession.createDataFrame(self.offsets, "_part bigint, _offset bigint")
+        position = F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+        # One offset per shuffle partition: always small enough to broadcast.
+        return (
+            self.frame.withColumn("_part", F.shiftright("_id", _POSITION_BITS))
+            .join(F.broadcast(table), "_part")
+            .withColumn(index, F.col("_offset") + position)
+            .drop("_part", "_offset", "_id")
+        )
+
+    def between(self, start: int, stop: int) -> DataFrame:
+        """Rows at positions ``start <= position < stop``; the bounds reach the Parquet scan."""
+        inside = (F.col("_id") >= self._id_at(start)) & (F.col("_id") < self._id_at(stop))
+        return self.frame.where(inside).drop("_id")
+
+    def all(self) -> DataFrame:
+        return self.frame.drop("_id")
+
+    def _id_at(self, row: int) -> int:
+        part, offset = [o for o in self.offsets if o[1] <= row][-1]
+        return (part << _POSITION_BITS) + row - offset
+
+
+def order_rows(df: DataFrame, order: list[str], spread_ties: bool = False) -> OrderedRows:
+    """Put the rows into the total order of `order`.
+
+    They are range-partitioned on the whole key, so one hot month (or any other leading value) spreads
+    over many tasks, and each partition numbers its own rows; the only shared state is one row count per
+    partition. `order` must be unique for a repeatable result; where it may not be, `spread_ties` adds a
+    random last key, so that many rows with equal keys do not meet in one task. The sorted rows are
+    written to the shared scratch folder: all uses of them must see the same partitions.
     """
     keys = [F.col(c) for c in order]
+    columns = df.columns
     if spread_ties:
         df = df.withColumn("_tie", F.rand(0))
         keys.append(F.col("_tie"))
-    columns = [c for c in df.columns if c != "_tie"]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    numbered = ranged.select(*columns, F.monotonically_increasing_id().alias("_id"))
-    saved = materialize(numbered, "row-index").select(
-        *columns,
-        F.shiftright("_id", _POSITION_BITS).alias("_part"),
-        F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
-    )
-    sizes = saved.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
-    offsets, total = [], 0
-    for part, n in sorted((row["_part"], row["n"]) for row in sizes):
-        offsets.append((part, total))
-        total += n
-    table = df.sparkSession.createDataFrame(offsets, "_part bigint, _offset bigint")
-    # One offset per shuffle partition: always small enough to broadcast.
-    return saved.join(F.broadcast(table), "_part").select(
-        *columns, (F.col("_offset") + F.col("_pos")).alias(index)
-    )
+    saved = materialize(ranged.select(*columns, F.monotonically_increasing_id().alias("_id")), "row-order")
+    sizes = saved.groupBy(F.shiftright("_id", _POSITION_BITS).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    offsets, rows = [], 0
+    for part, n in sorted((row["part"], row["n"]) for row in sizes):
+        offsets.append((part, rows))
+        rows += n
+    return OrderedRows(saved, offsets, rows)
+
+
+def with_row_index(df: DataFrame, order: list[str], index: str = "row_index") -> DataFrame:
+    """Dense 0-based position of each row in the total order of `order`, which must be unique."""
+    return order_rows(df, order).indexed(index)
 
 
 def fold_size(rows: int, folds: int) -> int:
@@ -70,17 +103,15 @@ def shuffle_key(seed: int, *parts: Column) -> Column:
     return F.conv(F.left(F.md5(text), F.lit(15)), 16, 10).cast("bigint")
 
 
-def shuffled_donors(
-    indexed: DataFrame, rows: int, columns: list[str], repeats: int, seed: int, index: str = "row_index"
-) -> DataFrame:
+def shuffled_donors(ordered: OrderedRows, columns: list[str], repeats: int, seed: int) -> DataFrame:
     """(repeat, row_index, columns...): per repeat, the rows' values dealt out in a random order.
 
     All repeats are ordered by one range shuffle; position j of repeat r goes to row j. Each repeat is a
     permutation, so a column keeps its multiset of values.
     """
-    copies = indexed.select(index, *columns).withColumn(
-        "repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+    copies = ordered.indexed("_from").select(
+        "_from", *columns, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat")
     )
-    keyed = copies.withColumn("_key", shuffle_key(seed, F.col("repeat"), F.col(index)))
-    ranked = with_row_index(keyed, ["repeat", "_key", index], "_rank")
-    return ranked.select("repeat", (F.col("_rank") - F.col("repeat") * rows).alias(index), *columns)
+    keyed = copies.withColumn("_key", shuffle_key(seed, F.col("repeat"), F.col("_from")))
+    ranked = with_row_index(keyed, ["repeat", "_key", "_from"], "_rank")
+    return ranked.select("repeat", (F.col("_rank") - F.col("repeat") * ordered.rows).alias("row_index"), *columns)

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hammerprice.session import spread
+
 ANCHOR = dt.date(1995, 1, 1)
 WORD = "ECON"
 TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]  # unique together
@@ -23,7 +25,7 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with the raw text columns, plus the unique tie-breakers."""
     joined = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))

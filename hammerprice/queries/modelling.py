@@ -20,23 +20,27 @@ from hammerprice.operators.metrics import regression_report as report
 from hammerprice.operators.splits import relative_month_split
 from hammerprice.queries.frame import TIES, rounded, table
 from hammerprice.queries.registry import query
-from hammerprice.session import scratch_path
+from hammerprice.session import materialize, scratch_path, spread
 from hammerprice.sources.model_registry import current_champion, promote_model
 
 LINEAR = {"regressor": "least_squares", "params": {}, "numeric": ["l_partkey", "l_quantity"], "text": []}
 
 
 def priced_lines(spark, sf_dir):
-    """Line items with the list price of their part as label, and the order month."""
+    """Line items with the list price of their part as label, and the order month, stored as a table.
+
+    Fitting and scoring read it several times; the joins run once.
+    """
     joined = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    return joined.select(
+    lines = joined.select(
         *TIES, "l_quantity", "p_size", "p_type", "p_retailprice",
         F.trunc("o_orderdate", "month").alias("month"),
     )
+    return materialize(lines, "priced-lines")
 
 
 PRICED_SQL = """

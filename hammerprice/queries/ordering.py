@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hammerprice.operators.row_order import fold_of, shuffled_donors, with_row_index
+from hammerprice.operators.row_order import fold_of, order_rows, shuffled_donors, with_row_index
 from hammerprice.queries.frame import table
 from hammerprice.queries.registry import query
 
@@ -35,8 +35,8 @@ FROM i, n
 )
 def fold_index(spark, sf_dir):
     """Which of five expanding folds validates on a row."""
-    indexed = with_row_index(_by_month(spark, sf_dir), ["month", "o_orderkey"]).drop("month")
-    return indexed.withColumn("fold", fold_of(F.col("row_index"), indexed.count(), 5))
+    ordered = order_rows(_by_month(spark, sf_dir), ["month", "o_orderkey"])
+    return ordered.indexed().drop("month").withColumn("fold", fold_of(F.col("row_index"), ordered.rows, 5))
 
 
 @query(
@@ -52,5 +52,5 @@ FROM k
 )
 def shuffled_rows(spark, sf_dir):
     """Three repeatable permutations of a table."""
-    parts = with_row_index(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), ["p_partkey"])
-    return shuffled_donors(parts, parts.count(), ["p_partkey", "p_brand"], repeats=3, seed=42)
+    parts = order_rows(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), ["p_partkey"])
+    return shuffled_donors(parts, ["p_partkey", "p_brand"], repeats=3, seed=42)

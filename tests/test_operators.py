@@ -1,0 +1,376 @@
+import datetime as dt
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hammerprice.operators import drift
+from hammerprice.operators.combine import align_full, is_subset, union_all, values_missing_from
+from hammerprice.operators.contracts import (
+    ContractError,
+    accepted,
+    domain_table,
+    rejected,
+    require_columns,
+    require_filled_splits,
+    require_no_nulls,
+    validate_records,
+    values_outside_domain,
+)
+from hammerprice.operators.metrics import r2, rmse
+from hammerprice.operators.profiling import band_summary, distinct_lists, min_max_count, newly_null, null_counts
+from hammerprice.operators.row_order import fold_of, fold_size, fold_start, order_rows, shuffled_donors
+from hammerprice.operators.splits import (
+    from_month,
+    label_splits,
+    month_before,
+    relative_month_rules,
+    relative_month_split,
+    year_rules,
+)
+
+
+def frame(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+# ---- combine ----
+
+
+def test_union_by_name(spark):
+    a = frame(spark, [(1, "x")], "a int, b string")
+    b = frame(spark, [("y", 2)], "b string, a int")
+    c = frame(spark, [(3,)], "a int")
+    assert rows_of(union_all([a, b, c])) == [(1, "x"), (2, "y"), (3, None)]
+
+
+def outer(left, right, on, extra_left, extra_right):
+    """Full outer join of lists of dicts by brute force; None matches nothing."""
+    out, matched = [], set()
+    for a in left:
+        hits = [j for j, b in enumerate(right) if all(a[k] is not None and a[k] == b[k] for k in on)]
+        matched.update(hits)
+        out += [{**{c: None for c in extra_right}, **right[j], **a} for j in hits] or [{**{c: None for c in extra_right}, **a}]
+    out += [{**{c: None for c in extra_left}, **b} for j, b in enumerate(right) if j not in matched]
+    return out
+
+
+def test_align_full_with_extras(spark):
+    a = [{"k": 1, "x": 1}, {"k": 1, "x": 2}, {"k": 2, "x": 3}, {"k": None, "x": 4}]
+    b = [{"k": 1, "y": 5}, {"k": 1, "y": 6}, {"k": 3, "y": 7}, {"k": None, "y": 8}]
+    c = [{"k": 3, "z": 9}, {"k": 1, "z": 10}, {"k": 5, "z": 11}]
+    two = outer(a, b, ["k"], ["x"], ["y"])
+    three = outer(two, c, ["k"], ["x", "y"], ["z"])
+    frames = [
+        frame(spark, [tuple(r.values()) for r in rows], f"k int, {name} int") for rows, name in ((a, "x"), (b, "y"), (c, "z"))
+    ]
+    got = align_full(frames, sort=True).select("k", "x", "y", "z").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((r["k"], r["x"], r["y"], r["z"]) for r in three), key=str)
+    keys = [r["k"] for r in got]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k))
+
+
+@pytest.mark.parametrize("chunk", [2, 100_000])
+def test_align_full_of_identical_columns(spark, monkeypatch, chunk):
+    from hammerprice.operators import combine
+
+    monkeypatch.setattr(combine, "_CHUNK", chunk)
+    a = [("p", 1)] * 3 + [("q", 2)] + [("r", None)] * 2
+    b = [("p", 1)] * 2 + [("s", 3)] * 5 + [("r", None)]
+    c = [("p", 1)] * 2 + [("q", 2)] * 2 + [("s", 3)]
+    dicts = [[dict(zip("kv", r)) for r in x] for x in (a, b, c)]
+    want = outer(outer(dicts[0], dicts[1], ["k", "v"], [], []), dicts[2], ["k", "v"], [], [])
+    got = align_full([frame(spark, x, "k string, v int") for x in (a, b, c)])
+    assert rows_of(got) == sorted(((r["k"], r["v"]) for r in want), key=str)
+
+
+def test_align_full_refuses(spark):
+    a, b = frame(spark, [(1, 2)], "k int, x int"), frame(spark, [(1, 2)], "k int, x int")
+    with pytest.raises(ValueError, match="share no column"):
+        align_full([a.select("k"), b.select("x")])
+    c = frame(spark, [(1,)], "k int")
+    with pytest.raises(ValueError, match="several frames"):
+        align_full([a, b, c])
+
+
+def test_sets(spark):
+    a, b = frame(spark, [("b",), ("c",), (None,)], "v string"), frame(spark, [("a",), ("b",)], "v string")
+    assert rows_of(values_missing_from(a, b)) == [("c",), (None,)] or rows_of(values_missing_from(a, b)) == [(None,), ("c",)]
+    assert not is_subset(a, b) and is_subset(b.where("v = 'b'"), a)
+
+
+# ---- contracts ----
+
+
+def test_contracts(spark):
+    df = frame(spark, [("x", None)], "a string, b string")
+    assert require_columns(df, ["b", "a"]) is df
+    with pytest.raises(ContractError, match=r"missing \['c'\], extra \['b'\]"):
+        require_columns(df, ["a", "c"])
+    assert require_no_nulls(df, ["a"]) is df
+    with pytest.raises(ContractError, match="'b': 1"):
+        require_no_nulls(df, ["a", "b"])
+    with pytest.raises(ContractError, match="test"):
+        require_filled_splits({"train": 1, "test": 0}, ["train", "test"])
+
+
+def test_domain(spark):
+    df = frame(spark, [("Bedok",), ("BEDOK",), ("BEDOK",), (None,)], "town string")
+    got = rows_of(values_outside_domain(df, domain_table(spark), ["town"]))
+    assert got == sorted([("town", "BEDOK", 2), ("town", None, 1)], key=str)
+
+
+GOOD = (
+    '{"flat_age_years": 46, "floor_area_sqm": 44.0, "days_from_earliest_data": 4323, "flat_type": "2 Room", '
+    '"flat_model_revised": "Improved", "town": "Ang Mo Kio", "storey_range_grouped": "1-15"}'
+)
+
+
+@pytest.mark.parametrize(
+    "change, bad",
+    [
+        (("46", "46"), []), (("46", "46.0"), []), (("46", '"46"'), []), (("44.0", "44"), []), (("44.0", '"44.5"'), []),
+        (("46", "46.5"), ["flat_age_years"]), (("46", "null"), ["flat_age_years"]), (("44.0", '"x"'), ["floor_area_sqm"]),
+        (('"2 Room"', "2"), ["flat_type"]), (('"town"', '"place"'), ["town"]), (("{", "{{"), None),
+    ],
+)
+def test_record_validation(spark, change, bad):
+    text = GOOD.replace(*change, 1)
+    checked = validate_records(frame(spark, [(text,)], "raw string"), "raw")
+    fields = checked.first()["rejected_fields"]
+    assert len(fields) == 7 if bad is None else fields == bad
+    assert accepted(checked).count() + rejected(checked, "raw").count() == 1
+
+
+def test_record_without_storey_band_is_rejected(spark):
+    text = GOOD.replace(', "storey_range_grouped": "1-15"', "")
+    assert validate_records(frame(spark, [(text,)], "raw string"), "raw").first()["rejected_fields"] == ["storey_range_grouped"]
+
+
+# ---- profiles ----
+
+
+def test_band_summary_keeps_empty_bands(spark):
+    df = frame(spark, [("1-15", 3), ("1-15", 9), (None, 120)], "storey_range_grouped string, storey_max int")
+    assert [tuple(r) for r in band_summary(df).collect()] == [("1-15", 3, 9, 2), ("16-30", None, None, 0), ("31+", None, None, 0)]
+
+
+def test_lists_and_ranges(spark):
+    df = frame(spark, [(2000, "b", "x"), (2000, "a", "x"), (1999, None, "y")], "k int, m string, t string")
+    assert [tuple(r) for r in distinct_lists(df, "k", {"ms": "m", "ts": "t"}).collect()] == [(1999, [], ["y"]), (2000, ["a", "b"], ["x"])]
+    assert [tuple(r) for r in min_max_count(df, "t", "k", ("lo", "hi", "n"), order="hi").collect()] == [("y", 1999, 1999, 1), ("x", 2000, 2000, 2)]
+
+
+def test_null_reports(spark):
+    df = frame(spark, [("a", "1", None), ("a", "x", "2"), ("b", None, "3")], "s string, p string, q string")
+    assert rows_of(null_counts(df, by="s")) == [("a", 2, "p", 0), ("a", 2, "q", 1), ("b", 1, "p", 1), ("b", 1, "q", 0)]
+    typed = df.select(F.col("p").try_cast("double").alias("p"))
+    assert [tuple(r) for r in newly_null(df, typed, ["p"]).collect()] == [("p", 1, 2, 1)]
+
+
+# ---- splits ----
+
+
+def months(spark, texts):
+    return frame(spark, [(dt.date.fromisoformat(f"{t}-01"),) for t in texts], "month date")
+
+
+def test_relative_split(spark):
+    df = months(spark, ["2025-01", "2025-02", "2025-03", "2025-04"])
+    counts = {name: part.count() for name, part in relative_month_split(df).items()}
+    assert counts == {"train": 2, "test": 1, "retrain_test": 1}
+
+
+def test_month_gap_leaves_test_empty(spark):
+    df = months(spark, ["2025-01", "2025-02", "2025-04"])
+    counts = {name: part.count() for name, part in relative_month_split(df).items()}
+    assert counts == {"train": 2, "test": 0, "retrain_test": 1}
+
+
+def test_month_before():
+    assert month_before(dt.date(2025, 3, 31)) == dt.date(2025, 2, 28)
+    assert month_before(dt.date(2025, 1, 1)) == dt.date(2024, 12, 1)
+
+
+def test_year_split(spark):
+    df = months(spark, ["2011-12", "2012-01", "2023-12", "2024-01", "2024-12", "2025-01"])
+    got = {str(r["month"])[:7]: r["split"] for r in label_splits(df, year_rules()).collect()}
+    assert got == {"2012-01": "train", "2023-12": "train", "2024-01": "test", "2024-12": "test", "2025-01": "deploy"}
+    assert from_month(df, dt.date(2024, 1, 1)).count() == 3
+
+
+def test_split_rules_reach_the_scan(spark, tmp_path):
+    months(spark, ["2025-01", "2025-02"]).write.parquet(str(tmp_path / "m"))
+    df = spark.read.parquet(str(tmp_path / "m"))
+    plan = df.where(relative_month_rules(dt.date(2025, 2, 1))["train"])._jdf.queryExecution().toString()
+    assert "LessThan(month,2025-01-01)" in plan
+
+
+# ---- order ----
+
+
+@pytest.mark.parametrize(
+    "rows, size, starts", [(15_000, 2_500, [2500, 5000, 7500, 10000, 12500]), (17, 2, [7, 9, 11, 13, 15])]
+)
+def test_folds(rows, size, starts):
+    assert fold_size(rows, 5) == size
+    assert [fold_start(rows, 5, i) for i in range(5)] == starts
+
+
+def test_too_few_rows_for_folds():
+    with pytest.raises(ValueError):
+        fold_size(5, 5)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Keep tiny shuffles from being merged into one partition."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
+def test_row_order_with_a_hot_month(spark, many_partitions):
+    """A third of the rows in one month still spreads over partitions, and the positions are exact."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, dt.date(2020, 1, 1)).otherwise(F.date_add(F.lit(dt.date(2020, 1, 1)), F.col("id").cast("int") % 97)).alias("month"),
+        (F.col("id") * 7919 % 30_011).alias("key"),
+    )
+    ordered = order_rows(df, ["month", "key"])
+    got = ordered.indexed().orderBy("row_index").collect()
+    assert [r["row_index"] for r in got] == list(range(30_000))
+    assert [(r["month"], r["key"]) for r in got] == sorted((r["month"], r["key"]) for r in got)
+    sizes = [b - a for (_, a), (_, b) in zip(ordered.offsets, ordered.offsets[1:])]
+    assert len(ordered.offsets) == 8 and max(sizes) < 10_000
+    part = ordered.between(9_000, 21_000)
+    assert sorted((r["month"], r["key"]) for r in part.collect()) == [(r["month"], r["key"]) for r in got[9_000:21_000]]
+    assert ordered.between(0, 30_000).count() == 30_000 and ordered.between(5, 5).count() == 0
+    assert "GreaterThanOrEqual(_id" in part._jdf.queryExecution().toString()
+
+
+def test_row_order_with_copies(spark, many_partitions):
+    """Rows that are equal in every column spread too."""
+    df = spark.range(20_000).select(F.lit("a").alias("k"))
+    ordered = order_rows(df, ["k"], spread_ties=True)
+    assert ordered.rows == 20_000 and len(ordered.offsets) == 8
+    assert ordered.between(5_000, 12_000).count() == 7_000
+
+
+def test_fold_column(spark):
+    got = [r[0] for r in spark.range(17).select(fold_of(F.col("id"), 17, 5).alias("f")).orderBy("id").collect()]
+    assert got == [-1] * 7 + [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+
+
+def test_shuffle_is_a_repeatable_permutation(spark):
+    df = spark.range(2_000).select("id", (F.col("id") % 10).alias("v"))
+    ordered = order_rows(df, ["id"])
+    donors = shuffled_donors(ordered, ["id", "v"], 3, 42).collect()
+    again = shuffled_donors(order_rows(df.repartition(5), ["id"]), ["id", "v"], 3, 42).collect()
+    assert sorted(map(tuple, donors)) == sorted(map(tuple, again))
+    for repeat in range(3):
+        mine = [r for r in donors if r["repeat"] == repeat]
+        assert sorted(r["row_index"] for r in mine) == list(range(2_000)) == sorted(r["id"] for r in mine)
+        assert sum(r["row_index"] == r["id"] for r in mine) < 20
+
+
+# ---- drift ----
+
+
+def numbers(spark, values):
+    return frame(spark, [(float(v) if v is not None else None,) for v in values], "x double")
+
+
+@pytest.mark.parametrize("max_values", [1_000_000, 0])
+def test_quantiles_are_those_of_numpy(spark, max_values):
+    rng = np.random.default_rng(1)
+    columns = {"few": rng.integers(1, 30, 5_000).astype(float), "many": rng.normal(size=5_000)}
+    columns["few"][: 5_000 // 3] = 7.0
+    df = frame(spark, [tuple(map(float, r)) for r in zip(*columns.values())], "few double, many double")
+    grid = [0, 0.001, 0.1, 0.25, 0.5, 0.9, 0.999, 1]
+    got = drift.exact_quantiles(df, list(columns), grid, max_values)
+    for name, values in columns.items():
+        assert got[name] == pytest.approx(np.percentile(values, [100 * p for p in grid]), abs=1e-11)
+
+
+def test_quantile_interpolation(spark):
+    assert drift.exact_quantiles(numbers(spark, [1, 2, 3, 10]), ["x"], [0, 0.1, 0.5, 1])["x"] == pytest.approx([1, 1.3, 2.5, 10])
+
+
+def shares(spark, expected, actual, edges):
+    counted = drift.value_counts(numbers(spark, expected), ["x"])
+    rows = drift.histogram_shares(counted, numbers(spark, actual), {"x": edges}).orderBy("bin").collect()
+    return [tuple(r[c] for c in ("expected_count", "actual_count", "expected_share", "actual_share")) for r in rows]
+
+
+def test_histogram(spark):
+    got = shares(spark, [1, 2, 2, 3, 3, 3], [-1, 1, 2, 9], [1, 2, 2, 3, 3])
+    assert [g[0] for g in got] == [1, 0, 2, 3]
+    outside = shares(spark, [-1, 1, 2, 9], [-1, 1, 2, 9, None], [1, 2, 3])
+    assert [g[:2] for g in outside] == [(1, 1), (1, 1)]
+    assert [g[2] for g in outside] == [0.25, 0.25] and [g[3] for g in outside] == [0.2, 0.2]
+
+
+def psi_of(spark, expected, actual, **options):
+    rows = [("x", i, float(e), float(a)) for i, (e, a) in enumerate(zip(expected, actual))]
+    table = frame(spark, rows, "column string, bin int, expected_share double, actual_share double")
+    return drift.psi_from_shares(table, **options).first()
+
+
+def test_psi_corner_cases(spark):
+    both = psi_of(spark, [0.5, 0.5, 0], [0.6, 0.4, 0])
+    assert math.isnan(both["psi"]) and not both["failed"] and both["degenerate_bins"] == 1
+    assert psi_of(spark, [0.5, 0.5, 0], [0.6, 0.4, 0], on_degenerate="fail")["failed"]
+    merged = psi_of(spark, [0.5, 0.5, 0], [0.6, 0.4, 0], on_degenerate="merge")
+    assert merged["psi"] == pytest.approx(-0.1 * math.log(5 / 6) + 0.1 * math.log(5 / 4)) and not merged["failed"]
+    for e, a in (([0.5, 0.5], [1, 0]), ([1, 0], [0.5, 0.5])):
+        one_sided = psi_of(spark, e, a)
+        assert one_sided["psi"] == math.inf and one_sided["failed"]
+    assert psi_of(spark, [0.5, 0.5], [0.5, 0.5])["psi"] == 0
+    with pytest.raises(ValueError):
+        psi_of(spark, [1], [1], on_degenerate="ignore")
+
+
+def numpy_psi(expected, actual):
+    edges = np.percentile(expected, np.arange(0, 11) / 10 * 100)
+    e = np.histogram(expected, edges)[0] / len(expected)
+    a = np.histogram(actual, edges)[0] / len(actual)
+    with np.errstate(all="ignore"):
+        return np.sum((e - a) * np.log(e / a))
+
+
+@pytest.mark.parametrize("shift", [0, 0.3, 2])
+def test_psi_is_that_of_numpy(spark, shift):
+    rng = np.random.default_rng(7)
+    expected, actual = rng.normal(size=3_000), rng.normal(shift, size=1_000)
+    got = drift.population_stability(numbers(spark, expected), numbers(spark, actual), ["x"]).first()
+    want = numpy_psi(expected, actual)
+    assert got["psi"] == pytest.approx(want, abs=1e-12) and got["failed"] == (want > 0.2)
+
+
+def test_categories(spark):
+    train = frame(spark, [("a", "x"), ("b", "x")], "c string, d string")
+    test = frame(spark, [("b", "x"), ("c", None)], "c string, d string")
+    assert rows_of(drift.unseen_categories(train, test)) == [("c", "c"), ("d", None)]
+    assert rows_of(drift.category_checks(train, test)) == [("c", 1, True), ("d", 1, True)]
+    assert rows_of(drift.category_checks(train, train)) == [("c", 0, False), ("d", 0, False)]
+    verdict = drift.retraining_verdict(
+        drift.check_table(drift.category_checks(train, train), frame(spark, [("x", False)], "column string, failed boolean"))
+    )
+    assert tuple(verdict.first()) == (3, 0, False)
+
+
+# ---- metrics ----
+
+
+def test_metrics(spark):
+    df = frame(spark, [(1.0, 1.5), (2.0, 2.0), (3.0, 2.0)], "y double, p double")
+    error, score = df.agg(rmse(F.col("y"), F.col("p")), r2(F.col("y"), F.col("p"))).first()
+    assert error == pytest.approx(math.sqrt(1.25 / 3)) and score == pytest.approx(1 - 1.25 / 2)
+    flat = frame(spark, [(2.0, 2.0, 1.0)] * 2, "y double, p double, q double")
+    assert tuple(flat.agg(r2(F.col("y"), F.col("p")), r2(F.col("y"), F.col("q"))).first()) == (1.0, 0.0)
