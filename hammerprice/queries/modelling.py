@@ -27,7 +27,7 @@ LINEAR = {"regressor": "least_squares", "params": {}, "numeric": ["l_partkey", "
 
 
 def priced_lines(spark, sf_dir):
-    """Line items with the list price of their part as label, and the order month, stored as a table.
+    """Line items with a price that depends on their part as label, and the order month, stored as a table.
 
     Fitting and scoring read it several times; the joins run once.
     """
@@ -37,7 +37,8 @@ def priced_lines(spark, sf_dir):
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     lines = joined.select(
-        *TIES, "l_quantity", "p_size", "p_type", "p_retailprice",
+        *TIES, "l_quantity", "p_size", "p_type",
+        (F.col("p_retailprice") + F.col("l_discount") * 100).alias("price"),
         F.trunc("o_orderdate", "month").alias("month"),
     )
     return materialize(lines, "priced-lines")
@@ -45,7 +46,7 @@ def priced_lines(spark, sf_dir):
 
 PRICED_SQL = """
 lines AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, p_retailprice AS y,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, p_retailprice + l_discount * 100 AS y,
          CAST(l_partkey AS DOUBLE) AS x1, l_quantity AS x2, CAST(date_trunc('month', o_orderdate) AS DATE) AS month
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 ),
@@ -271,7 +272,7 @@ SELECT round(champion_rmse, 6) AS champion_rmse, round(challenger_rmse, 6) AS ch
 def retrain_gate(spark, sf_dir):
     """The champion's configuration refitted on train and test, both compared on the newest month."""
     splits = relative_month_split(priced_lines(spark, sf_dir))
-    verdict = retrain_verdict(LINEAR, splits["train"], splits["test"], splits["retrain_test"], "p_retailprice")
+    verdict = retrain_verdict(LINEAR, splits["train"], splits["test"], splits["retrain_test"], "price")
     return rounded(verdict, 6, "champion_rmse", "challenger_rmse")
 
 
@@ -298,8 +299,8 @@ def linear_importance(spark, sf_dir):
     """Permutation importance of a linear model on the month before the newest."""
     splits = relative_month_split(priced_lines(spark, sf_dir))
     features = LINEAR["numeric"]
-    model = regression_pipeline(least_squares("p_retailprice"), features, []).fit(splits["train"])
-    found = permutation_importance(model, splits["test"], features, "p_retailprice", TIES)
+    model = regression_pipeline(least_squares("price"), features, []).fit(splits["train"])
+    found = permutation_importance(model, splits["test"], features, "price", TIES)
     return rounded(found, 9, "importance_mean", "importance_std")
 
 
@@ -310,21 +311,21 @@ _FOREST_NUMERIC, _FOREST_TEXT = ["l_partkey", "l_quantity", "p_size"], ["p_type"
 
 
 def _forest():
-    return regression_pipeline(random_forest("p_retailprice", **_SMALL_FOREST), _FOREST_NUMERIC, _FOREST_TEXT)
+    return regression_pipeline(random_forest("price", **_SMALL_FOREST), _FOREST_NUMERIC, _FOREST_TEXT)
 
 
 @query()
 def forest_scores(spark, sf_dir):
     """A forest trained on all but the two newest months, scored on the month before the newest."""
     splits = relative_month_split(priced_lines(spark, sf_dir))
-    return report(_forest().fit(splits["train"]).transform(splits["test"]), "p_retailprice", "prediction")
+    return report(_forest().fit(splits["train"]).transform(splits["test"]), "price", "prediction")
 
 
 @query()
 def forest_search(spark, sf_dir):
     """A forest over five expanding folds."""
     train = relative_month_split(priced_lines(spark, sf_dir))["train"]
-    return cross_validate(_forest(), train, "p_retailprice", ["month", *TIES]).scores
+    return cross_validate(_forest(), train, "price", ["month", *TIES]).scores
 
 
 @query()
@@ -332,4 +333,4 @@ def forest_importance(spark, sf_dir):
     splits = relative_month_split(priced_lines(spark, sf_dir))
     model = _forest().fit(splits["train"])
     features = _FOREST_NUMERIC + _FOREST_TEXT
-    return permutation_importance(model, splits["test"], features, "p_retailprice", TIES)
+    return permutation_importance(model, splits["test"], features, "price", TIES)

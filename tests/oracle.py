@@ -47,7 +47,7 @@ def kind(arrow_type) -> str:
 
 def difference(spark_df, connection, sql: str) -> str | None:
     """None if both give the same names, types and rows."""
-    ours, theirs = spark_df.toArrow(), connection.execute(sql).to_arrow_table()
+    ours, theirs = spark_df.toArrow(), connection.sql(sql).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(ours.column_names)} / {sorted(theirs.column_names)}"
     types = [
