@@ -57,8 +57,7 @@ def stream_scores(spark, sf_dir):
     model = regression_pipeline(least_squares("v"), ["k"], []).fit(events)
     inbox, output = scratch_path(spark, "inbox"), scratch_path(spark, "scores")
     event_records(spark, sf_dir).select(F.col("raw").alias("value")).write.text(inbox)
-    for running in score_stream(spark, inbox, model, output, scratch_path(spark, "scoring"), EVENT_RECORD):
-        running.awaitTermination()
+    score_stream(spark, inbox, model, output, scratch_path(spark, "scoring"), EVENT_RECORD).awaitTermination()
     scored = spark.read.parquet(f"{output}/scored").select(
         F.col("value").alias("raw"), "k", F.round("prediction", 6).alias("prediction"), F.lit("scored").alias("outcome")
     )

@@ -27,15 +27,18 @@ def local_session(app_name: str, cores: str | int = "*", **conf: str) -> SparkSe
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the one the cluster names in spark.checkpoint.dir."""
+    """Shared folder for intermediate tables: the one the cluster names in spark.checkpoint.dir.
+
+    Each application has a folder of its own in it, which can be dropped once the application has ended.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
+    app_id = spark.sparkContext.applicationId
     if configured:
-        return f"{configured.rstrip('/')}/hammerprice"
+        return f"{configured.rstrip('/')}/hammerprice/{app_id}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app_id = spark.sparkContext.applicationId
     if app_id not in _local_roots:
         _local_roots[app_id] = tempfile.mkdtemp(prefix="hammerprice-")
     return _local_roots[app_id]

@@ -17,37 +17,43 @@ def score_records(
     prediction: str = "prediction",
 ) -> DataFrame:
     """Valid records with a ``{"Prediction": x}`` reply each; works on tables and on streams."""
-    valid = accepted(validate_records(lines, raw, schema))
-    reply = F.to_json(F.struct(F.col(prediction).alias("Prediction")))
-    return model.transform(valid).select(raw, *schema.names, prediction, reply.alias("reply"))
+    return _score(validate_records(lines.select(raw), raw, schema), model, schema, raw, prediction)
 
 
 def reject_records(lines: DataFrame, schema: T.StructType = SCORING, raw: str = "value") -> DataFrame:
     """Invalid records as they came, with the fields that were wrong."""
-    return rejected(validate_records(lines, raw, schema), raw)
+    return rejected(validate_records(lines.select(raw), raw, schema), raw)
+
+
+def _score(
+    validated: DataFrame, model: Model, schema: T.StructType, raw: str = "value", prediction: str = "prediction"
+) -> DataFrame:
+    reply = F.to_json(F.struct(F.col(prediction).alias("Prediction")))
+    return model.transform(accepted(validated)).select(raw, *schema.names, prediction, reply.alias("reply"))
 
 
 def score_stream(
     spark: SparkSession, inbox: str, model: Model, output: str, checkpoint: str,
     schema: T.StructType = SCORING,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Score every new line of JSON under `inbox` and set bad ones aside.
+) -> StreamingQuery:
+    """Score every new line of JSON under `inbox` into ``output/scored``, bad ones into ``output/rejected``.
 
-    Two stateless queries over the same inbox: one writes ``output/scored``, one ``output/rejected``. Both
-    use the exactly-once file sink, so a restart after a failure neither loses nor repeats a record.
+    Records are stateless, so there is no watermark. Each batch is read and parsed once and owns the folder
+    ``batch=<id>`` of both outputs; a batch repeated after a failure replaces its own rows only.
     """
-    def lines() -> DataFrame:
-        return spark.readStream.text(inbox)
 
-    def start(df: DataFrame, name: str) -> StreamingQuery:
-        return (
-            df.writeStream.format("parquet")
-            .option("checkpointLocation", f"{checkpoint}/{name}")
-            .trigger(availableNow=True)
-            .start(f"{output}/{name}")
-        )
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        validated = validate_records(batch, "value", schema).persist()
+        try:
+            _score(validated, model, schema).write.mode("overwrite").parquet(f"{output}/scored/batch={batch_id}")
+            rejected(validated, "value").write.mode("overwrite").parquet(f"{output}/rejected/batch={batch_id}")
+        finally:
+            validated.unpersist()
 
     return (
-        start(score_records(lines(), model, schema), "scored"),
-        start(reject_records(lines(), schema), "rejected"),
+        spark.readStream.text(inbox)
+        .writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )

@@ -209,6 +209,8 @@ def test_split_rules_reach_the_scan(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "m"))
     plan = df.where(relative_month_rules(dt.date(2025, 2, 1))["train"])._jdf.queryExecution().toString()
     assert "LessThan(month,2025-01-01)" in plan
+    plan = label_splits(df, relative_month_rules(dt.date(2025, 2, 1)))._jdf.queryExecution().toString()
+    assert "Or(LessThan(month,2025-01-01),EqualTo(month,2025-01-01))" in plan
 
 
 # ---- order ----
