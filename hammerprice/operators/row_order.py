@@ -49,19 +49,21 @@ class OrderedRows:
         return (part << _POSITION_BITS) + row - offset
 
 
-def order_rows(df: DataFrame, order: list[str], spread_ties: bool = False) -> OrderedRows:
+def order_rows(df: DataFrame, order: list[str], unique: bool = True) -> OrderedRows:
     """Put the rows into the total order of `order`.
 
     They are range-partitioned on the whole key, so one hot month (or any other leading value) spreads
     over many tasks, and each partition numbers its own rows; the only shared state is one row count per
-    partition. `order` must be unique for a repeatable result; where it may not be, `spread_ties` adds a
-    random last key, so that many rows with equal keys do not meet in one task. The sorted rows are
-    written to the shared scratch folder: all uses of them must see the same partitions.
+    partition. The sorted rows are written to the shared scratch folder: all uses of them must see the
+    same partitions.
+
+    Where `order` is not `unique`, a random last key keeps many equal rows from meeting in one task. It is
+    stored before the sort, because a key drawn anew in a repeated task could lose or double rows.
     """
     keys = [F.col(c) for c in order]
     columns = df.columns
-    if spread_ties:
-        df = df.withColumn("_tie", F.rand(0))
+    if not unique:
+        df = materialize(df.withColumn("_tie", F.rand(0)), "ties")
         keys.append(F.col("_tie"))
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     saved = materialize(ranged.select(*columns, F.monotonically_increasing_id().alias("_id")), "row-order")

@@ -259,7 +259,7 @@ def test_row_order_with_a_hot_month(spark, many_partitions):
 def test_row_order_with_copies(spark, many_partitions):
     """Rows that are equal in every column spread too."""
     df = spark.range(20_000).select(F.lit("a").alias("k"))
-    ordered = order_rows(df, ["k"], spread_ties=True)
+    ordered = order_rows(df, ["k"], unique=False)
     assert ordered.rows == 20_000 and len(ordered.offsets) == 8
     assert ordered.between(5_000, 12_000).count() == 7_000
 
