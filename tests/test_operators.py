@@ -249,7 +249,7 @@ def test_row_order_with_a_hot_month(spark, many_partitions):
     assert [r["row_index"] for r in got] == list(range(30_000))
     assert [(r["month"], r["key"]) for r in got] == sorted((r["month"], r["key"]) for r in got)
     sizes = [b - a for (_, a), (_, b) in zip(ordered.offsets, ordered.offsets[1:])]
-    assert len(ordered.offsets) == 8 and max(sizes) < 10_000
+    assert len(ordered.offsets) == 4 and max(sizes) < 10_000
     part = ordered.between(9_000, 21_000)
     assert sorted((r["month"], r["key"]) for r in part.collect()) == [(r["month"], r["key"]) for r in got[9_000:21_000]]
     assert ordered.between(0, 30_000).count() == 30_000 and ordered.between(5, 5).count() == 0
@@ -260,7 +260,7 @@ def test_row_order_with_copies(spark, many_partitions):
     """Rows that are equal in every column spread too."""
     df = spark.range(20_000).select(F.lit("a").alias("k"))
     ordered = order_rows(df, ["k"], unique=False)
-    assert ordered.rows == 20_000 and len(ordered.offsets) == 8
+    assert ordered.rows == 20_000 and len(ordered.offsets) == 4
     assert ordered.between(5_000, 12_000).count() == 7_000
 
 
