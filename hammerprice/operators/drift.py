@@ -14,9 +14,9 @@ from hammerprice.schemas import DRIFT_COLUMNS
 from hammerprice.session import materialize
 
 PSI_LIMIT = 0.2
-# Up to this many distinct values one task may hold a column's value counts; beyond it, ranks are searched.
-MAX_VALUES_PER_TASK = 1_000_000
-_VALUES_PER_BUCKET = 100_000
+# Up to this many distinct values one task sorts a column's value counts; beyond it, searching ranks is faster.
+MAX_VALUES_PER_TASK = 100_000
+_VALUES_PER_BUCKET = 50_000
 _MAX_BUCKETS = 10_000
 
 
@@ -33,10 +33,11 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Combined map-side, so a hot value costs no more than a rare one; one scan serves all columns.
     """
     numbers = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(math.nan)).alias(c) for c in columns])
-    long = numbers.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
-    )
-    return materialize(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    # Grouped by the column's number rather than its name: the shuffled rows stay small.
+    pairs = [F.struct(F.lit(i).alias("which"), F.col(c).alias("value")) for i, c in enumerate(columns, start=1)]
+    counted = numbers.select(F.inline(F.array(*pairs))).groupBy("which", "value").agg(F.count(F.lit(1)).alias("n"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("which"))
+    return materialize(counted.select(name.alias("column"), "value", "n"), "value-counts")
 
 
 def exact_quantiles(
