@@ -183,14 +183,14 @@ def _one_row(df: DataFrame, expected: bool, rows: Column, counts: list[Column])
     )
 
 
-def psi_from_shares(shares: DataFrame, limit: float = PSI_LIMIT, on_degenerate: str = "reference") -> DataFrame:
+def psi_from_shares(shares: DataFrame, limit: float = PSI_LIMIT, on_degenerate: str = "report") -> DataFrame:
     """(column, psi, degenerate_bins, failed) from `histogram_shares`.
 
     A bin empty on one side makes the index infinite, a bin empty on both makes it NaN, and NaN does not
     fail. `degenerate_bins` counts the latter; ``on_degenerate="fail"`` fails such a column and
     ``"merge"`` leaves the empty bins out of the sum.
     """
-    if on_degenerate not in ("reference", "fail", "merge"):
+    if on_degenerate not in ("report", "fail", "merge"):
         raise ValueError(f"unknown rule {on_degenerate!r}")
     e, a = F.col("expected_share"), F.col("actual_share")
     neither = (e == 0) & (a == 0)
@@ -215,7 +215,7 @@ def population_stability(
     columns: Sequence[str] = tuple(DRIFT_COLUMNS),
     buckets: int = 10,
     limit: float = PSI_LIMIT,
-    on_degenerate: str = "reference",
+    on_degenerate: str = "report",
 ) -> DataFrame:
     counted = value_counts(expected, columns)
     edges = quantiles_of_counts(counted, columns, percent_grid(buckets))

@@ -47,7 +47,7 @@ def test_plan(spark, small, name):
     assert not re.search(r"Window \[", plan)
 
 
-def test_no_reference_to_other_folders():
+def test_no_forbidden_calls():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for folder, _, files in os.walk(os.path.join(root, "hammerprice")):
         for name in files:
