@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hammerprice.llm import byte_bpe, token_counts
+from hammerprice.llm import byte_bpe, exact_dedup, token_counts, url_filter
 from hammerprice.queries.registry import Query
 from hammerprice.session import scratch_path
 
@@ -46,3 +46,31 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.token_counts(documents, path, scratch_path(spark, "token-counts"))
+
+
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+_TREE = {"depth": 4, "min_rows": 20, "z": 3.0, "weight": 10.0, "threshold": 0.8}
+
+
+@_query(url_filter.rules_sql(URL_RULES, **_TREE))
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES, **_TREE)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query(
+    """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+  sha256(t) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents)
+WINDOW g AS (PARTITION BY t)"""
+)
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
