@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hammerprice.llm import byte_bpe, exact_dedup, token_counts, url_filter
+from hammerprice.llm import byte_bpe, exact_dedup, packing, token_counts, url_filter
 from hammerprice.queries.registry import Query
 from hammerprice.session import scratch_path
 
@@ -74,3 +74,9 @@ WINDOW g AS (PARTITION BY t)"""
 )
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), path).drop("ids")

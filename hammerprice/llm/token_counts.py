@@ -12,19 +12,16 @@ read takes one. Content is keyed as it is: case, white space and accents all cha
 from __future__ import annotations
 
 import hashlib
-import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hammerprice.llm.chunks import Chunks, Memo, cut_before
 from hammerprice.llm.columns import id_and_bytes, map_slices, written
 
-#: Counted segments in each of the two generations of a worker's memo, and the longest one. They change no result.
-MEMO_ENTRIES = 250_000
-MEMO_CHARS = 40
-
 CACHE = "digest binary, tokenizer string, n_tokens long"
 
 
@@ -40,18 +37,22 @@ def tokenizer_version(path: str) -> str:
     return digest.hexdigest()
 
 
-class _Segments(dict):
-    """Counts of a sentencepiece model by segment: spaces and what follows them up to the next space.
+def _before_spaces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mask = data == 32
+    mask[1:] &= data[:-1] != 32
+    return cut_before(mask, offsets)
+
+
+class _Pieces:
+    """Counts of a sentencepiece model by chunk: spaces and what follows them up to the next space.
 
     Exact where no piece holds a space mark after another character and normalising changes nothing: then no merge crosses
-    a segment's start. `divides` tells whether the model is such a one; the whole text is encoded otherwise.
+    a chunk's start. `divides` tells whether the model is such a one; whole texts are encoded otherwise.
     """
 
     def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__()
-        self.older: dict[str, int] = {}
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         probe = "a" + "a".join(chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000 and c != 0x2581) + "  a"
@@ -59,48 +60,47 @@ class _Segments(dict):
             not any("▁" in piece.lstrip("▁") for piece in pieces)
             and self.model.normalize(probe) == "▁" + probe.replace(" ", "▁")
         )
-
-    def __missing__(self, segment: str) -> int:
-        n = self.older.get(segment)
-        if n is None:
-            n = len(self.model.encode(segment[1:]))  # the model puts a space before what it encodes
-        if len(segment) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.older = dict(self)
-                self.clear()
-            self[segment] = n
-        return n
-
-    def count(self, texts: list[str]) -> list[int]:
-        if not self.divides:
-            return [len(ids) for ids in self.model.encode(texts, num_threads=1)]
-        find, of = re.compile(" +[^ ]*").findall, self.__getitem__
+        self.memo = Memo(lambda chunk: len(self.model.encode(chunk.decode("utf-8", "replace"))))
+
+    def count(self, texts: list[bytes]) -> list[int]:
+        whole = [not self.divides or text.endswith(b" ") or "▁".encode() in text for text in texts]
+        chunks = Chunks([b"" if w else text for text, w in zip(texts, whole, strict=True)], _before_spaces)
+        codes, distinct = chunks.distinct()
+        # The model puts a space before what it encodes; only a text's first chunk may lack one, and has it put there.
+        opens = np.zeros(len(codes), bool)
+        opens[chunks.first[:-1][chunks.first[:-1] < chunks.first[1:]]] = True
+        sizes = np.array([self.memo[chunk[1:] if chunk[:1] == b" " else chunk] for chunk in distinct], np.int64)
+        each = sizes[codes] if len(codes) else np.zeros(0, np.int64)
+        for i in np.flatnonzero(opens & (chunks.bytes[chunks.starts] == 32)).tolist():
+            each[i] = self.memo[chunks.joined[chunks.starts[i] : chunks.ends[i]]]
+        total = np.concatenate([[0], np.cumsum(each)])[chunks.first]
         return [
-            (len(self.model.encode(text)) if text.endswith(" ") or "▁" in text else sum(map(of, find(" " + text))))
-            if text
-            else 0
-            for text in texts
+            len(self.model.encode(text.decode("utf-8", "replace"))) if w else n
+            for text, w, n in zip(texts, whole, np.diff(total).tolist(), strict=True)
         ]
 
 
 @lru_cache(maxsize=2)
 def _counter(path: str):
     if path.endswith(".model"):
-        return _Segments(path).count
+        return _Pieces(path).count
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return lambda texts: [len(x.ids) for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    
+    def count(texts: list[bytes]) -> list[int]:
+        decoded = [text.decode("utf-8", "replace") for text in texts]
+        return [len(x.ids) for x in tokenizer.encode_batch(decoded, add_special_tokens=False)]
+
+    return count
 
 
 def _encode(df: DataFrame, path: str) -> DataFrame:
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [text.decode("utf-8", "replace") for text in part.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [part.column("digest"), pa.array(_counter(path)(texts), pa.int64())], ["digest", "n_tokens"]
-        )
+        counts = _counter(path)(part.column("text").to_pylist())
+        return pa.RecordBatch.from_arrays([part.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     return map_slices(df.select("digest", "text"), run, "digest binary, n_tokens long")
 
