@@ -112,6 +112,19 @@ def letter_sign_cuts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])) + 1
 
 
+#: Lower case of A-Z, byte by byte.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def words_and_signs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """White-space-separated runs, cut further between letters and signs."""
+    starts, ends = white_space_words(data, offsets)
+    cuts = letter_sign_cuts(data)
+    cuts = cuts[~np.isin(cuts, offsets)]
+    return np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+
+
 def cut_before(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Chunks that together are all bytes, cut before every marked byte and between texts."""
     mask[offsets[:-1][offsets[:-1] < len(mask)]] = True

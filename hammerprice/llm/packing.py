@@ -28,7 +28,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from hammerprice.llm.chunks import Chunks, Memo, gathered, letter_sign_cuts, white_space_words
+from hammerprice.llm.chunks import LOWER, Chunks, Memo, gathered, words_and_signs
 from hammerprice.llm.columns import id_and_bytes, slices
 
 WINDOW = 4096
@@ -42,18 +42,6 @@ PIECE = (
 )
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-
-def words_and_signs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """White-space-separated runs, cut further between letters and signs."""
-    starts, ends = white_space_words(data, offsets)
-    cuts = letter_sign_cuts(data)
-    cuts = cuts[~np.isin(cuts, offsets, assume_unique=True)]
-    return np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
-
-
 class WordTokenizer:
     """Texts to ids as little-endian unsigned 32-bit integers.
 
@@ -84,7 +72,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         special = [b"<|" in text for text in texts]
-        chunks = Chunks([b"" if s else text for text, s in zip(texts, special, strict=True)], words_and_signs, _LOWER)
+        chunks = Chunks([b"" if s else text for text, s in zip(texts, special, strict=True)], words_and_signs, LOWER)
         codes, distinct = chunks.distinct()
         self._learn(distinct)
         ids = gathered(codes, [self.chunks[chunk] for chunk in distinct], chunks.first)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hammerprice.llm import byte_bpe, exact_dedup, packing, token_counts, url_filter
+from hammerprice.llm import byte_bpe, exact_dedup, packing, token_counts, toxicity, url_filter
 from hammerprice.queries.registry import Query
 from hammerprice.session import scratch_path
 
@@ -80,3 +80,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), path).drop("ids")
+
+
+@_query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    learned = labels.where(~toxicity.held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.toxicity(documents, learned)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "evidence",
+    )
