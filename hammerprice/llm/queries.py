@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hammerprice.llm import byte_bpe, exact_dedup, packing, token_counts, toxicity, url_filter
+from hammerprice.llm import byte_bpe, exact_dedup, neighbours, packing, token_counts, toxicity, url_filter
 from hammerprice.queries.registry import Query
 from hammerprice.session import scratch_path
 
@@ -94,3 +94,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         "evidence",
     )
+
+
+@_query()
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(embeddings, F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
