@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hammerprice.llm import byte_bpe, exact_dedup, neighbours, packing, token_counts, toxicity, url_filter
+from hammerprice.llm import byte_bpe, exact_dedup, neighbours, packing, quality, token_counts, toxicity, url_filter
 from hammerprice.queries.registry import Query
 from hammerprice.session import scratch_path
 
@@ -100,3 +100,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings")
     return neighbours.nearest(embeddings, F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
+
+
+@_query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality(_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", F.round("score", 6).alias("score"), "kept")
