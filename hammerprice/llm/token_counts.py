@@ -126,13 +126,15 @@ def token_counts(
     texts = id_and_bytes(df, id_col, text_col).withColumn("digest", digest)
     keys = written(texts.select("doc_id", F.length("text").cast("long").alias("n_bytes"), "digest"), "content-keys")
     known = read_cache(spark, cache_path, version)
-    missing = written(keys.select("digest").distinct().join(known, "digest", "left_anti"), "missing-keys")
+    distinct_keys = written(keys.select("digest").distinct().join(known, "digest", "left"), "distinct-keys")
+    missing = distinct_keys.where("n_tokens IS NULL").select("digest")
     # A few missing keys reach the scan as a broadcast semi-join; many meet one text per key and task.
     distinct = texts.groupBy("digest").agg(F.min("text").alias("text")).join(missing, "digest", "left_semi")
-    counted = _encode(distinct, path).select("digest", F.lit(version).alias("tokenizer"), "n_tokens")
-    counted.write.mode("append").parquet(cache_path)
+    counted = written(_encode(distinct, path), "new-counts")
+    counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
+    counts = distinct_keys.where("n_tokens IS NOT NULL").unionByName(counted)
     return (
-        keys.join(read_cache(spark, cache_path, version), "digest", "left")
+        keys.join(counts, "digest", "left")
         .select("doc_id", "n_bytes", "n_tokens")
         .withColumn("over_limit", F.col("n_tokens") > limit)
     )
