@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hammerprice.llm import byte_bpe, exact_dedup, neighbours, packing, quality, token_counts, toxicity, url_filter
+from hammerprice.llm import (
+    byte_bpe,
+    exact_dedup,
+    near_dedup,
+    neighbours,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from hammerprice.queries.registry import Query
 from hammerprice.session import scratch_path
 
@@ -106,3 +116,8 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.quality(_table(spark, sf_dir, "documents"))
     return scored.select("doc_id", F.round("score", 6).alias("score"), "kept")
+
+
+@_query()
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"), words=3, percent=85)
