@@ -13,6 +13,7 @@ from hammerprice.llm import (
     neighbours,
     packing,
     quality,
+    suffix_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -121,3 +122,9 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@_query()
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
