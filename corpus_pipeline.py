@@ -1,17 +1,54 @@
-"""From raw documents to packed training sequences; each stage is written as Parquet and read again by the next."""
+"""From raw documents to packed training sequences; each stage is written as Parquet and read again by the next.
+
+Quality first, as it is the cheapest way to fewer rows; then exact copies, near copies (five-word shingles, similarity 0.8),
+passages that an earlier document has already, and packing. All stages but the last return the columns of documents; rows
+and texts that a stage drops are gone for the next one.
+
+Edge cases are those of the operators. A document whose text goes entirely in the fourth stage stays as an empty one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from hammerprice.llm import exact_dedup, near_dedup, packing, quality, suffix_dedup
 from hammerprice.llm.columns import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.drop_near_copies(docs)
+
+
+def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("suffix_dedup", passage_stage),
+    ("packing", packing_stage),
+]
+
+#: No SQL states the trained scorer of the first stage; the tests compare each stage with brute force.
 ORACLE_SQL = None
 
 

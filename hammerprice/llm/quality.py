@@ -234,6 +234,21 @@ def fit(texts: DataFrame, weak: WeakLabels, sample_rows: int, shards: int, bits:
     return weights
 
 
+class Scorer:
+    """The fitted weak-label model and the scorer's weights."""
+
+    def __init__(self, texts: DataFrame, sample_rows: int = SAMPLE_ROWS, shards: int = SHARDS, bits: int = BITS):
+        """`texts` has `doc_id` and `text` (bytes)."""
+        self.bits = bits
+        self.weak = WeakLabels(vote_patterns(texts))
+        self.weights = texts.sparkSession.sparkContext.broadcast(fit(texts, self.weak, sample_rows, shards, bits))
+
+    def score(self, document: Document) -> float:
+        slots, vals = features(document, self.bits)
+        weights = self.weights.value
+        return float(1 / (1 + np.exp(-np.clip(weights[slots] @ vals + weights[-1], -50, 50))))
+
+
 def quality(
     df: DataFrame,
     sample_rows: int = SAMPLE_ROWS,
@@ -244,18 +259,13 @@ def quality(
 ) -> DataFrame:
     """`doc_id`, `score` (probability of being good), `kept`, and the labellers' `votes` and `posterior`, of every row."""
     texts = id_and_bytes(df, id_col, text_col)
-    weak = WeakLabels(vote_patterns(texts))
-    weights = df.sparkSession.sparkContext.broadcast(fit(texts, weak, sample_rows, shards, bits))
+    scorer = Scorer(texts, sample_rows, shards, bits)
 
     def score(part: pa.RecordBatch) -> pa.RecordBatch:
-        found, known = documents(part.column("text").to_pylist()), {}
+        found = documents(part.column("text").to_pylist())
         cast = [votes(document) for document in found]
-        scores = []
-        for document in found:
-            slots, vals = features(document, bits)
-            scores.append(1 / (1 + np.exp(-np.clip(weights.value[slots] @ vals + weights.value[-1], -50, 50))))
-        for pattern in set(cast):
-            known[pattern] = weak.posterior(pattern)
+        known = {pattern: scorer.weak.posterior(pattern) for pattern in set(cast)}
+        scores = [scorer.score(document) for document in found]
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": part.column("doc_id"),
@@ -267,3 +277,16 @@ def quality(
         )
 
     return map_slices(texts, score, "doc_id long, score double, kept boolean, votes array<int>, posterior double")
+
+
+def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `df` that are not rejected, with all their columns, judged in place."""
+    scorer = Scorer(id_and_bytes(df, id_col, text_col))
+    at = df.columns.index(text_col)
+
+    def keep(part: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [(text or "").encode() for text in part.column(at).to_pylist()]
+        good = [scorer.score(document) >= LEAST_SCORE for document in documents(texts)]
+        return part.filter(pa.array(good, pa.bool_()))
+
+    return map_slices(df, keep, df.schema)
