@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from hammerprice.llm.columns import written
 
 PROJECTIONS = 96
-THRESHOLD = 60
+THRESHOLD = 58
 FIRST_WIDTH = 0.05
 GROWTH = 1.2
 LEVELS = 24
 START = 0.8
-WANTED = 200
+WANTED = 600
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
 

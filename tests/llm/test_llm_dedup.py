@@ -1,0 +1,309 @@
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pytest
+from llm_fixtures import corpus, frame, text_of
+
+from hammerprice.llm import exact_dedup, near_dedup, suffix_dedup
+from hammerprice.llm.components import components
+from hammerprice.llm.queries import QUERIES
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LOWERED = str.maketrans(UPPER, UPPER.lower())
+
+
+def ordered(rows):
+    return sorted(rows, key=repr)
+
+
+def exact_brute(rows):
+    groups = collections.defaultdict(list)
+    for i, text in rows:
+        groups[(text or "").translate(LOWERED)].append(i)
+    out = []
+    for i, text in rows:
+        norm = (text or "").translate(LOWERED)
+        keep = max((x for x in groups[norm] if x is not None), default=None)
+        out.append((i, keep, len(groups[norm]), i == keep, hashlib.sha256(norm.encode()).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 8, 4096])
+def test_exact_groups(spark, bucket_rows):
+    rows = corpus()
+    found = exact_dedup.exact_groups(frame(spark, rows).repartition(3), bucket_rows=bucket_rows).collect()
+    assert ordered([tuple(r) for r in found]) == ordered(exact_brute(rows))
+
+
+def test_exact_chains_texts_of_equal_hash():
+    texts = [b"a", b"b", b"a", b"c", b"b"]
+    part = pa.RecordBatch.from_pydict(
+        {
+            "bucket": pa.array([0] * 5, pa.int32()),
+            "hash": pa.array([9] * 5, pa.int64()),
+            "sha256": pa.array([hashlib.sha256(t).digest() for t in texts]),
+            "doc_id": pa.array([1, 2, 3, None, 1], pa.int64()),
+            "rows": pa.array([1, 1, 2, 1, 1], pa.int64()),
+            "text": pa.array(texts),
+        }
+    )
+    entries = pa.Table.from_batches(exact_dedup._owned(iter([part]))).to_pylist()
+    assert [(e["chain"], e["keep_id"], e["group_size"]) for e in entries] == [(0, 3, 3), (1, 2, 2), (2, None, 1)]
+
+
+def test_directory_doubles_only_where_buckets_are_overfull():
+    directory = exact_dedup.Directory({0: 100, 1: 100, 2: 3, 3: 3, 12: 50}, 4, 100)
+    assert directory.depth == 4 and len(directory.slots) == 16
+    assert directory.slots[0] != directory.slots[1] and directory.slots[2] == directory.slots[3]
+    assert len(set(directory.slots[8:])) == 1
+    assert exact_dedup.Directory({}, 3, 10).slots == [0]
+
+
+def test_exact_edges(spark):
+    assert exact_dedup.exact_groups(frame(spark, [])).count() == 0
+    kept = exact_dedup.drop_exact_copies(frame(spark, corpus()))
+    assert kept.columns == frame(spark, []).columns
+    wanted = {(i, (t or "").translate(LOWERED)) for (i, t), g in zip(corpus(), exact_brute(corpus()), strict=True) if g[3]}
+    assert ordered([(r.doc_id, (r.text or "").translate(LOWERED)) for r in kept.collect()]) == ordered(wanted)
+
+
+def shingles(text, words):
+    found = [w for w in re.split("[\x20\x09-\x0d]+", (text or "").translate(LOWERED)) if w]
+    if 0 < len(found) < words:
+        return {tuple(found)}
+    return set(zip(*(found[i:] for i in range(words)), strict=False))
+
+
+def near_brute(rows, words, percent):
+    sets = [(i, shingles(t, words)) for i, t in rows if i is not None]
+    parent = {i: i for i, _ in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[:a]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                low, high = sorted((root(i), root(j)))
+                parent[high] = low
+    out = []
+    for i, t in rows:
+        component = None if i is None else root(i) if shingles(t, words) else i
+        out.append((i, len(shingles(t, words)), component, i == component))
+    return out
+
+
+def chained(n):
+    """Texts that are near their neighbours in the chain, not the ones at its ends."""
+    words = [f"w{i}" for i in range(400)]
+    return [(i, " ".join(words[4 * i : 4 * i + 120])) for i in range(n)]
+
+
+@pytest.mark.parametrize("words,percent", [(3, 85), (5, 80), (1, 100)])
+def test_near_groups(spark, words, percent):
+    rows = corpus() + [(1000 + i, t) for i, t in chained(30)]
+    random.Random(2).shuffle(rows)
+    # A text that repeats an id has a component of its own only if the id does.
+    rows = [(i, t) for i, t in rows if (i, t) != (7, "another text of this id")]
+    found = near_dedup.near_groups(frame(spark, rows).repartition(3), words=words, percent=percent).collect()
+    assert ordered([tuple(r) for r in found]) == ordered(near_brute(rows, words, percent))
+
+
+def test_near_rows_that_repeat_an_id_are_one_document(spark):
+    rows = [(1, "a b c d e"), (1, "v w x y z"), (2, "v w x y z"), (3, "a b c d e"), (4, "else where no one goes")]
+    found = near_dedup.near_groups(frame(spark, rows), words=3, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_near_open_buckets_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 300)
+    rows = chained(40)
+    found = near_dedup.near_groups(frame(spark, rows), words=3, percent=85, bands=60, rows=1).collect()
+    assert ordered([tuple(r) for r in found]) == ordered(near_brute(rows, 3, 85))
+
+
+def test_near_compare_is_exhaustive():
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 10**9, 60)
+    keys = [np.unique(np.where(rng.random(60) < 0.06, rng.integers(0, 10**9, 60), base)) for _ in range(25)]
+    rows = pd.DataFrame({"node": range(25), "label": range(25), "side": 0, "keys": keys})
+    links = near_dedup._compare(rows, 80)
+    parent = list(range(25))
+    for a, b in links:
+        parent = [min(parent[a], parent[b]) if p in (parent[a], parent[b]) else p for p in parent]
+    wanted = list(range(25))
+    for a in range(25):
+        for b in range(a):
+            x, y = set(keys[a].tolist()), set(keys[b].tolist())
+            if 100 * len(x & y) >= 80 * len(x | y):
+                wanted = [min(wanted[a], wanted[b]) if p in (wanted[a], wanted[b]) else p for p in wanted]
+    assert parent == wanted
+
+
+def test_near_sketches_agree_as_often_as_sets_are_similar():
+    rng = np.random.default_rng(5)
+    for n, shared in ((400, 300), (12, 9), (2000, 1000)):
+        both = rng.integers(0, 2**63, shared).astype(np.uint64)
+        a = np.concatenate([both, rng.integers(0, 2**63, n - shared).astype(np.uint64)])
+        b = np.concatenate([both, rng.integers(0, 2**63, n - shared).astype(np.uint64)])
+        agree = np.mean(near_dedup.sketch(a, 2000) == near_dedup.sketch(b, 2000))
+        assert abs(agree - shared / (2 * n - shared)) < 0.06
+    assert np.array_equal(near_dedup.sketch(a, 190), near_dedup.sketch(a[::-1].copy(), 190))
+    one = near_dedup.sketch(a[:1], 190)
+    assert (one != np.iinfo(np.uint64).max).all()
+
+
+def test_near_edges(spark):
+    assert near_dedup.near_groups(frame(spark, [])).count() == 0
+    kept = near_dedup.drop_near_copies(frame(spark, corpus()))
+    assert kept.columns == frame(spark, []).columns
+    rows = [(i, t) for i, t in corpus() if (i, t) != (7, "another text of this id")]
+    kept = near_dedup.drop_near_copies(frame(spark, rows))
+    assert ordered([r.doc_id for r in kept.collect()]) == ordered([g[0] for g in near_brute(rows, 5, 80) if g[3] or g[0] is None])
+
+
+def test_near_query(spark, small):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    found = QUERIES["op9_near_dedup"](spark, small).collect()
+    assert ordered([tuple(r) for r in found]) == ordered(near_brute(rows, 3, 85))
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(40)]
+    parent = list(range(500))
+    for a, b in links:
+        low, high = sorted((parent[a], parent[b]))
+        parent = [low if p == high else p for p in parent]
+    nodes = {x for a, b in links if a != b for x in (a, b)}
+    found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
+    assert {r.node: r.component for r in found} == {x: parent[x] for x in nodes} and len(found) == len(nodes)
+
+
+def repeats_brute(rows, length):
+    """By (id, text): bytes, removed, runs, what stays."""
+    last = 1 << 63
+    order = sorted({(last if i is None else i, t or "") for i, t in rows})
+    ids = [i for i, _ in order]
+    assert len(ids) == len(set(ids))
+    seen, out = set(), {}
+    for i, text in order:
+        data = text.encode()
+        mask = bytearray(len(data))
+        for at in range(len(data) - length + 1):
+            window = data[at : at + length]
+            if window in seen:
+                mask[at : at + length] = b"\1" * length
+            seen.add(window)
+        runs = sum(1 for k, m in enumerate(mask) if m and not (k and mask[k - 1]))
+        kept = bytes(b for b, m in zip(data, mask, strict=True) if not m)
+        out[None if i == last else i] = (len(data), sum(mask), runs, kept)
+    return out
+
+
+def passages(seed=0):
+    """Texts that share passages of all lengths around the limit, in all places, some within one text."""
+    rng = random.Random(seed)
+    shared = [text_of(rng, rng.randint(5, 60)) for _ in range(12)]
+    rows = []
+    for i in range(50):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            passage = rng.choice(shared)
+            a, b = sorted((rng.randint(0, len(passage)), rng.randint(0, len(passage))))
+            parts += [text_of(rng, rng.randint(0, 12)), passage[a:b]]
+        rows.append((i, "".join(parts)))
+    rows += [(60, None), (61, ""), (62, "z" * 350), (63, "z" * 99), (64, "ab" * 150), (65, text_of(rng, 3000)), (None, shared[0] * 2)]
+    return rows
+
+
+@pytest.mark.parametrize("seed,group_rows", [(0, 200_000), (1, 200_000), (2, 1)])
+def test_repeated_passages(spark, seed, group_rows):
+    rows = passages(seed)
+    found = suffix_dedup.without_repeats(frame(spark, rows).repartition(3), group_rows=group_rows).collect()
+    wanted = repeats_brute(rows, 100)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found} == wanted
+    assert sum(x[1] for x in wanted.values()) > 1000
+
+
+def test_repeats_in_long_texts_are_found_across_parts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART", 700)
+    rng = random.Random(3)
+    passage = text_of(rng, 60)
+    rows = [(i, text_of(rng, 150 + 40 * i) + passage + text_of(rng, 60)) for i in range(4)]
+    data = [(i, t.encode()) for i, t in rows]
+    first = suffix_dedup._scan(iter([_batch(data)]), 100)
+    places = {(d, v) for batch in first for d, v in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)}
+    monkeypatch.setattr(suffix_dedup, "PART", 2 << 20)
+    whole = suffix_dedup._scan(iter([_batch(data)]), 100)
+    positions = {(d, v >> 14) for batch in whole for d, v in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)}
+    assert {(d, v >> 14) for d, v in places} == positions
+
+
+def _batch(rows):
+    return pa.RecordBatch.from_pydict(
+        {
+            "doc": pa.array([i for i, _ in rows], pa.int64()),
+            "version": pa.array([0] * len(rows), pa.int64()),
+            "text": pa.array([t for _, t in rows], pa.binary()),
+        }
+    )
+
+
+def test_columns_equal_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        group = np.sort(rng.integers(0, 4, 24))
+        before = rng.integers(0, 69, 24)
+        after = np.minimum(before, rng.integers(0, 69, 24))
+        context = [bytes(rng.integers(97, 99, 168).astype(np.uint8)) for _ in range(3)]
+        full = [bytearray(context[k]) for k in rng.integers(0, 3, 24)]
+        for x in full:  # flip a byte somewhere
+            x[int(rng.integers(0, 168))] ^= 1
+        stretches = [bytes(x[68 - b : 168 - a]) for x, a, b in zip(full, after, before, strict=True)]
+        near, far = suffix_dedup.Columns(group, before, after, stretches, 100).repeated()
+        for i in range(24):
+            hits = [
+                o
+                for o in range(after[i], before[i] + 1)
+                if any(
+                    group[j] == group[i] and after[j] <= o <= before[j] and full[j][68 - o : 168 - o] == full[i][68 - o : 168 - o]
+                    for j in range(i)
+                )
+            ]
+            assert (near[i], far[i]) == ((min(hits), max(hits)) if hits else (-1, -1))
+
+
+def test_repeats_edges(spark):
+    assert suffix_dedup.without_repeats(frame(spark, [])).count() == 0
+    text = text_of(random.Random(1), 60)
+    rows = [(1, text), (1, text), (1, text + " more"), (2, text)]
+    found = suffix_dedup.without_repeats(frame(spark, rows)).collect()
+    same = [r.n_removed for r in found if r.doc_id == 1 and r.n_bytes == len(text.encode())]
+    assert len(found) == 4 and same[0] == same[1]  # equal rows are one document
+    assert [r.n_removed for r in found if r.doc_id == 2] == [len(text.encode())]
+    assert sum(r.n_removed > 0 for r in found if r.doc_id == 1) in (1, 2)  # one version repeats the other
+
+
+def test_repeats_leave_whole_characters(spark):
+    passage = "".join(chr(0xC0 + 7 * i % 61) for i in range(80))  # two bytes a letter
+    rows = [(1, "x" + passage), (2, "y" + passage + "z"), (3, "plain"), (4, None)]
+    kept = {r.doc_id: (r.text, r.n_chars) for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert kept == {1: ("x" + passage, 81), 2: ("yz", 2), 3: ("plain", 5), 4: (None, None)}
+    assert suffix_dedup._kept("aéb".encode(), [(0, 2)], True) == "éb".encode()
+    assert suffix_dedup._kept("aéb".encode(), [(0, 3)], True) == b"b"
+    assert suffix_dedup.remove_repeats(frame(spark, rows)).columns == frame(spark, []).columns
+
+
+def test_repeats_query(spark, small):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    found = QUERIES["op6_suffix_dedup"](spark, small).collect()
+    wanted = {i: (n, removed, runs, hashlib.sha256(kept).hexdigest()) for i, (n, removed, runs, kept) in repeats_brute(rows, 100).items()}
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == wanted
