@@ -14,10 +14,6 @@ from hammerprice.schemas import DRIFT_COLUMNS
 from hammerprice.session import materialize
 
 PSI_LIMIT = 0.2
-# Up to this many distinct values one task sorts a column's value counts; beyond it, searching ranks is faster.
-MAX_VALUES_PER_TASK = 100_000
-_VALUES_PER_BUCKET = 50_000
-_MAX_BUCKETS = 10_000
 
 
 # ---- quantiles ----
@@ -41,19 +37,20 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES_PER_TASK
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
     """Exact, linearly interpolated quantiles per column."""
-    return quantiles_of_counts(value_counts(df, columns), columns, probabilities, max_values)
+    return quantiles_of_counts(value_counts(df, columns), columns, probabilities)
 
 
 def quantiles_of_counts(
-    counted: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES_PER_TASK
+    counted: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
     """The same from `value_counts`: missing values are left out.
 
-    Columns with few distinct values need one aggregate over those; for the others the wanted ranks are
-    located by range (`_search_ranks`).
+    All columns are searched together. A column's values are cut into ranges, as many as the root of their number
+    asks for; each range's row count says which ranges hold a wanted rank, and only those are sorted, each in a task
+    of its own. The values of a range are distinct rows, so no single value can make a range hot.
     """
     counted = counted.where(F.col("value").isNotNull())
     sizes = {
@@ -63,60 +60,65 @@ def quantiles_of_counts(
     absent = [c for c in columns if c not in sizes]
     if absent:
         raise ValueError(f"no values in {absent}")
-    small = [c for c in columns if sizes[c]["values"] <= max_values]
-    result: dict[str, list[float]] = {}
-    if small:
-        rows = (
-            counted.where(F.col("column").isin(small))
-            .groupBy("column")
-            .agg(F.percentile("value", list(probabilities), F.col("n")).alias("q"))
-            .collect()
-        )
-        result.update({row["column"]: row["q"] for row in rows})
-    for c in columns:
-        if c not in result:
-            one = counted.where(F.col("column") == c).select("value", "n")
-            result[c] = _search_ranks(one, sizes[c]["values"], sizes[c]["rows"], probabilities)
-    return result
-
-
-def _search_ranks(counted: DataFrame, values: int, rows: int, probabilities: Sequence[float]) -> list[float]:
-    """Quantiles of a column whose distinct values do not fit one task.
+    ranged = _ranged(counted, columns, 1 + math.isqrt(max(sizes[c]["values"] for c in columns)) // 8)
+    totals = ranged.groupBy("column", "range").agg(F.sum("n").alias("rows")).collect()  # one row per range
 
-    The values are cut into ranges of similar size, each range's row count says which ranges hold a wanted
-    rank, and only those are sorted, each in a task of its own. The distinct values of a range are unique
-    rows, so no single value can make a range hot.
-    """
-    ranges = min(_MAX_BUCKETS, max(2, values // _VALUES_PER_BUCKET + 1))
-    cuts = counted.agg(F.percentile_approx("value", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0]
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    ranged = Bucketizer(splits=splits, inputCol="value", outputCol="range").transform(counted)
-    totals = ranged.groupBy("range").agg(F.sum("n").alias("rows")).collect()  # one row per range
-
-    positions = [(rows - 1) * p for p in probabilities]
-    ranks = sorted({math.floor(x) for x in positions} | {math.ceil(x) for x in positions})
-    wanted, before = [], 0
-    for number, size in sorted((r["range"], r["rows"]) for r in totals):
-        wanted += [(number, rank, rank - before) for rank in ranks if before <= rank < before + size]
-        before += size
-    targets = counted.sparkSession.createDataFrame(wanted, "range double, rank bigint, inside bigint")
-
-    up_to = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = ranged.where(F.col("range").isin(sorted({w[0] for w in wanted}))).withColumn(
-        "upto", F.sum("n").over(up_to)
-    )
+    wanted = []
+    for c in columns:
+        ranks = sorted({r for p in probabilities for r in _ranks(sizes[c]["rows"], p)[:2]})
+        before = 0
+        for number, size in sorted((t["range"], t["rows"]) for t in totals if t["column"] == c):
+            wanted += [(c, number, rank, rank - before) for rank in ranks if before <= rank < before + size]
+            before += size
+    targets = counted.sparkSession.createDataFrame(wanted, "column string, range int, rank bigint, inside bigint")
+
+    up_to = Window.partitionBy("column", "range").orderBy("value")
+    up_to = up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # At most two rows per column and probability.
+    needed = ranged.join(F.broadcast(targets.select("column", "range").distinct()), ["column", "range"], "left_semi")
     hits = (
-        running.join(F.broadcast(targets), "range")  # at most two rows per probability
+        needed.withColumn("upto", F.sum("n").over(up_to))
+        .join(F.broadcast(targets), ["column", "range"])
         .where((F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("n")))
-        .select("rank", "value")
+        .select("column", "rank", "value")
         .collect()
     )
-    at = {row["rank"]: row["value"] for row in hits}
-    return [_between(at[math.floor(x)], at[math.ceil(x)], x - math.floor(x)) for x in positions]
+    at = {(row["column"], row["rank"]): row["value"] for row in hits}
+    found = {}
+    for c in columns:
+        places = [_ranks(sizes[c]["rows"], p) for p in probabilities]
+        found[c] = [_between(at[c, low], at[c, high], share) for low, high, share in places]
+    return found
+
+
+def _ranged(counted: DataFrame, columns: Sequence[str], ranges: int) -> DataFrame:
+    """`counted` with the number of the range that each value falls in, `ranges` of similar size per column."""
+    if ranges == 1:
+        return counted.withColumn("range", F.lit(0))
+    steps = [i / ranges for i in range(1, ranges)]
+    cuts = counted.groupBy("column").agg(F.percentile_approx("value", steps, 10 * ranges).alias("cuts")).collect()
+    splits = {row["column"]: [-math.inf, *sorted(set(row["cuts"])), math.inf] for row in cuts}
+    wide = counted.select("*", *[F.when(F.col("column") == c, F.col("value")).alias(f"_v{i}") for i, c in enumerate(columns)])
+    places = [f"_r{i}" for i in range(len(columns))]
+    cutter = Bucketizer(
+        splitsArray=[splits[c] for c in columns], inputCols=[f"_v{i}" for i in range(len(columns))], outputCols=places,
+        handleInvalid="keep",
+    )
+    place = F.coalesce(*[F.when(F.col("column") == c, F.col(r)) for c, r in zip(columns, places)])
+    return cutter.transform(wide).select("column", "value", "n", place.cast("int").alias("range"))
+
+
+def _ranks(rows: int, probability: float) -> tuple[int, int, float]:
+    """The two neighbouring ranks a quantile lies between, and its share of the way."""
+    position = (rows - 1) * probability
+    return math.floor(position), math.ceil(position), position - math.floor(position)
 
 
 def _between(low: float, high: float, share: float) -> float:
-    return low if low == high else low + (high - low) * share
+    """Linear interpolation from the nearer end, so that both ends are met exactly."""
+    if low == high:
+        return low
+    return low + (high - low) * share if share < 0.5 else high - (high - low) * (1 - share)
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
@@ -245,12 +247,18 @@ def unseen_categories(train: DataFrame, test: DataFrame, columns: Sequence[str]
 
 
 def category_checks(train: DataFrame, test: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, unseen, failed), one row per text column."""
+    """(column, unseen, failed), one row per text column; `unseen` lists the values, NULL as "NULL" last.
+
+    A category list is short by nature. `unseen_categories` has the same values as rows, for columns that are not.
+    """
+    new = F.col("in_test") & ~F.col("in_train")
+    values = F.sort_array(F.collect_list(F.when(new, F.col("value"))))
+    null_too = F.bool_or(new & F.col("value").isNull())
     return (
         category_presence(train, test, columns)
         .groupBy("column")
-        .agg(F.count_if(F.col("in_test") & ~F.col("in_train")).alias("unseen"))
-        .withColumn("failed", F.col("unseen") > 0)
+        .agg(F.when(null_too, F.array_append(values, F.lit("NULL"))).otherwise(values).alias("unseen"))
+        .withColumn("failed", F.size("unseen") > 0)
     )
 
 

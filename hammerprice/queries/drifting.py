@@ -79,9 +79,9 @@ SELECT CAST(i AS INTEGER) AS edge, round(p[i + 1], 6) AS value FROM e, range(4)
 """
 )
 def quantiles_by_rank_search(spark, sf_dir):
-    """The way quantiles are found when the distinct values do not fit one task, forced here."""
+    """Quantiles at uneven probabilities; the wanted ranks are located by range."""
     grid = [0.01, 0.25, 0.5, 0.99]
-    found = exact_quantiles(table(spark, sf_dir, "lineitem"), ["l_extendedprice"], grid, max_values=0)
+    found = exact_quantiles(table(spark, sf_dir, "lineitem"), ["l_extendedprice"], grid)
     values = spark.createDataFrame(list(enumerate(found["l_extendedprice"])), "edge int, value double")
     return rounded(values, 6, "value")
 
@@ -152,7 +152,9 @@ def unseen_categories(spark, sf_dir):
 @query(
     f"""
 WITH {_CATEGORY_SQL}
-SELECT c."column", count(u."column") AS unseen, count(u."column") > 0 AS failed
+SELECT c."column", coalesce(list(u.value ORDER BY u.value) FILTER (u.value IS NOT NULL), [])
+                   || CASE WHEN count(u."column") > count(u.value) THEN ['NULL'] ELSE [] END AS unseen,
+       count(u."column") > 0 AS failed
 FROM (SELECT DISTINCT "column" FROM v) c LEFT JOIN unseen u ON u."column" = c."column" GROUP BY 1
 """
 )
