@@ -20,18 +20,24 @@ def to_bigint(text: Column) -> Column:
     return to_double(text).try_cast("bigint")
 
 
+def or_stop(value: Column, text: Column, kind: str) -> Column:
+    """`value`, or an error where there is a text but no value; whatever the session says about invalid casts."""
+    wrong = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text))
+    return F.when(text.isNull() | value.isNotNull(), value).otherwise(wrong)
+
+
 def to_double_strict(text: Column) -> Column:
     """Number; a text that is none stops the job."""
-    return text.cast("double")
+    return or_stop(text.try_cast("double"), text, "number")
 
 
 def to_bigint_strict(text: Column) -> Column:
-    return text.cast("bigint")
+    return or_stop(text.try_cast("bigint"), text, "whole number")
 
 
 def to_month(text: Column) -> Column:
     """First day of a "yyyy-MM" month; other texts stop the job, NULL stays NULL."""
-    return F.to_date(text, "yyyy-M")
+    return or_stop(to_month_or_null(text), text, "month")
 
 
 def to_month_or_null(text: Column) -> Column:

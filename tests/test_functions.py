@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 from hammerprice.functions.bands import band, band_ordinal
 from hammerprice.functions.dates import age_in_years, days_since, days_until, previous_month
-from hammerprice.functions.parsing import json_text, to_bigint, to_double, to_double_strict, to_month, to_month_or_null
+from hammerprice.functions.parsing import (
+    json_text,
+    to_bigint,
+    to_bigint_strict,
+    to_double,
+    to_double_strict,
+    to_month,
+    to_month_or_null,
+)
 from hammerprice.functions.text import collapse_variants, last_two, title_case, upper_bound_of_range
 from hammerprice.schemas import DOMAINS
 
@@ -132,3 +140,25 @@ def test_only_one_domain_value_is_not_in_title_case(spark):
 
 def test_json_text(spark):
     assert one(spark, '{"data": {"url": "a/b"}}', lambda c: json_text(c, "$.data.url")) == "a/b"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "cast,good,bad",
+    [
+        (to_double_strict, "12.5", "zz"),
+        (to_bigint_strict, "12", "1x"),
+        (to_month, "2023-8", "2023/08"),
+        (upper_bound_of_range, "06 TO 10", "06 TO XX"),
+    ],
+)
+def test_strict_casts_stop_whatever_the_session_says(spark, ansi, cast, good, bad):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        fine = spark.createDataFrame([(good,), (None,)], "x string").select(cast(F.col("x")).alias("y")).collect()
+        assert fine[0].y is not None and fine[1].y is None
+        with pytest.raises(Exception, match="not a"):
+            spark.createDataFrame([(bad,)], "x string").select(cast(F.col("x")).alias("y")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
