@@ -35,23 +35,28 @@ def align_full(frames: list[DataFrame], sort: bool = False) -> DataFrame:
 
 
 def _align_with_extras(frames: list[DataFrame], on: list[str]) -> DataFrame:
-    joined = _full_outer(frames[0], frames[1], on) if len(frames) > 1 else frames[0]
-    for frame in frames[2:]:
-        # Each step reads its left side three times, so it starts from a written table.
-        joined = _full_outer(materialize(joined, "aligned"), frame, on)
+    # Each step reads its sides more than once, so all start from written tables.
+    joined, *rest = [materialize(frame, "aligned") for frame in frames]
+    for i, frame in enumerate(rest, start=1):
+        joined = _full_outer(joined, frame, on)
+        joined = materialize(joined, "aligned") if i < len(rest) else joined
     return joined
 
 
 def _full_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer join as its three parts.
+    """Full outer join as its parts.
 
     Adaptive execution splits a hot key on either side of an inner join and on the left of an anti join,
     but cannot split a full outer join. The anti joins look keys up in distinct keys, which are never hot.
+    Rows with a NULL key match nothing and need no join; as both joins start from the same rows without
+    one, their shuffles are the same and Spark runs them once.
     """
-    matched = left.join(right, on)
-    only_left = left.join(right.select(*on).distinct(), on, "left_anti")
-    only_right = right.join(left.select(*on).distinct(), on, "left_anti")
-    return union_all([matched, only_left, only_right])
+    filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    left_filled, right_filled = left.where(filled), right.where(filled)
+    matched = left_filled.join(right_filled, on)
+    only_left = left_filled.join(right_filled.select(*on).distinct(), on, "left_anti")
+    only_right = right_filled.join(left_filled.select(*on).distinct(), on, "left_anti")
+    return union_all([matched, only_left, only_right, left.where(~filled), right.where(~filled)])
 
 
 def _align_identical(frames: list[DataFrame], columns: list[str]) -> DataFrame:
@@ -72,16 +77,10 @@ def _align_identical(frames: list[DataFrame], columns: list[str]) -> DataFrame:
         .agg(product.alias("_product"), total.alias("_total"))
         .withColumn("_copies", F.when(has_null, F.col("_total")).otherwise(F.col("_product")))
     )
-    few = _repeat_rows(counted.where(F.col("_copies") <= _CHUNK), F.col("_copies"), columns)
-    # A row with very many copies is cut into chunks that spread over the cluster before they unfold.
-    chunked = (
-        counted.where(F.col("_copies") > _CHUNK)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_CHUNK}"))))
-        .withColumn("_copies", F.least(F.lit(_CHUNK), F.col("_copies") - F.col("_chunk") * _CHUNK))
-        .repartition(int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    )
-    many = _repeat_rows(chunked, F.col("_copies"), columns)
-    return few.unionByName(many)
+    # Copies unfold chunk by chunk, and the chunks of a row with very many spread over the cluster before they do.
+    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_CHUNK}"))))
+    chunks = chunks.withColumn("_copies", F.least(F.lit(_CHUNK), F.col("_copies") - F.col("_chunk") * _CHUNK))
+    return _repeat_rows(chunks.hint("rebalance"), F.col("_copies"), columns)
 
 
 def _repeat_rows(df: DataFrame, copies: Column, columns: list[str]) -> DataFrame:

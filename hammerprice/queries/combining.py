@@ -86,16 +86,18 @@ def distinct_sorted(spark, sf_dir):
 
 @query(
     """
-SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-15'
-EXCEPT SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-15'
+SELECT nullif(p_size, 50) AS size, p_brand FROM part WHERE p_retailprice >= 1500
+EXCEPT SELECT nullif(p_size, 49), p_brand FROM part WHERE p_retailprice < 1500
 """
 )
 def set_difference(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    cut = F.lit("2024-01-15").cast("timestamp_ntz")
-    return values_missing_from(
-        events.where(F.col("ts") >= cut).select("user_id"), events.where(F.col("ts") < cut).select("user_id")
+    """Sizes and brands of dear parts that no cheap part has; NULL sizes stand on both sides."""
+    parts = table(spark, sf_dir, "part")
+    side = lambda rows, unknown: rows.select(
+        F.nullif("p_size", F.lit(unknown)).alias("size"), "p_brand"
     )
+    dear = F.col("p_retailprice") >= 1500
+    return values_missing_from(side(parts.where(dear), 50), side(parts.where(~dear), 49))
 
 
 @query(

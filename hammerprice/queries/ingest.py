@@ -15,9 +15,9 @@ from hammerprice.operators.splits import label_splits, year_rules
 from hammerprice.queries.frame import rounded, table
 from hammerprice.queries.registry import query
 from hammerprice.session import scratch_path
-from hammerprice.sources.csv_files import read_processed_csv, read_raw_csv, scan_raw_csv, write_csv
+from hammerprice.sources.csv_files import read_bad_records, read_processed_csv, read_raw_csv, scan_raw_csv, write_csv
 from hammerprice.sources.metric_log import log_metrics, read_metrics
-from hammerprice.sources.snapshots import land_snapshot, read_latest
+from hammerprice.sources.snapshots import land_snapshot, read_latest, snapshot_folder
 from hammerprice.sources.tables import read_split, write_splits
 
 
@@ -48,6 +48,52 @@ def csv_union(spark, sf_dir):
     return read_raw_csv(spark, root).withColumn("o_totalprice", to_double(F.col("o_totalprice")))
 
 
+_NOTES_SQL = """
+SELECT c_custkey, c_name || chr(10) || 'says "' || c_mktsegment || '", twice' || chr(13) || chr(10) || '"' AS note,
+       nullif(c_mktsegment, 'BUILDING') AS segment
+FROM customer
+"""
+
+
+def _notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    note = F.concat("c_name", F.lit('\nsays "'), "c_mktsegment", F.lit('", twice\r\n"'))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", note.alias("note"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")
+    )
+
+
+@query(_NOTES_SQL)
+def csv_newlines(spark, sf_dir):
+    """Texts with line breaks and quotes, written as CSV and read back with a schema."""
+    path = scratch_path(spark, "csv-newlines")
+    notes = _notes(spark, sf_dir)
+    write_csv(notes, path)
+    return read_processed_csv(spark, path, notes.schema, multi_line=True)
+
+
+@query(
+    """
+SELECT 'record' AS kind, CAST(s_suppkey AS VARCHAR) AS text FROM supplier WHERE s_suppkey % 7 <> 3
+UNION ALL
+SELECT 'surplus fields', s_suppkey || ',' || s_name || ',one too many' FROM supplier WHERE s_suppkey % 7 = 3
+"""
+)
+def csv_surplus_fields(spark, sf_dir):
+    """Records with a field too many are set aside as they stand, those with one too few are kept."""
+    path = scratch_path(spark, "csv-surplus")
+    key, name = F.col("s_suppkey").cast("string"), F.col("s_name")
+    line = (
+        F.when(F.col("s_suppkey") % 7 == 3, F.concat_ws(",", key, name, F.lit("one too many")))
+        .when(F.col("s_suppkey") % 7 == 4, key)
+        .otherwise(F.concat_ws(",", key, name))
+    )
+    lines = table(spark, sf_dir, "supplier").select(line.alias("value"))
+    header = spark.createDataFrame([("s_suppkey,s_name",)], "value string")
+    header.unionAll(lines).coalesce(1).write.text(path)
+    kept = read_raw_csv(spark, path, bad_records="aside").select(F.lit("record").alias("kind"), F.col("s_suppkey").alias("text"))
+    return kept.unionAll(read_bad_records(spark, path).select("reason", "record"))
+
+
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def csv_name_filter(spark, sf_dir):
     """Only the files whose name contains ".csv"; the folder also holds JSON files."""
@@ -94,13 +140,17 @@ def parquet_by_split(spark, sf_dir):
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders")
 def snapshot_latest(spark, sf_dir):
-    """Two sources; of the one that landed twice only the newer snapshot counts."""
+    """Two sources; of one that landed more than once the newest complete snapshot counts."""
     texts = _order_texts(spark, sf_dir)
     early = F.left("month", F.lit(4)) < "1998"
     root = scratch_path(spark, "snapshots")
     land_snapshot(texts.where(early & (F.col("o_orderpriority") != "1-URGENT")), root, "early", "2024-01-01")
     land_snapshot(texts.where(early), root, "early", "2024-01-08")
     land_snapshot(texts.where(~early).select(*reversed(texts.columns)), root, "late", "2024-01-01")
+    unfinished = texts.where(early).limit(1)  # newer, but its writer has not closed it
+    unfinished.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False).options(header=True).csv(
+        snapshot_folder(root, "early", "2024-02-01")
+    )
     return read_latest(spark, root).select("o_orderkey", "month")
 
 

@@ -20,7 +20,7 @@ from hammerprice.operators.metrics import regression_report as report
 from hammerprice.operators.splits import relative_month_split
 from hammerprice.queries.frame import TIES, rounded, table
 from hammerprice.queries.registry import query
-from hammerprice.session import materialize, scratch_path, spread
+from hammerprice.session import materialize, scratch_path
 from hammerprice.sources.model_registry import current_champion, promote_model
 
 LINEAR = {"regressor": "least_squares", "params": {}, "numeric": ["l_partkey", "l_quantity"], "text": []}
@@ -32,7 +32,7 @@ def priced_lines(spark, sf_dir):
     Fitting and scoring read it several times; the joins run once.
     """
     joined = (
-        spread(table(spark, sf_dir, "lineitem"))
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     )

@@ -44,13 +44,13 @@ def fold_index(spark, sf_dir):
 WITH i AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row_index, p_partkey, p_brand FROM part),
      k AS (SELECT repeat, row_index, p_partkey, p_brand,
                   CAST('0x' || left(md5('42|' || repeat || '|' || row_index), 15) AS BIGINT) AS key
-           FROM i, range(3) r(repeat))
+           FROM i, range(10) r(repeat))
 SELECT CAST(repeat AS INTEGER) AS repeat,
        row_number() OVER (PARTITION BY repeat ORDER BY key, row_index) - 1 AS row_index, p_partkey, p_brand
 FROM k
 """
 )
 def shuffled_rows(spark, sf_dir):
-    """Three repeatable permutations of a table."""
+    """Ten repeatable permutations of a table."""
     parts = order_rows(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), ["p_partkey"])
-    return shuffled_donors(parts, ["p_partkey", "p_brand"], repeats=3, seed=42)
+    return shuffled_donors(parts, ["p_partkey", "p_brand"], repeats=10, seed=42)

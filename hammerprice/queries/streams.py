@@ -10,7 +10,7 @@ from hammerprice.queries.frame import table
 from hammerprice.queries.records import EVENT_RECORD, EVENT_RECORD_SQL, event_records
 from hammerprice.queries.registry import query
 from hammerprice.session import scratch_path
-from hammerprice.sources.snapshots import land_snapshot
+from hammerprice.sources.snapshots import land_snapshot, snapshot_folder
 from hammerprice.streaming.arrivals import on_new_snapshots
 from hammerprice.streaming.scoring import score_stream
 
@@ -21,7 +21,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus AS status, 1 AS
 """
 )
 def stream_snapshots(spark, sf_dir):
-    """Snapshots land, the stream notices, the job rebuilds its table from the newest of each source."""
+    """Snapshots land, the stream notices, the job rebuilds its table from the newest complete one of each source."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string"), F.col("o_orderstatus").alias("status"))
     root, output = scratch_path(spark, "landing"), scratch_path(spark, "current")
     checkpoint = scratch_path(spark, "arrivals")
@@ -34,6 +34,8 @@ def stream_snapshots(spark, sf_dir):
     land_snapshot(orders.where(F.col("status") == "P"), root, "open", "2024-01-01")
     on_new_snapshots(spark, root, rebuild, checkpoint).awaitTermination()
     land_snapshot(orders.where(~finished), root, "open", "2024-01-08")
+    unfinished = orders.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False)
+    unfinished.options(header=True).csv(snapshot_folder(root, "finished", "2024-02-01"))
     on_new_snapshots(spark, root, rebuild, checkpoint).awaitTermination()
     return spark.read.parquet(f"{output}/batch=1")
 

@@ -58,10 +58,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a small table among all cores; one with a scan partition per core or more stays as it is.
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; no frame that reads one may be used afterwards.
 
-    A file with a single row group is read by one task, whatever its size.
+    For the end of an application, or between the jobs of a long one.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

@@ -15,30 +15,61 @@ def snapshot_folder(root: str, source: str, snapshot_date: str) -> str:
 
 
 def land_snapshot(df: DataFrame, root: str, source: str, snapshot_date: str) -> str:
-    """Write one full snapshot. An existing snapshot is never rewritten: file streams would miss that."""
+    """Write one full snapshot and announce it. An existing snapshot is never rewritten: file streams would miss that."""
     folder = snapshot_folder(root, source, snapshot_date)
     write_csv(df, folder, mode="errorifexists")
+    announce(df.sparkSession, root, source, snapshot_date)
     return folder
 
 
+def announcements(root: str) -> str:
+    """Folder of one small text file per complete snapshot; streams watch it, as they do not see closing marks."""
+    return f"{root.rstrip('/')}/landed"
+
+
+def announce(spark: SparkSession, root: str, source: str, snapshot_date: str) -> None:
+    """Tell streams that a snapshot is complete; writers that land files by other means call this afterwards."""
+    if not is_complete(spark, snapshot_folder(root, source, snapshot_date)):
+        raise FileNotFoundError(f"snapshot {snapshot_date} of {source} has no closing mark")
+    note = spark.createDataFrame([(f"{source} {snapshot_date}",)], "value string")
+    note.coalesce(1).write.mode("append").text(announcements(root))
+
+
 def land_raw_files(spark: SparkSession, location: str, root: str, source: str, snapshot_date: str) -> str:
     return land_snapshot(read_raw_csv(spark, location, missing=()), root, source, snapshot_date)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether the writer of a snapshot has set its closing mark."""
+    files, path = _file_system(spark, f"{folder}/_SUCCESS")
+    return files.exists(path)
+
+
 def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
-    """(source, snapshot_date, path) of every landed file; reads names only."""
+    """(source, snapshot_date) of every landed snapshot, unfinished ones too; reads names only."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    return files.select(
-        F.regexp_extract("path", _LAYOUT, 1).alias("source"),
-        F.regexp_extract("path", _LAYOUT, 2).alias("snapshot_date"),
-        "path",
-    ).where(F.col("source") != "")
+    return (
+        files.select(
+            F.regexp_extract("path", _LAYOUT, 1).alias("source"), F.regexp_extract("path", _LAYOUT, 2).alias("snapshot_date")
+        )
+        .where(F.col("source") != "")
+        .distinct()
+    )
 
 
 def latest_snapshots(spark: SparkSession, root: str) -> dict[str, str]:
-    """Newest snapshot date per source."""
-    newest = snapshot_listing(spark, root).groupBy("source").agg(F.max("snapshot_date").alias("newest"))
-    return {row["source"]: row["newest"] for row in newest.collect()}
+    """Newest complete snapshot date per source; a folder without its closing mark does not count."""
+    newest: dict[str, str] = {}
+    for row in snapshot_listing(spark, root).orderBy(F.desc("snapshot_date")).collect():  # one row per snapshot
+        source, date = row["source"], row["snapshot_date"]
+        if source not in newest and is_complete(spark, snapshot_folder(root, source, date)):
+            newest[source] = date
+    return newest
 
 
 def read_latest(spark: SparkSession, root: str, **options) -> DataFrame:
@@ -47,4 +78,4 @@ def read_latest(spark: SparkSession, root: str, **options) -> DataFrame:
     if not newest:
         raise FileNotFoundError(f"no snapshot under {root}")
     folders = [snapshot_folder(root, source, date) for source, date in sorted(newest.items())]
-    return read_raw_csv(spark, folders, header_per="directory", **options)
+    return read_raw_csv(spark, folders, **options)

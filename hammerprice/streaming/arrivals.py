@@ -5,44 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hammerprice.sources.snapshots import read_latest
-
-_FILE = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
+from hammerprice.sources.snapshots import announcements, read_latest
 
 
 def on_new_snapshots(
     spark: SparkSession, root: str, job: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
-    """Call ``job(current raw table, batch id)`` once for all files that arrived since the last run.
+    """Call ``job(current raw table, batch id)`` once for all snapshots that were completed since the last run.
 
-    The stream only discovers paths: contents are read by the batch reader, which binds columns by name.
-    A snapshot replaces its source's older one as a whole, so the job always sees the newest of each
-    source. The batch id makes a repeated call after a failure recognisable.
+    The stream reads the announcements of complete snapshots only: contents are read by the batch reader,
+    which binds columns by name. A snapshot replaces its source's older one as a whole, so the job always
+    sees the newest complete one of each source. The batch id makes a repeated call after a failure
+    recognisable.
     """
-    paths = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE)
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path")
-    )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(announcements(root))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             job(read_latest(batch.sparkSession, root), batch_id)
 
     return (
-        paths.writeStream.foreachBatch(handle)
+        spark.readStream.text(announcements(root))
+        .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

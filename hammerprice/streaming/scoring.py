@@ -34,11 +34,12 @@ def _score(
 
 def score_stream(
     spark: SparkSession, inbox: str, model: Model, output: str, checkpoint: str,
-    schema: T.StructType = SCORING,
+    schema: T.StructType = SCORING, files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Score every new line of JSON under `inbox` into ``output/scored``, bad ones into ``output/rejected``.
 
-    Records are stateless, so there is no watermark. Each batch is read and parsed once and owns the folder
+    Records are stateless, so there is no watermark. A backlog is taken `files_per_batch` files at a time, so
+    that a batch stays of a size that can be held while both outputs are written. Each batch is read and parsed once and owns the folder
     ``batch=<id>`` of both outputs; a batch repeated after a failure replaces its own rows only.
     """
 
@@ -51,7 +52,7 @@ def score_stream(
             validated.unpersist()
 
     return (
-        spark.readStream.text(inbox)
+        spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(inbox)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

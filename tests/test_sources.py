@@ -7,7 +7,7 @@ from hammerprice.operators.combine import union_all
 from hammerprice.schemas import DOMAINS, MODEL_COLUMNS, PROCESSED, RAW, RAW_COLUMNS, SCORING
 from hammerprice.session import scratch_root
 from hammerprice.sources.csv_files import (
-    list_files,
+    read_bad_records,
     read_processed_csv,
     read_raw_csv,
     scan_raw_csv,
@@ -15,7 +15,7 @@ from hammerprice.sources.csv_files import (
     write_csv,
 )
 from hammerprice.sources.metric_log import log_metrics, read_metrics
-from hammerprice.sources.snapshots import land_raw_files, land_snapshot, latest_snapshots, read_latest
+from hammerprice.sources.snapshots import announce, land_raw_files, land_snapshot, latest_snapshots, read_latest
 from hammerprice.sources.tables import load_config, read_split, records, write_splits, write_table
 
 
@@ -29,13 +29,13 @@ def test_files_with_different_headers(spark, tmp_path):
     put(tmp_path / "b.csv", "town,month,price\nYISHUN,2020-03,NA\n")
     put(tmp_path / "sub" / "c.csv", "price,month\n4,2020-04\n")
     put(tmp_path / "d.csv", "town,month,price\nBISHAN,2020-05,5\n")
-    assert len(scans_by_header(spark, str(tmp_path))) == 3
-    got = read_raw_csv(spark, str(tmp_path)).select("month", "town", "price").orderBy("month").collect()
+    assert len(scans_by_header(spark, str(tmp_path), header_per="file")) == 3
+    got = read_raw_csv(spark, str(tmp_path), header_per="file").select("month", "town", "price").orderBy("month").collect()
     assert [tuple(r) for r in got] == [
         ("2020-01", "BED,OK", "1"), ("2020-02", 'say "x"', "2"), ("2020-03", "YISHUN", None), ("2020-04", None, "4"),
         ("2020-05", "BISHAN", "5"),
     ]
-    kept = read_raw_csv(spark, str(tmp_path), missing=()).where("month = '2020-03'").first()
+    kept = read_raw_csv(spark, str(tmp_path), missing=(), header_per="file").where("month = '2020-03'").first()
     assert kept["price"] == "NA"
 
 
@@ -51,12 +51,60 @@ def test_one_header_per_directory_is_checked(spark, tmp_path):
         read_raw_csv(spark, str(tmp_path), header_per="row")
 
 
+def test_records_that_lose_fields_stop_the_job_or_are_set_aside(spark, tmp_path):
+    put(tmp_path / "a.csv", 'month,town\n2020-01,A\n2020-02,B,EXTRA\n2020-03\n2020-04,"x, y"\n')
+    with pytest.raises(Exception, match="surplus fields in record"):
+        read_raw_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="surplus fields in record"):
+        read_raw_csv(spark, str(tmp_path)).select("month").collect()
+    with pytest.raises(Exception, match="surplus fields in record"):
+        read_raw_csv(spark, str(tmp_path)).count()
+    kept = read_raw_csv(spark, str(tmp_path), bad_records="aside").orderBy("month").collect()
+    assert [tuple(r) for r in kept] == [("2020-01", "A"), ("2020-03", None), ("2020-04", "x, y")]
+    assert [tuple(r) for r in read_bad_records(spark, str(tmp_path)).collect()] == [("2020-02,B,EXTRA", "surplus fields")]
+
+
+@pytest.mark.parametrize("columns", ["x,t", "t,x", "t"])
+def test_line_breaks_stay_inside_fields(spark, tmp_path, columns):
+    text = 'one\ntwo ""quoted""\r\nthree, four'
+    cells = {"x": "1", "t": f'"{text}"'}
+    put(tmp_path / "a.csv", columns + "\n" + ",".join(cells[c] for c in columns.split(",")) + "\n")
+    row = read_raw_csv(spark, str(tmp_path), multi_line=True).collect()
+    assert [r["t"] for r in row] == [text.replace('""', '"')]
+    with pytest.raises(Exception, match="open quote in record"):
+        read_raw_csv(spark, str(tmp_path)).collect()
+
+
+def test_own_csv_is_read_back(spark, tmp_path):
+    rows = [(1, 'a\nb "c", d'), (2, ""), (3, "plain"), (4, '"')]
+    df = spark.createDataFrame(rows, "x int, t string")
+    write_csv(df, str(tmp_path / "c"))
+    got = read_processed_csv(spark, str(tmp_path / "c"), df.schema, multi_line=True)
+    assert sorted((r.x, r.t or "") for r in got.collect()) == rows
+    with pytest.raises(Exception, match="open quote in record"):
+        read_processed_csv(spark, str(tmp_path / "c"), df.schema).collect()
+
+
+def test_many_small_files_cost_one_header_read(spark, tmp_path):
+    for i in range(300):
+        put(tmp_path / f"f{i % 3}" / f"{i}.csv", f"month,town\n2020-01,T{i}\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        for header_per in ("directory", "file"):
+            assert len(scans_by_header(spark, str(tmp_path), header_per=header_per)) == 1
+        jobs = tracker.getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 20
+    assert read_raw_csv(spark, str(tmp_path)).count() == 300
+
+
 def test_name_filter_and_empty_location(spark, tmp_path):
     put(tmp_path / "a.csv", "x\n1\n")
     put(tmp_path / "b.csv.bak", "x\n2\n")
     put(tmp_path / "c.txt", "x\n3\n")
     assert sorted(r["x"] for r in union_all(scan_raw_csv(spark, str(tmp_path))).collect()) == ["1", "2"]
-    assert len(list_files(spark, str(tmp_path))) == 3
     (tmp_path / "none").mkdir()
     with pytest.raises(FileNotFoundError):
         read_raw_csv(spark, str(tmp_path / "none"))
@@ -104,6 +152,19 @@ def test_snapshots(spark, tmp_path):
     ]
 
 
+def test_unfinished_snapshots_do_not_count(spark, tmp_path):
+    root = tmp_path / "land"
+    land_snapshot(spark.createDataFrame([("2020-01", "A")], "month string, town string"), str(root), "one", "2024-01-01")
+    put(root / "source=one" / "snapshot_date=2024-02-01" / "part-0.csv", "month,town\n2020-02,B\n")
+    put(root / "source=two" / "snapshot_date=2024-02-01" / "part-0.csv", "month,town\n2020-03,C\n")
+    assert latest_snapshots(spark, str(root)) == {"one": "2024-01-01"}
+    with pytest.raises(FileNotFoundError):
+        announce(spark, str(root), "two", "2024-02-01")
+    put(root / "source=two" / "snapshot_date=2024-02-01" / "_SUCCESS", "")
+    announce(spark, str(root), "two", "2024-02-01")
+    assert latest_snapshots(spark, str(root)) == {"one": "2024-01-01", "two": "2024-02-01"}
+
+
 def test_metric_log(spark, tmp_path):
     path = str(tmp_path / "log")
     log_metrics(spark, path, "e", "r1", {"rmse": 1.23456}, {"numTrees": 125})
