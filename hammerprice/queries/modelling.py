@@ -1,7 +1,7 @@
 """Preparation, regression, search, importance and promotion over whole tables.
 
-The linear models have closed forms, so their folds, grids, importances and gates are checked in SQL; the
-forests have none.
+The linear models have closed forms, so their folds, grids, importances and gates are checked in SQL; so are those of
+a forest without sampling on one feature of few values.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def priced_lines(spark, sf_dir):
 
 PRICED_SQL = """
 lines AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, p_retailprice + l_discount * 100 AS y,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, p_size, p_retailprice + l_discount * 100 AS y,
          CAST(l_partkey AS DOUBLE) AS x1, l_quantity AS x2, CAST(date_trunc('month', o_orderdate) AS DATE) AS month
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 ),
@@ -304,33 +304,85 @@ def linear_importance(spark, sf_dir):
     return rounded(found, 9, "importance_mean", "importance_std")
 
 
-# ---- forests: no closed form, so rows only ----
+# ---- forests ----
 
-_SMALL_FOREST = {"numTrees": 5, "maxDepth": 6}
-_FOREST_NUMERIC, _FOREST_TEXT = ["l_partkey", "l_quantity", "p_size"], ["p_type"]
+# One feature of at most 64 values, every row in every tree and leaves of one value: such a forest predicts the mean
+# of the label by value, which SQL can tell. The tuned settings run in `tune_forest`.
+_EXACT_FOREST = {
+    "numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all", "maxBins": 64, "maxDepth": 16,
+    "minInstancesPerNode": 1,
+}
+_FOREST_SQL = """
+sized AS (SELECT lines.* EXCLUDE (y), y + 100 * p_size AS y FROM lines),
+means AS (SELECT p_size, avg(y) AS p FROM sized, cut WHERE month < before GROUP BY p_size),
+scored AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS i, y, p_size, p
+           FROM sized JOIN means USING (p_size), cut WHERE month = before)
+"""
+
+
+def _sized_lines(spark, sf_dir):
+    return priced_lines(spark, sf_dir).withColumn("price", F.col("price") + 100 * F.col("p_size"))
 
 
 def _forest():
-    return regression_pipeline(random_forest("price", **_SMALL_FOREST), _FOREST_NUMERIC, _FOREST_TEXT)
+    return regression_pipeline(random_forest("price", **_EXACT_FOREST), ["p_size"], [])
 
 
-@query()
+@query(
+    f"""
+WITH {PRICED_SQL}, {_FOREST_SQL}
+SELECT count(*) AS example_count, round(avg(abs(y - p)), 6) AS mean_absolute_error,
+       round(avg(pow(y - p, 2)), 4) AS mean_squared_error, round(sqrt(avg(pow(y - p, 2))), 6) AS root_mean_squared_error,
+       round(sum(y), 2) AS sum_on_target, round(avg(y), 6) AS mean_on_target,
+       round(1 - avg(pow(y - p, 2)) / var_pop(y), 9) AS r2_score, round(max(abs(y - p)), 6) AS max_error,
+       round(avg(abs(y - p) / abs(y)), 9) AS mean_absolute_percentage_error
+FROM scored
+"""
+)
 def forest_scores(spark, sf_dir):
     """A forest trained on all but the two newest months, scored on the month before the newest."""
-    splits = relative_month_split(priced_lines(spark, sf_dir))
-    return report(_forest().fit(splits["train"]).transform(splits["test"]), "price", "prediction")
+    splits = relative_month_split(_sized_lines(spark, sf_dir))
+    scores = report(_forest().fit(splits["train"]).transform(splits["test"]), "price", "prediction")
+    digits = {
+        "mean_absolute_error": 6, "mean_squared_error": 4, "root_mean_squared_error": 6, "sum_on_target": 2,
+        "mean_on_target": 6, "r2_score": 9, "max_error": 6, "mean_absolute_percentage_error": 9,
+    }
+    return scores.withColumns({name: F.round(name, n) for name, n in digits.items()})
 
 
-@query()
+@query(
+    f"""
+WITH {PRICED_SQL}, {_FOREST_SQL},
+r AS (SELECT row_number() OVER (ORDER BY month, l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS i, p_size, y
+      FROM sized, cut WHERE month < before),
+n AS (SELECT count(*) AS n, count(*) // 6 AS t FROM r),
+f AS (SELECT CAST(k AS INTEGER) AS fold, n - (5 - k) * t AS s, t FROM n, range(5) g(k)),
+m AS (SELECT fold, s, t, p_size, avg(y) AS p FROM f JOIN r ON i < s GROUP BY fold, s, t, p_size)
+SELECT 0 AS candidate, fold, round(sqrt(avg(pow(y - p, 2))), 6) AS rmse
+FROM m JOIN r ON i >= s AND i < s + t AND r.p_size = m.p_size GROUP BY fold
+"""
+)
 def forest_search(spark, sf_dir):
     """A forest over five expanding folds."""
-    train = relative_month_split(priced_lines(spark, sf_dir))["train"]
-    return cross_validate(_forest(), train, "price", ["month", *TIES]).scores
+    train = relative_month_split(_sized_lines(spark, sf_dir))["train"]
+    return rounded(cross_validate(_forest(), train, "price", ["month", *TIES]).scores, 6, "rmse")
 
 
-@query()
+@query(
+    f"""
+WITH {PRICED_SQL}, {_FOREST_SQL},
+k AS (SELECT repeat, i, p, CAST('0x' || left(md5('42|' || repeat || '|' || i), 15) AS BIGINT) AS key
+      FROM scored, range(10) r(repeat)),
+d AS (SELECT repeat, row_number() OVER (PARTITION BY repeat ORDER BY key, i) - 1 AS i, p AS given FROM k),
+base AS (SELECT avg(pow(y - p, 2)) AS mse, var_pop(y) AS spread FROM scored),
+e AS (SELECT repeat, avg(pow(y - given, 2)) AS mse FROM scored JOIN d USING (i) GROUP BY repeat)
+SELECT 'p_size' AS feature, round(avg((e.mse - base.mse) / spread), 9) AS importance_mean,
+       round(stddev_pop((e.mse - base.mse) / spread), 9) AS importance_std FROM e, base
+"""
+)
 def forest_importance(spark, sf_dir):
-    splits = relative_month_split(priced_lines(spark, sf_dir))
+    """Permutation importance of the forest's feature on the month before the newest."""
+    splits = relative_month_split(_sized_lines(spark, sf_dir))
     model = _forest().fit(splits["train"])
-    features = _FOREST_NUMERIC + _FOREST_TEXT
-    return permutation_importance(model, splits["test"], features, "price", TIES)
+    found = permutation_importance(model, splits["test"], ["p_size"], "price", TIES)
+    return rounded(found, 9, "importance_mean", "importance_std")

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from hammerprice.operators.contracts import validate_records
 from hammerprice.queries.frame import table
 from hammerprice.queries.registry import query
+from hammerprice.session import scratch_path
+from hammerprice.sources.tables import load_config, records
 
 EVENT_RECORD = T.StructType(
     [
@@ -60,3 +62,35 @@ def record_validation(spark, sf_dir):
     """Typed fields of every record and the names of those that are missing or wrong."""
     checked = validate_records(event_records(spark, sf_dir), "raw", EVENT_RECORD)
     return checked.select("event_id", "k", "v", "name", F.array_join("rejected_fields", ",").alias("rejected"))
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey, n_regionkey = 0 AS first FROM nation")
+def literal_records(spark, sf_dir):
+    """Records given as plain values; a field that a record lacks is NULL."""
+    nations = table(spark, sf_dir, "nation")
+    rows = [row.asDict() for row in nations.collect()]  # a list that is short by nature
+    some = [{k: v for k, v in row.items() if k != "n_regionkey" or v == 0} for row in rows]
+    given = records(spark, some, nations.schema).select("n_nationkey", "n_name", F.col("n_regionkey").alias("known"))
+    return given.join(nations.select("n_nationkey", "n_regionkey"), "n_nationkey").select(
+        "n_nationkey", "n_name", "n_regionkey", F.col("known").isNotNull().alias("first")
+    )
+
+
+@query(
+    """
+SELECT 'o_orderpriority' AS "column", o_orderpriority AS value, count(*) AS n FROM orders
+WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') GROUP BY o_orderpriority
+"""
+)
+def config_domains(spark, sf_dir):
+    """Value lists from a configuration file, and the values of a table that they lack."""
+    path = scratch_path(spark, "config") + ".json"
+    lists = table(spark, sf_dir, "orders").where("o_orderpriority < '3'").select("o_orderpriority").distinct()
+    named = lists.agg(F.sort_array(F.collect_list("o_orderpriority")).alias("o_orderpriority"))
+    named.select(F.to_json(F.struct("o_orderpriority"))).coalesce(1).write.text(path)
+    domains = load_config(spark, path)
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority")
+    outside = orders.where(~F.col("o_orderpriority").isin(domains["o_orderpriority"]))
+    return outside.groupBy(F.col("o_orderpriority").alias("value")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("o_orderpriority").alias("column"), "value", "n"
+    )

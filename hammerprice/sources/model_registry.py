@@ -44,9 +44,11 @@ def save_model(model: PipelineModel, root: str, version: str) -> str:
 def current_champion(spark: SparkSession, root: str) -> Champion | None:
     try:
         pointers = spark.read.schema(_POINTER).parquet(f"{root.rstrip('/')}/champions")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    row = pointers.orderBy(F.desc("sequence")).limit(1).first()
+    row = pointers.orderBy(F.desc("sequence"), F.desc("version")).limit(1).first()
     return row and Champion(row["sequence"], row["version"], row["path"], json.loads(row["settings"]))
 
 
@@ -59,5 +61,10 @@ def promote_model(spark: SparkSession, model: PipelineModel, root: str, version:
     path = save_model(model, root, version)
     champion = Champion(previous.sequence + 1 if previous else 1, version, path, dict(settings))
     row = (champion.sequence, version, path, json.dumps(settings), dt.datetime.now(dt.timezone.utc))
-    spark.createDataFrame([row], _POINTER).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/champions")
+    pointers = f"{root.rstrip('/')}/champions"
+    spark.createDataFrame([row], _POINTER).coalesce(1).write.mode("append").parquet(pointers)
+    same = spark.read.schema(_POINTER).parquet(pointers).where(F.col("sequence") == champion.sequence)
+    rivals = sorted(r["version"] for r in same.collect())
+    if len(rivals) > 1:
+        raise RuntimeError(f"versions {rivals} were promoted at once; {rivals[-1]} is champion, promote anew what should be")
     return champion

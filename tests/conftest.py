@@ -7,14 +7,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from hammerprice.session import local_session  # noqa: E402
 
-# Tables are tiny here, and compiling a class per stage would take most of the time. tests/oracle.py and
-# bench.py run the same queries with generated code.
-_SETTINGS = {"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false"}
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", 8, **_SETTINGS)
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(
+        "tests", 8, **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": f"file://{shared}"}
+    )
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

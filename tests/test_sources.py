@@ -2,8 +2,9 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from hammerprice.operators.combine import union_all
+from hammerprice.operators.combine import align_full, union_all
 from hammerprice.schemas import DOMAINS, MODEL_COLUMNS, PROCESSED, RAW, RAW_COLUMNS, SCORING
 from hammerprice.session import scratch_root
 from hammerprice.sources.csv_files import (
@@ -130,10 +131,10 @@ def test_literal_records_and_config(spark, tmp_path):
     assert got["town"] == "Bedok" and got["flat_age_years"] == 46 and got["flat_type"] is None
     assert len(SCORING) == 7 and len(PROCESSED) == 8 and len(RAW_COLUMNS) == 11
     put(tmp_path / "c.json", json.dumps({"data_towns": ["Bedok"]}))
-    assert load_config(str(tmp_path / "c.json")) == {"data_towns": ["Bedok"]}
+    assert load_config(spark, str(tmp_path / "c.json")) == {"data_towns": ["Bedok"]}
     pytest.importorskip("yaml")
     put(tmp_path / "c.yaml", "data_storey_range:\n  - '1-15'\n  - '16-30'\n")
-    assert load_config(str(tmp_path / "c.yaml")) == {"data_storey_range": ["1-15", "16-30"]}
+    assert load_config(spark, str(tmp_path / "c.yaml")) == {"data_storey_range": ["1-15", "16-30"]}
     assert [len(v) for v in DOMAINS.values()] == [26, 7, 18, 3]
 
 
@@ -180,3 +181,50 @@ def test_scratch_folder_is_the_configured_one(spark):
 
 def test_raw_schema_is_text_only():
     assert {f.dataType.simpleString() for f in RAW} == {"string"}
+
+
+def test_two_promotions_at_once_are_noticed(spark, tmp_path):
+    from pyspark.ml import Pipeline
+
+    from hammerprice.sources import model_registry as registry
+
+    root = str(tmp_path / "models")
+    model = Pipeline(stages=[]).fit(spark.range(1))
+    assert registry.current_champion(spark, root) is None
+    assert registry.promote_model(spark, model, root, "a", {}).sequence == 1
+    pointer = spark.read.parquet(f"{root}/champions").withColumns({"version": F.lit("z"), "sequence": F.lit(2)})
+    real = registry.current_champion
+    try:  # another run promotes between this one's reading and writing
+        registry.current_champion = lambda *args: real(*args) if False else registry.Champion(1, "a", root, {})
+        pointer.write.mode("append").parquet(f"{root}/champions")
+        with pytest.raises(RuntimeError, match="promoted at once"):
+            registry.promote_model(spark, model, root, "b", {})
+    finally:
+        registry.current_champion = real
+    assert registry.current_champion(spark, root).version == "z"
+
+
+def test_hot_keys_on_both_sides_of_an_aligned_join(spark):
+    rng = range(400)
+    left = spark.createDataFrame([(1 if i % 3 == 0 else i, i) for i in rng] + [(None, -1)], "k int, a int")
+    right = spark.createDataFrame([(1 if i % 4 == 0 else 2 * i, i) for i in rng] + [(None, -2)], "k int, b int")
+    got = sorted(align_full([left, right]).collect(), key=str)
+    want = sorted(left.join(right, "k", "full").select("k", "a", "b").collect(), key=str)
+    assert got == want
+
+
+def test_rows_with_very_many_copies_unfold(spark):
+    many = spark.range(700).selectExpr("'x' AS k")
+    got = align_full([many, many]).groupBy("k").count().collect()
+    assert [tuple(r) for r in got] == [("x", 490_000)]
+
+
+def test_scratch_can_be_dropped(spark):
+    from hammerprice.session import drop_scratch, materialize
+
+    kept = materialize(spark.range(3), "dropped")
+    assert kept.count() == 3
+    other = scratch_root(spark)
+    drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FileNotFound|FILE_NOT_EXIST"):
+        spark.read.parquet(f"{other}/none").count()
