@@ -36,6 +36,20 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return materialize(counted.select(name.alias("column"), "value", "n"), "value-counts")
 
 
+def column_counts(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
+    """(column, text, value, n) of the values in text and numeric columns, in durable form, from one scan of `df`.
+
+    Combined map-side as in `value_counts`; numbers stand in `value`, texts in `text`.
+    """
+    number = lambda c: F.nullif(F.col(c).cast("double"), F.lit(math.nan))
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    cells = [(no_text, number(c)) for c in numeric] + [(F.col(c), no_number) for c in text]
+    rows = [F.struct(F.lit(i).alias("which"), t.alias("text"), v.alias("value")) for i, (t, v) in enumerate(cells, start=1)]
+    counted = df.select(F.inline(F.array(*rows))).groupBy("which", "text", "value").agg(F.count(F.lit(1)).alias("n"))
+    name = F.element_at(F.array(*[F.lit(c) for c in [*numeric, *text]]), F.col("which"))
+    return materialize(counted.select(name.alias("column"), "text", "value", "n"), "column-counts")
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
@@ -131,11 +145,13 @@ def quantile_table(df: DataFrame, columns: Sequence[str], buckets: int = 10) ->
 # ---- histograms and the population stability index ----
 
 
-def histogram_shares(counted: DataFrame, actual: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+def histogram_shares(
+    counted: DataFrame, actual: DataFrame, edges: Mapping[str, Sequence[float]], actual_counted: bool = False
+) -> DataFrame:
     """(column, bin, lower, upper, expected_count, actual_count, expected_share, actual_share).
 
     The expected side comes as its `value_counts`, which finding the edges needed anyway, so that the
-    large training table is scanned once. Bins are ``[lower, upper)``, the last one closed. Values outside
+    large training table is scanned once; with `actual_counted` so does the other side. Bins are ``[lower, upper)``, the last one closed. Values outside
     every bin, and missing ones, are in no count but in the denominator of the shares.
     """
     bins = [
@@ -145,15 +161,17 @@ def histogram_shares(counted: DataFrame, actual: DataFrame, edges: Mapping[str,
     ]
     inside = lambda value, lo, hi, closed: (value >= lo) & (value <= hi if closed else value < hi)
     of = lambda c: F.col("column") == c
-    expected_bins = [
+    counted_bins = [
         F.sum(F.when(of(c) & inside(F.col("value"), lo, hi, closed), F.col("n")).otherwise(0))
         for c, _, lo, hi, closed in bins
     ]
-    actual_bins = [F.count_if(inside(F.col(c).cast("double"), lo, hi, closed)) for c, _, lo, hi, closed in bins]
-    expected_rows = F.sum(F.when(of(next(iter(edges))), F.col("n")).otherwise(0))
-    sides = _one_row(counted, True, expected_rows, expected_bins).unionAll(
-        _one_row(actual, False, F.count(F.lit(1)), actual_bins)
-    )
+    counted_rows = F.sum(F.when(of(next(iter(edges))), F.col("n")).otherwise(0))
+    raw_bins = [F.count_if(inside(F.col(c).cast("double"), lo, hi, closed)) for c, _, lo, hi, closed in bins]
+    if actual_counted:
+        other = _one_row(actual, False, counted_rows, counted_bins)
+    else:
+        other = _one_row(actual, False, F.count(F.lit(1)), raw_bins)
+    sides = _one_row(counted, True, counted_rows, counted_bins).unionAll(other)
     rows = F.array(
         *[
             F.struct(
@@ -240,6 +258,17 @@ def category_presence(train: DataFrame, test: DataFrame, columns: Sequence[str]
     )
 
 
+def presence_of_counts(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`category_presence` from `column_counts` of both sides."""
+    sides = [side.where(F.col("column").isin(*columns)).select("column", "text", F.lit(old).alias("old"))
+             for side, old in ((train, True), (test, False))]
+    return (
+        sides[0].unionAll(sides[1])
+        .groupBy("column", F.col("text").alias("value"))
+        .agg(F.bool_or("old").alias("in_train"), F.bool_or(~F.col("old")).alias("in_test"))
+    )
+
+
 def unseen_categories(train: DataFrame, test: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, value) of the text values that occur in `test` only; NULL counts as a value."""
     presence = category_presence(train, test, columns)
@@ -251,12 +280,16 @@ def category_checks(train: DataFrame, test: DataFrame, columns: Sequence[str] |
 
     A category list is short by nature. `unseen_categories` has the same values as rows, for columns that are not.
     """
+    return checks_of_presence(category_presence(train, test, columns))
+
+
+def checks_of_presence(presence: DataFrame) -> DataFrame:
+    """`category_checks` from `category_presence`."""
     new = F.col("in_test") & ~F.col("in_train")
     values = F.sort_array(F.collect_list(F.when(new, F.col("value"))))
     null_too = F.bool_or(new & F.col("value").isNull())
     return (
-        category_presence(train, test, columns)
-        .groupBy("column")
+        presence.groupBy("column")
         .agg(F.when(null_too, F.array_append(values, F.lit("NULL"))).otherwise(values).alias("unseen"))
         .withColumn("failed", F.size("unseen") > 0)
     )
