@@ -1,7 +1,8 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
 Labelled documents give the examples, at most `per_class` of either class, chosen by a hash of their id. A term is kept if
-its document counts in the two classes differ by a chi-square of at least `least_chi2`; the `max_terms` largest stay. Terms are
+its document counts in the two classes differ by a chi-square of at least `least_chi2` and its odds by `LEAST_ODDS` times; the
+`max_terms` largest stay. Terms are
 words and their beginnings; all words without a chosen term count as one further term, so that density matters. Document frequencies are counted over the whole corpus. Example vectors fill an inverted index whose posting lists are cut
 into blocks of examples; each term keeps its largest weight per block. For a query, the blocks' bounds (query times those
 maxima) order the search: the best blocks are scored first, then every block whose bound reaches the k-th score so far, so
@@ -31,6 +32,8 @@ from hammerprice.llm.columns import id_and_bytes, map_slices, slices, written
 PER_CLASS = 4000
 MAX_TERMS = 1024
 LEAST_CHI2 = 25.0
+#: Words that are common in both classes say little of one document, however sure the difference is.
+LEAST_ODDS = 4.0
 NEIGHBOURS = 25
 BLOCK = 64
 PREFIXES = range(4, 10)
@@ -68,11 +71,22 @@ def _expanded(docs: np.ndarray, codes: np.ndarray, held: list[list[int]]) -> tup
 def _term_counts(texts: list[bytes], terms: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, term and number of occurrences, by document and term; words without a term count as term `len(terms)`."""
     docs, codes, distinct = _words(texts)
-    size, get = len(terms) + 1, terms.get
-    held = [[i for feature in features(word) if (i := get(feature)) is not None] or [size - 1] for word in distinct]
-    docs, found = _expanded(docs, codes, held)
-    pairs, counts = np.unique(docs * size + found, return_counts=True)
-    return pairs // size, pairs % size, counts
+    heads, get, size = {term[:4] for term in terms}, terms.get, len(terms) + 1
+    row_of, held = np.full(len(distinct), -1), []
+    for i, word in enumerate(distinct):
+        if word[:4] in heads or word[:3] + b"*" in heads:
+            hits = [term for feature in features(word) if (term := get(feature)) is not None]
+            if hits:
+                row_of[i] = len(held)
+                held.append(hits)
+    row = row_of[codes] if len(codes) else codes
+    plain = np.bincount(docs[row < 0], minlength=len(texts))
+    own, found = _expanded(docs[row >= 0], row[row >= 0], held)
+    pairs, counts = np.unique(own * size + found, return_counts=True)
+    rest = np.flatnonzero(plain)
+    pairs, counts = np.concatenate([pairs, rest * size + size - 1]), np.concatenate([counts, plain[rest]])
+    order = np.argsort(pairs, kind="stable")
+    return pairs[order] // size, pairs[order] % size, counts[order]
 
 
 def choose_terms(sample: DataFrame, sizes: dict[int, int], max_terms: int, least_chi2: float) -> list[bytes]:
@@ -100,7 +114,9 @@ def choose_terms(sample: DataFrame, sizes: dict[int, int], max_terms: int, least
     share, n = positives / total, F.col("n")
     spread = n * share * (1 - share) * (1 - n / F.lit(float(total)))
     chi2 = F.when(spread > 0, (F.col("toxic") - n * share) * (F.col("toxic") - n * share) / spread).otherwise(0.0)
-    best = counts.select("term", chi2.alias("chi2")).where(F.col("chi2") >= least_chi2)
+    odds = (F.col("toxic") + 0.5) / (n - F.col("toxic") + 0.5) * (1 - share) / share
+    telling = (odds >= LEAST_ODDS) | (odds <= 1 / LEAST_ODDS)
+    best = counts.where(telling).select("term", chi2.alias("chi2")).where(F.col("chi2") >= least_chi2)
     return [bytes(row["term"]) for row in best.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()]
 
 
