@@ -20,11 +20,6 @@ def score_records(
     return _score(validate_records(lines.select(raw), raw, schema), model, schema, raw, prediction)
 
 
-def reject_records(lines: DataFrame, schema: T.StructType = SCORING, raw: str = "value") -> DataFrame:
-    """Invalid records as they came, with the fields that were wrong."""
-    return rejected(validate_records(lines.select(raw), raw, schema), raw)
-
-
 def _score(
     validated: DataFrame, model: Model, schema: T.StructType, raw: str = "value", prediction: str = "prediction"
 ) -> DataFrame:
