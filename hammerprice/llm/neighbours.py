@@ -35,7 +35,7 @@ THRESHOLD = 58
 FIRST_WIDTH = 0.05
 GROWTH = 1.2
 LEVELS = 24
-START = 0.8
+START = 0.85
 WANTED = 600
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
@@ -63,47 +63,57 @@ def lines(components: int, count: int, seed: int) -> np.ndarray:
 
 
 class CollisionIndex:
-    """Sorted projections of a block of vectors on every line."""
+    """Sorted projections of a block of vectors on every line, and each vector's place in them."""
 
     def __init__(self, vectors: np.ndarray, norms: np.ndarray, largest: float, projections: int, seed: int):
-        self.vectors = vectors
         self.lines = lines(vectors.shape[1], projections, seed)
         rest = np.sqrt(np.maximum(0.0, 1.0 - (norms / largest) ** 2))
-        projected = self.project(np.column_stack([vectors / largest, rest]))
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
-        self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
-
-    def project(self, vectors: np.ndarray) -> np.ndarray:
-        return vectors @ self.lines
+        projected = np.column_stack([vectors / largest, rest]) @ self.lines
+        order = np.argsort(projected, axis=0, kind="stable").T
+        self.sorted = np.take_along_axis(projected.T, order, axis=1)
+        self.places = np.empty(order.shape, np.uint16 if len(vectors) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.places, order, np.arange(len(vectors), dtype=self.places.dtype)[None, :], axis=1)
+
+    def _windows(self, at: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First place and size of the windows around `at` (by query and line), as wide as each query's level says."""
+        width = FIRST_WIDTH * GROWTH**level
+        first, size = np.empty(at.shape, self.places.dtype), np.empty(at.shape, self.places.dtype)
+        for line, row in enumerate(self.sorted):
+            first[:, line] = low = np.searchsorted(row, at[:, line] - width)
+            size[:, line] = np.searchsorted(row, at[:, line] + width, "right") - low
+        return first, size
 
-    def verified(self, queries: np.ndarray, threshold: int, wanted: int) -> Iterator[np.ndarray]:
-        """For each query the vectors that collide often enough, from the narrowest windows that give `wanted` of them.
+    def verified(self, queries: np.ndarray, threshold: int, wanted: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Each query's number and the vectors that collide often enough, from the narrowest windows that give `wanted`.
 
-        Windows that hold too small a share of the vectors for `threshold` collisions to be usual are passed over.
+        Windows that hold too small a share of the vectors for `threshold` collisions to be usual are passed over. With
+        no window wide enough all vectors are verified.
         """
-        n, count = len(self.vectors), len(self.sorted)
+        count, n = self.places.shape
         if n <= wanted:
-            yield from (np.arange(n) for _ in queries)
+            yield from ((query, np.arange(n)) for query in range(len(queries)))
             return
-        at = self.project(np.column_stack([queries / np.linalg.norm(queries, axis=1)[:, None], np.zeros(len(queries))]))
-        widths = FIRST_WIDTH * GROWTH ** np.arange(LEVELS)
-        low = np.empty((len(queries), LEVELS, count), np.int32)
-        high = np.empty_like(low)
-        for line, row in enumerate(self.sorted):
-            low[:, :, line] = np.searchsorted(row, at[:, line, None] - widths)
-            high[:, :, line] = np.searchsorted(row, at[:, line, None] + widths, "right")
-        share = (high - low).mean(axis=2) / n
-        first = np.argmax(share >= START * threshold / count, axis=1)
-        for query, level in enumerate(first.tolist()):
-            found = np.arange(n)
-            for wider in range(level, LEVELS):  # beyond the last width all vectors are verified
-                windows = zip(self.order, low[query, wider].tolist(), high[query, wider].tolist(), strict=True)
-                collided = np.concatenate([order[a:b] for order, a, b in windows])
-                hits = np.flatnonzero(np.bincount(collided, minlength=n) >= threshold)
-                if len(hits) >= wanted:
-                    found = hits
-                    break
-            yield found
+        at = np.column_stack([queries / np.linalg.norm(queries, axis=1)[:, None], np.zeros(len(queries))]) @ self.lines
+        level, beyond = np.zeros(len(queries), np.int64), np.full(len(queries), LEVELS)
+        while (level < beyond).any():  # bisect for the first level with the share
+            middle = (level + beyond) // 2
+            enough = self._windows(at, middle)[1].mean(axis=1) >= START * threshold / count * n
+            beyond, level = np.where(enough, middle, beyond), np.where(enough, level, np.minimum(middle + 1, beyond))
+        left = np.arange(len(queries))
+        while len(left):
+            first, size = self._windows(at[left], level[left])
+            again = []
+            for i, query in enumerate(left.tolist()):
+                inside = (self.places - first[i][:, None]) < size[i][:, None]  # places before the window wrap around
+                found = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=np.uint8 if count < 256 else np.uint32) >= threshold)
+                if len(found) >= wanted:
+                    yield query, found
+                elif level[query] + 1 < LEVELS:
+                    again.append(query)
+                else:
+                    yield query, np.arange(n)
+            left = np.array(again, np.int64)
+            level[left] += 1
 
 
 def nearest(
@@ -145,16 +155,17 @@ def nearest(
         block = block.sort_values("vec_id")
         ids, rows = block["vec_id"].to_numpy(), np.stack(block["vector"].to_list())
         index = CollisionIndex(rows, block["norm"].to_numpy(), largest, projections, seed)
-        asking, out = np.stack(queries["vector"].to_list()), []
-        for query_id, query, at in zip(queries["vec_id"], asking, index.verified(asking, threshold, wanted), strict=True):
+        asked_ids, asking, out = queries["vec_id"].to_numpy(), np.stack(queries["vector"].to_list()), []
+        for number, at in index.verified(asking, threshold, wanted):
+            query = asking[number]
             scores = rows[at] @ query
             if len(at) > k + 1:
                 at = at[scores >= np.partition(scores, -k - 1)[-k - 1] - 1e-12 * np.abs(scores).max()]
-            at = at[ids[at] != query_id]
+            at = at[ids[at] != asked_ids[number]]
             scores = np.array([math.fsum(x) for x in (rows[at] * query).tolist()])
             best = np.lexsort((ids[at], -scores))[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[at][best], "score": scores[best]}))
-        return pd.concat(out)
+            out.append((np.full(len(best), asked_ids[number]), ids[at][best], scores[best]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)), strict=True)))
 
     keys = ["block", "query_block", "components"]
     found = asked.groupBy(*keys).cogroup(stored.groupBy(*keys)).applyInPandas(search, FOUND)

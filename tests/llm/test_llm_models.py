@@ -283,7 +283,10 @@ def test_collisions_are_counted_in_windows():
     lines = index.lines
     projected = np.column_stack([rows, np.zeros(600)]) @ lines
     widths = neighbours.FIRST_WIDTH * neighbours.GROWTH ** np.arange(neighbours.LEVELS)
-    for query, found in zip(queries, index.verified(queries, 15, 30), strict=True):
+    found_of = dict(index.verified(queries, 15, 30))
+    assert sorted(found_of) == list(range(20))
+    for number, query in enumerate(queries):
+        found = found_of[number]
         at = np.append(query / np.linalg.norm(query), 0) @ lines
         near = [np.flatnonzero((np.abs(projected - at) <= w).sum(axis=1) >= 15) for w in widths]
         assert any(np.array_equal(found, x) for x in near if len(x) >= 30)
