@@ -46,8 +46,8 @@ class WordTokenizer:
     """Texts to ids as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space, lower-cases, and never merges across words, so a text's ids are those of its chunks.
-    New chunks of Latin script are taken apart into words, which are encoded together; the library gets others as they are,
-    and whole texts in which special tokens may stand.
+    New chunks of Latin script are taken apart into words and encoded word by word; the library gets others as they are, and
+    whole texts in which special tokens may stand.
     """
 
     #: Where chunks are Latin script, lower-casing and the word pattern mean the same here and in the library.
@@ -67,8 +67,9 @@ class WordTokenizer:
             ends[i] = token.endswith("</w>")
             sentence[i] = token.endswith((".</w>", "!</w>", "?</w>"))
         self.ends, self.sentence = ends, sentence
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
         self.find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.chunks = Memo(lambda chunk: self._whole(chunk), entries=300_000)
+        self.chunks = Memo(lambda chunk: self._whole(chunk), entries=400_000)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         special = [b"<|" in text for text in texts]
@@ -83,29 +84,35 @@ class WordTokenizer:
         return np.array(ids, "<u4").tobytes()
 
     def _learn(self, chunks: list[bytes]) -> None:
-        """Put the new ones of `chunks` into the memo; those of Latin script are encoded in one call."""
-        known, older = self.chunks, self.chunks.older
+        """Put the new ones of `chunks` into the memo.
+
+        Words of ASCII are what the library's pre-tokenizer makes of them, so its model gets them at once.
+        """
+        known, older, model, packed = self.chunks, self.chunks.older, self.library.model.tokenize, self.packed
         new = [chunk for chunk in chunks if chunk not in known and chunk not in older]
+        known.make_room(len(new))
         split: dict[bytes, list[str]] = {}
         for chunk in new:
             if chunk.isalpha():
-                split[chunk] = [chunk.decode()]
+                known[chunk] = b"".join([packed[token.id] for token in model(chunk.decode())])
             elif self.LATIN.fullmatch(text := chunk.decode("utf-8", "replace")):
-                split[chunk] = self.find((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
-        if not split:
-            return
-        words = [word for found in split.values() for word in found]
-        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1  # each word has one token that ends it
-        if len(ends) != len(words):
-            raise RuntimeError("the tokenizer does not end every word with one token")
-        ends = [0, *(ends * 4).tolist()]
-        packed, word, last = ids.tobytes(), 0, 0
-        known.make_room(len(split))
-        for chunk, found in split.items():
-            word += len(found)
-            known[chunk] = packed[last : ends[word]]
-            last = ends[word]
+                if text.isascii():
+                    known[chunk] = b"".join([packed[t.id] for word in self.find(text) for t in model(word)])
+                else:
+                    split[chunk] = self.find(unicodedata.normalize("NFC", text).lower())
+        rest = list(split)
+        for start in range(0, len(rest), 64):  # longer texts take the library more time a word
+            some = rest[start : start + 64]
+            words = [word for chunk in some for word in split[chunk]]
+            ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1  # each word has one token that ends it
+            if len(ends) != len(words):
+                raise RuntimeError("the tokenizer does not end every word with one token")
+            ends, joined = [0, *(ends * 4).tolist()], ids.tobytes()
+            word = 0
+            for chunk in some:
+                last, word = word, word + len(split[chunk])
+                known[chunk] = joined[ends[last] : ends[word]]
 
 
 @lru_cache(maxsize=1)
