@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from hammerprice.llm.columns import free_shuffles, id_and_bytes, slices, written
 
 #: Most distinct texts (as seen by the tasks that met them) in a bucket before it splits.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 
 ENTRY = "bucket int, hash long, chain int, sha256 binary, keep_id long, group_size long, n_bytes long"
 
