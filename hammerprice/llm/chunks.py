@@ -16,7 +16,8 @@ LONG = 256
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)] + [0xFFFFFFFFFFFFFFFF], np.uint64)
+#: Masks of the first bytes of a little-endian word.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)] + [0xFFFFFFFFFFFFFFFF], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,12 +54,12 @@ class Chunks:
         words = np.ndarray((len(self.bytes) - 7,), "<u8", self.bytes, strides=(1,))
         length = self.ends - self.starts
         keys = length.astype(np.uint64) << np.uint64(56)
-        np.bitwise_xor(keys, words[self.starts] & _MASKS[np.minimum(length, 8)], out=keys)
+        np.bitwise_xor(keys, words[self.starts] & MASKS[np.minimum(length, 8)], out=keys)
         mix(keys)
         more, done = np.flatnonzero((length > 8) & (length <= LONG)), 8
         while len(more):
             left = length[more] - done
-            block = words[self.starts[more] + done] & _MASKS[np.minimum(left, 8)]
+            block = words[self.starts[more] + done] & MASKS[np.minimum(left, 8)]
             keys[more] = mix((keys[more] * np.uint64(0x9E3779B97F4A7C15)) ^ block)
             more, done = more[left > 8], done + 8
         for i in np.flatnonzero(length > LONG).tolist():

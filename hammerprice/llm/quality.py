@@ -17,6 +17,8 @@ order go to the smaller id. An empty table gives no rows and no weights.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hammerprice.llm.chunks import Chunks, white_space_words
+from hammerprice.llm.chunks import LOWER, MASKS, Chunks, mix, white_space_words
 from hammerprice.llm.columns import id_and_bytes, map_slices, written
 
 SAMPLE_ROWS = 20_000
@@ -42,34 +44,56 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _PLAIN = bytes(c for c in range(128) if chr(c).isalnum() or chr(c).isspace() or chr(c) in ".,;:'\"-()")
 _HIGH = bytes(range(128, 256))
-_SHAPE = bytearray(range(256))
-for _c in range(256):
-    _SHAPE[_c] = 65 if 65 <= _c < 91 else 97 if 97 <= _c < 123 or _c >= 128 else 48 if 48 <= _c < 58 else _c
-_SHAPE = bytes(_SHAPE)
+#: Shape of a byte: upper case, letter, digit, or the sign itself.
+_SHAPE = bytes(
+    65 if 65 <= c < 91 else 97 if 97 <= c < 123 or c >= 128 else 48 if 48 <= c < 58 else c for c in range(256)
+)
 
 
+def _table(wanted: Callable[[int], bool]) -> np.ndarray:
+    return np.array([wanted(c) for c in range(256)])
+
+
+_LETTER = _table(lambda c: c >= 128 or chr(c).isalpha())
+_STOP = _table(lambda c: chr(c) in ".!?")
+_MARK = _table(lambda c: chr(c) in "!#$%&*+/<=>@\\^_`{|}~")
+
+
+@dataclass
 class Document:
     """What labellers and features need of one text."""
 
-    def __init__(self, text: bytes, counts: dict[bytes, int], echoes: int):
-        self.counts = counts
-        self.words = sum(counts.values())
-        self.echoes = echoes / max(1, self.words)  # words that repeat the one before
-        self.signs = len(text.translate(None, _PLAIN + _HIGH)) / max(1, len(text.translate(None, b" \t\n\r\v\f")))
-        upper = len(text) - len(text.translate(None, _UPPER))
-        lower = len(text) - len(text.translate(None, _LOWER))
-        self.upper = upper / max(1, upper + lower)
-        self.letterless = sum(n for word, n in counts.items() if not word.translate(None, _NO_LETTER)) / max(1, self.words)
-        self.top = max(counts.values(), default=0) / max(1, self.words)
-        self.distinct = len(counts) / max(1, self.words)
-        self.stops = sum(n for word, n in counts.items() if word.endswith((b".", b"!", b"?"))) / max(1, self.words)
-        lines = [line for line in text.split(b"\n") if line.strip()]
-        self.repeated = 1 - len(set(lines)) / max(1, len(lines))
-        self.length = sum(len(word) * n for word, n in counts.items()) / max(1, self.words)
-        self.marked = sum(n for word, n in counts.items() if word[-1:] in b"!#$%&*+/<=>@\\^_`{|}~") / max(1, self.words)
-
+    words: int
+    upper: float  # share of upper case among ASCII letters
+    signs: float  # share of uncommon signs among bytes
+    letterless: float  # shares of words without a letter, that end a sentence, that end in a mark
+    stops: float
+    marked: float
+    echoes: float  # share of words that repeat the one before
+    top: float  # share of the commonest word
+    distinct: float
+    length: float  # mean, in bytes
+    repeated: float  # share of lines that occur before
+    hashes: tuple[np.ndarray, np.ndarray] | None  # of the words in lower case and of their shapes
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum per text of a value per word."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[first])
+
+
+def _shapes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word's shape: its first eight runs of like bytes."""
+    shape = np.frombuffer(raw.translate(_SHAPE), np.uint8)
+    turns = np.ones(len(shape), bool)
+    turns[1:] = shape[1:] != shape[:-1]
+    turns[starts] = True
+    before = np.concatenate([[0], np.cumsum(turns)])
+    runs = np.concatenate([shape[turns], np.zeros(8, np.uint8)])
+    at = before[starts]
+    words = np.ndarray((len(runs) - 7,), "<u8", runs, strides=(1,))
+    return mix((words[at] & MASKS[np.minimum(before[ends] - at, 8)]) ^ np.uint64(0xA5A5A5A5A5A5A5A5))
 
-_NO_LETTER = bytes(c for c in range(128) if not chr(c).isalpha())
 
 #: Each returns 1 for good, -1 for bad, 0 to abstain. Most know one kind of junk and have no opinion on anything else.
 LABELLERS = {
@@ -86,14 +110,47 @@ LABELLERS = {
 }
 
 
-def documents(texts: list[bytes]) -> list[Document]:
-    chunks = Chunks(texts, white_space_words)
-    codes, words = chunks.distinct()
+def documents(texts: list[bytes], hashed: bool = False) -> list[Document]:
+    """Words are runs without white space, told apart in lower case; `hashed` adds what `features` needs."""
+    chunks = Chunks(texts, white_space_words, LOWER)
+    keys, first, starts, ends = chunks.keys(), chunks.first, chunks.starts, chunks.ends
+    codes, _ = pd.factorize(keys)
+    raw = b"".join(texts)
+    data = np.frombuffer(raw, np.uint8)
+    letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+    words = np.diff(first)
+    each = np.maximum(words, 1)
+    last = data[ends - 1] if len(ends) else data[:0]
+    echo = np.zeros(len(codes), bool)
+    echo[1:] = codes[1:] == codes[:-1]
+    echo[first[:-1][words > 0]] = False
+    shares = [
+        (_sums(x, first) / each).tolist()
+        for x in (letters[ends] == letters[starts], _STOP[last], _MARK[last], echo, ends - starts)
+    ]
+    shapes = _shapes(raw, starts, ends) if hashed and len(starts) else keys
     out = []
-    for text, a, b in zip(texts, chunks.first.tolist(), chunks.first[1:].tolist(), strict=False):
-        found, counts = np.unique(codes[a:b], return_counts=True)
-        echoes = int((codes[a + 1 : b] == codes[a : max(a, b - 1)]).sum())
-        out.append(Document(text, {words[i]: n for i, n in zip(found.tolist(), counts.tolist(), strict=True)}, echoes))
+    for i, (text, a, b) in enumerate(zip(texts, first.tolist(), first[1:].tolist(), strict=False)):
+        _, counts = np.unique(codes[a:b], return_counts=True)
+        upper, lower = len(text) - len(text.translate(None, _UPPER)), len(text) - len(text.translate(None, _LOWER))
+        lines = [line for line in text.split(b"\n") if line.strip()]
+        letterless, stops, marked, echoes, length = (share[i] for share in shares)
+        out.append(
+            Document(
+                words=b - a,
+                upper=upper / max(1, upper + lower),
+                signs=len(text.translate(None, _PLAIN + _HIGH)) / max(1, len(text.translate(None, b" \t\n\r\v\f"))),
+                letterless=letterless,
+                stops=stops,
+                marked=marked,
+                echoes=echoes,
+                top=float(counts.max()) / (b - a) if b > a else 0.0,
+                distinct=len(counts) / max(1, b - a),
+                length=length,
+                repeated=1 - len(set(lines)) / max(1, len(lines)),
+                hashes=(keys[a:b], shapes[a:b]) if hashed else None,
+            )
+        )
     return out
 
 
@@ -101,35 +158,22 @@ def votes(document: Document) -> tuple[int, ...]:
     return tuple(rule(document) for rule in LABELLERS.values()) if document.words else (0,) * len(LABELLERS)
 
 
-_slots: dict[bytes, int] = {}
-
-
-def _slot(feature: bytes, bits: int) -> int:
-    slot = _slots.get(feature)
-    if slot is None:
-        if len(_slots) > 200_000:
-            _slots.clear()
-        slot = _slots[feature] = xxhash.xxh3_64_intdigest(feature)
-    return slot & (1 << bits) - 1
-
-
 def features(document: Document, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Slots and values (of length about 1 together) of a document's hashed features."""
-    total: dict[int, float] = {}
-    shapes: Counter[bytes] = Counter()
-    for word, n in document.counts.items():
-        slot = _slot(word.lower(), bits)
-        total[slot] = total.get(slot, 0.0) + 0.2 * n / document.words
-        shape = word.translate(_SHAPE)
-        shapes[shape[:1] + bytes(b for a, b in zip(shape, shape[1:], strict=False) if a != b)[:8]] += n
-    for shape, n in shapes.items():
-        slot = _slot(b"\0" + shape, bits)
-        total[slot] = total.get(slot, 0.0) + n / document.words
-    ratios = (document.upper, document.signs, document.letterless, document.top, document.distinct, document.echoes, document.repeated)
-    for i, ratio in enumerate(ratios if document.words else ()):
-        slot = _slot(b"\1%d %d" % (i, min(9, int(ratio * 10))), bits)
-        total[slot] = total.get(slot, 0.0) + 0.1
-    return np.array(list(total), np.int64), np.sqrt(np.array(list(total.values()), np.float64))
+    if not document.words:
+        return np.zeros(0, np.int64), np.zeros(0)
+    ratios = (
+        document.upper, document.signs, document.letterless, document.top, document.distinct, document.echoes,
+        document.repeated,
+    )
+    bands = [xxhash.xxh3_64_intdigest(b"\1%d %d" % (i, min(9, int(ratio * 10)))) for i, ratio in enumerate(ratios)]
+    words, shapes = document.hashes
+    hashes = np.concatenate([words, shapes, np.array(bands, np.uint64)])
+    shares = np.full(len(hashes), 1 / document.words)
+    shares[: len(words)] *= 0.2
+    shares[len(hashes) - len(bands) :] = 0.1
+    slots, place = np.unique((hashes & np.uint64((1 << bits) - 1)).astype(np.int32), return_inverse=True)
+    return slots.astype(np.int64), np.sqrt(np.bincount(place, weights=shares))
 
 
 class WeakLabels:
@@ -207,7 +251,7 @@ def fit(texts: DataFrame, weak: WeakLabels, sample_rows: int, shards: int, bits:
     sample = texts.join(F.broadcast(written(ids, "quality-ids")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def described(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = documents(part.column("text").to_pylist())
+        found = documents(part.column("text").to_pylist(), hashed=True)
         slots, vals = zip(*(features(document, bits) for document in found), strict=True)
         return pa.RecordBatch.from_pydict(
             {
@@ -262,7 +306,7 @@ def quality(
     scorer = Scorer(texts, sample_rows, shards, bits)
 
     def score(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = documents(part.column("text").to_pylist())
+        found = documents(part.column("text").to_pylist(), hashed=True)
         cast = [votes(document) for document in found]
         known = {pattern: scorer.weak.posterior(pattern) for pattern in set(cast)}
         scores = [scorer.score(document) for document in found]
@@ -286,7 +330,7 @@ def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def keep(part: pa.RecordBatch) -> pa.RecordBatch:
         texts = [(text or "").encode() for text in part.column(at).to_pylist()]
-        good = [scorer.score(document) >= LEAST_SCORE for document in documents(texts)]
+        good = [scorer.score(document) >= LEAST_SCORE for document in documents(texts, hashed=True)]
         return part.filter(pa.array(good, pa.bool_()))
 
     return map_slices(df, keep, df.schema)
