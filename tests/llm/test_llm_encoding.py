@@ -46,7 +46,7 @@ def test_bpe_equals_the_library(cut):
 def test_bpe_merges_the_leftmost_pair_of_a_rank_first():
     ranks = {bytes([i]): i for i in range(256)} | {b"aa": 256, b"aab": 257, b"ba": 258, b"aaa": 259}
     encoder = byte_bpe.PairEncoder(ranks, r"\S+")
-    assert encoder.parts(b"aaaaab") == [b"aa", b"aa", b"ab"] or encoder.parts(b"aaaaab") == [b"aa", b"aa", b"a", b"b"]
+    assert encoder.parts(b"aaaaab") == [b"aa", b"aaa", b"b"]
     own = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
     for text in ("aaaaab", "abaabaaab", "baaab", "aaaaaaaa", "b"):
         assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == own.encode_ordinary(text)
