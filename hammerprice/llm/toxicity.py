@@ -1,36 +1,45 @@
-"""Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity from the nearest labelled examples by exact cosine of class-weighted TF-IDF over a block-max inverted index.
 
-Labelled documents give the examples, at most `per_class` of either class, chosen by a hash of their id. A term is kept if
-its document counts in the two classes differ by a chi-square of at least `least_chi2` and its odds by `LEAST_ODDS` times; the
-`max_terms` largest stay. Terms are
-words and their beginnings; all words without a chosen term count as one further term, so that density matters. Document frequencies are counted over the whole corpus. Example vectors fill an inverted index whose posting lists are cut
-into blocks of examples; each term keeps its largest weight per block. For a query, the blocks' bounds (query times those
-maxima) order the search: the best blocks are scored first, then every block whose bound reaches the k-th score so far, so
-the k nearest are exact. Their votes, weighted by cosine and by how thinly their class was sampled, and smoothed towards
-the share of that class among all labels, give the score; the nearest ids are the evidence.
+Labelled documents give the examples, at most `per_class` of either class, chosen by a hash of their id. Terms are words and
+their beginnings, and every term of every example is in the index, known by 64-bit keys. Document frequencies are counted
+over the whole corpus. A term's weight is (1 + log of its count) * idf * (1 + |evidence|): evidence is the log of how much its
+odds of being in a toxic example differ from those of any example, drawn towards 0 as with `EVIDENCE` more examples that say
+nothing, so that it grows gradually with what is known of a term and no term is left out. Terms of a text that no example
+holds count in its length, with the idf of a term of one document. Example vectors fill an inverted index whose posting
+lists are cut into blocks of examples; each term keeps its largest weight per block. For a query, the blocks' bounds (query
+times those maxima) order the search: the best blocks are scored first, then every block whose bound reaches the k-th score
+so far, so the k nearest are exact. Their votes, weighted by cosine and by how thinly their class was sampled, and smoothed
+towards the share of that class among all labels, give the score; the nearest ids are the evidence.
 
-The index is bounded by `per_class` and `max_terms` and goes to every task; the corpus streams past it.
+The index is bounded by the texts of 2 * `per_class` examples and goes to every task; the corpus streams past it.
+
+With `max_terms`, only so many terms are used, all words without one count as one further term, and nothing but idf weighs
+them: those whose document counts differ between the classes by a chi-square of at least `least_chi2` and by odds of
+`LEAST_ODDS` times.
 
 Edge cases: a text without words, also a null or empty one, has no neighbours and gets the prior share. Ties in
 cosine go to the smaller doc_id. A doc_id labelled twice counts with its largest label; null labels and ids are left out.
-Without labels of both classes no term is chosen and every score is the share of the one class (0 without labels). Repeated rows are scored
+Without labels of both classes every
+score is the share of the one class (0 without labels). Repeated rows are scored
 each. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import copy
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hammerprice.llm.chunks import LOWER, Chunks, words_and_signs
+from hammerprice.llm.chunks import LOWER, Chunks, mix, words_and_signs
 from hammerprice.llm.columns import id_and_bytes, map_slices, slices, written
 
 PER_CLASS = 4000
-MAX_TERMS = 1024
+EVIDENCE = 10.0
 LEAST_CHI2 = 25.0
 #: Words that are common in both classes say little of one document, however sure the difference is.
 LEAST_ODDS = 4.0
@@ -89,6 +98,40 @@ def _term_counts(texts: list[bytes], terms: dict[bytes, int]) -> tuple[np.ndarra
     return pairs[order] // size, pairs[order] % size, counts[order]
 
 
+def feature_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, feature and number of occurrences, by document and feature, and the keys of the distinct features."""
+    chunks = Chunks(texts, words_and_signs, LOWER)
+    words, distinct = pd.factorize(chunks.keys())
+    at = np.empty(len(distinct), np.int64)
+    at[words[::-1]] = np.arange(len(words) - 1, -1, -1)
+    docs, n = np.repeat(np.arange(len(texts)), np.diff(chunks.first)), max(1, len(distinct))
+    pairs, counts = np.unique(docs * n + words, return_counts=True)
+    docs, words = pairs // n, pairs % n
+    length, beginning = (chunks.ends - chunks.starts)[at], copy.copy(chunks)
+    keys, feature, of = [distinct], [words], [np.arange(len(words))]
+    for size in PREFIXES:
+        longer = np.flatnonzero(length > size)
+        beginning.starts, beginning.ends = chunks.starts[at[longer]], chunks.starts[at[longer]] + size
+        codes, found = pd.factorize(mix(beginning.keys() ^ np.uint64(size)))
+        number = np.full(len(distinct), -1)
+        number[longer] = codes + sum(map(len, keys))
+        keys.append(found)
+        of.append(np.flatnonzero(number[words] >= 0))
+        feature.append(number[words[of[-1]]])
+    every, of, keys = np.concatenate(feature), np.concatenate(of), np.concatenate(keys)
+    size = max(1, len(keys))
+    pairs, each = np.unique(docs[of] * size + every, return_inverse=True)
+    return pairs // size, pairs % size, np.bincount(each, weights=counts[of], minlength=len(pairs)).astype(np.int64), keys
+
+
+def _found(texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, place in the sorted `keys` (their number if absent) and number of occurrences of every feature."""
+    docs, codes, counts, own = feature_counts(texts)
+    place = np.searchsorted(keys, own)
+    known = np.append(keys, np.uint64(0))[place] == own
+    return docs, np.where(known & (place < len(keys)), place, len(keys))[codes], counts
+
+
 def choose_terms(sample: DataFrame, sizes: dict[int, int], max_terms: int, least_chi2: float) -> list[bytes]:
     """Terms whose document counts differ most between the classes of the sample (`text`, `label`)."""
 
@@ -120,26 +163,28 @@ def choose_terms(sample: DataFrame, sizes: dict[int, int], max_terms: int, least
     return [bytes(row["term"]) for row in best.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()]
 
 
-def document_frequencies(texts: DataFrame, terms: list[bytes]) -> np.ndarray:
-    """Number of documents of the whole corpus that hold each term, and that hold words without one."""
-    number = {term: i for i, term in enumerate(terms)}
+Counter = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def document_frequencies(texts: DataFrame, counted: Counter, size: int) -> np.ndarray:
+    """Number of documents of the whole corpus that hold each of `size` terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(number) + 1, np.int64)
+        total = np.zeros(size + 1, np.int64)
         for part in slices(batches):
-            total += np.bincount(_term_counts(part.column("text").to_pylist(), number)[1], minlength=len(total))
-        yield pa.RecordBatch.from_pydict({"term": pa.array(np.arange(len(total)), pa.int64()), "n": pa.array(total)})
+            total += np.bincount(counted(part.column("text").to_pylist())[1], minlength=size + 1)
+        held = np.flatnonzero(total[:size])
+        yield pa.RecordBatch.from_pydict({"term": pa.array(held, pa.int64()), "n": pa.array(total[held])})
 
-    rows = texts.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    frequency = np.zeros(len(terms) + 1)
-    for row in rows.collect():  # one row per chosen term
-        frequency[row["term"]] = row["n"]
+    rows = texts.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(size)
+    frequency[rows["term"].to_numpy()] = rows["n"].to_numpy()  # one row per term
     return frequency
 
 
 def _weights(docs: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray, n_docs: int) -> np.ndarray:
     """TF-IDF weights scaled to length 1 by document."""
-    weight = (1 + np.log(counts)) * idf[terms]
+    weight = (1 + np.log(counts, dtype=np.float64)) * idf[terms]
     norm = np.sqrt(np.bincount(docs, weights=weight * weight, minlength=n_docs))
     return weight / np.where(norm > 0, norm, 1)[docs]
 
@@ -153,36 +198,45 @@ class BlockMaxIndex:
 
     def fill(self, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> BlockMaxIndex:
         order = np.lexsort((examples, terms))
-        self.examples, self.weights = examples[order], weights[order]
-        cell = terms[order] * self.n_blocks + self.examples // self.block
-        self.bounds = np.searchsorted(cell, np.arange(len(self.idf) * self.n_blocks + 1))
-        self.maxima = np.zeros((len(self.idf), self.n_blocks))
-        np.maximum.at(self.maxima.reshape(-1), cell, self.weights)
+        self.examples, self.weights = examples[order].astype(np.int32), weights[order]
+        cell = terms[order].astype(np.int64) * self.n_blocks + self.examples // self.block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        cells, self.bounds = cell[first], np.append(first, len(cell)).astype(np.int32)
+        self.maxima = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
+        self.of_term = np.searchsorted(cells, np.arange(len(self.idf) + 1) * self.n_blocks)
+        self.blocks = (cells % max(1, self.n_blocks)).astype(np.int32)
         return self
 
-    def _scores(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of `blocks` that share a term with the query, and their cosines."""
-        cells = (terms[:, None] * self.n_blocks + blocks[None, :]).reshape(-1)
+    def _cells(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cells of the terms (block by block, those that hold an example), their blocks and the query's weights there."""
+        sizes = self.of_term[terms + 1] - self.of_term[terms]
+        stops = np.cumsum(sizes)
+        cells = np.repeat(self.of_term[terms] - (stops - sizes), sizes) + np.arange(sizes.sum())
+        return cells, self.blocks[cells], np.repeat(weights, sizes)
+
+    def _scores(self, cells: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples in `cells` and their cosines, as far as they come from those."""
         starts, sizes = self.bounds[cells], self.bounds[cells + 1] - self.bounds[cells]
         stops = np.cumsum(sizes)
-        at = np.repeat(starts - (stops - sizes), sizes) + np.arange(stops[-1])
-        parts = self.weights[at] * np.repeat(np.repeat(weights, len(blocks)), sizes)
-        sums = np.bincount(self.examples[at], weights=parts, minlength=len(self.ids))
+        at = np.repeat(starts - (stops - sizes), sizes) + np.arange(sizes.sum())
+        sums = np.bincount(self.examples[at], weights=self.weights[at] * np.repeat(weights, sizes), minlength=len(self.ids))
         hit = np.flatnonzero(sums > 0)
         return hit, sums[hit]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0, nearest first, ties to the smaller id."""
-        bound = weights @ self.maxima[terms]
+        cells, blocks, weights = self._cells(terms, weights)
+        bound = np.bincount(blocks, weights=self.maxima[cells] * weights, minlength=self.n_blocks)
         ranked = np.argsort(-bound, kind="stable")
-        ranked = ranked[bound[ranked] > 0]
-        first = max(1, -(-2 * k // self.block))
-        hit, cosine = self._scores(ranked[:first], terms, weights) if len(ranked) else (np.zeros(0, np.int64), np.zeros(0))
-        rest = ranked[first:]
+        todo = bound > 0
+        best = np.zeros(self.n_blocks, bool)
+        best[ranked[: max(1, -(-2 * k // self.block))]] = True
+        hit, cosine = self._scores(cells[best[blocks]], weights[best[blocks]])
+        todo &= ~best
         if len(hit) >= k:
-            rest = rest[bound[rest] >= np.partition(cosine, len(cosine) - k)[len(cosine) - k] - 1e-9]
-        if len(rest):
-            more, more_cosine = self._scores(rest, terms, weights)
+            todo &= bound >= np.partition(cosine, len(cosine) - k)[len(cosine) - k] - 1e-9
+        if todo.any():
+            more, more_cosine = self._scores(cells[todo[blocks]], weights[todo[blocks]])
             hit, cosine = np.concatenate([hit, more]), np.concatenate([cosine, more_cosine])
         order = np.lexsort((self.ids[hit], -np.round(cosine, 12)))[:k]
         return hit[order], cosine[order]
@@ -192,40 +246,85 @@ class BlockMaxIndex:
         return float((mass[self.labels[hit] == 1].sum() + smoothing * prior) / (mass.sum() + smoothing))
 
 
-def build_index(sample: DataFrame, terms: list[bytes], idf: np.ndarray, class_weight: np.ndarray, block: int) -> BlockMaxIndex:
-    number = {term: i for i, term in enumerate(terms)}
+class Examples:
+    """Terms and counts of the examples, one after the other: what goes to the tasks, which make the index of it."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, first: np.ndarray, terms: np.ndarray, counts: np.ndarray):
+        self.ids, self.labels, self.first, self.terms = ids, labels, first, terms
+        self.counts = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+    def keyed(self) -> np.ndarray:
+        """The distinct terms, sorted keys; from now on terms are numbers in them."""
+        keys = np.unique(self.terms.view(np.uint64))
+        self.terms = np.searchsorted(keys, self.terms.view(np.uint64)).astype(np.int32)
+        return keys
+
+    def weighted(self, idf: np.ndarray, class_weight: np.ndarray, block: int, by_class: bool) -> Examples:
+        """`by_class`: idf times `class_factors`."""
+        if by_class:
+            share = float(self.labels.mean()) if len(self.ids) else 0.0
+            idf = idf * class_factors(self.terms, np.repeat(self.labels, np.diff(self.first)), share, len(idf))
+        self.idf, self.class_weight, self.block = idf, class_weight, block
+        return self
+
+    def index(self) -> BlockMaxIndex:
+        """The index, made once in a process."""
+        if "made" not in self.__dict__:
+            idf, sizes = self.idf, np.diff(self.first)
+            heaviest = np.zeros(len(self.ids), np.int64)
+            for i, (a, b) in enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True)):
+                held = self.terms[a:b]
+                heaviest[i] = held[idf[held] == idf[held].max()].max()
+            order = np.lexsort((self.ids, heaviest, self.labels))  # blocks of a kind
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            made = BlockMaxIndex(self.ids[order], self.labels[order], self.class_weight, idf, self.block)
+            examples = np.repeat(place, sizes)
+            self.made = made.fill(examples, self.terms, _weights(examples, self.terms, self.counts, idf, len(self.ids)))
+        return self.made
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "made"}
+
+
+def example_counts(sample: DataFrame, counted: Callable) -> Examples:
+    """The examples with words; `counted` gives documents, terms and counts of texts."""
 
     def vectors(part: pa.RecordBatch) -> pa.RecordBatch:
-        docs, found, counts = _term_counts(part.column("text").to_pylist(), number)
-        splits = np.searchsorted(docs, np.arange(1, part.num_rows))
+        docs, found, counts = counted(part.column("text").to_pylist())
+        bounds = pa.array(np.searchsorted(docs, np.arange(part.num_rows + 1)), pa.int32())
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": part.column("doc_id"),
                 "label": part.column("label"),
-                "terms": pa.array(np.split(found, splits), pa.list_(pa.int64())),
-                "counts": pa.array(np.split(counts, splits), pa.list_(pa.int64())),
+                "terms": pa.ListArray.from_arrays(bounds, pa.array(found, pa.int64())),
+                "counts": pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int32())),
             }
         )
 
-    schema = "doc_id long, label int, terms array<long>, counts array<long>"
+    schema = "doc_id long, label int, terms array<long>, counts array<int>"
     rows = map_slices(sample.select("doc_id", "label", "text"), vectors, schema).where(F.size("terms") > 0)
-    rows = rows.dropDuplicates(["doc_id"]).toPandas()  # at most `per_class` short rows of either class
-    heaviest = [max(t, key=lambda i: (idf[i], i)) for t in rows["terms"]]
-    rows = rows.iloc[np.lexsort((rows["doc_id"], heaviest, rows["label"]))] if len(rows) else rows  # blocks of a kind
-    ids, labels = rows["doc_id"].to_numpy(np.int64), rows["label"].to_numpy(np.int64)
-    index = BlockMaxIndex(ids, labels, class_weight, idf, block)
-    sizes = [len(t) for t in rows["terms"]]
-    examples = np.repeat(np.arange(len(rows)), sizes).astype(np.int64)
-    found = np.concatenate([np.zeros(0, np.int64), *rows["terms"]]).astype(np.int64)
-    counts = np.concatenate([np.ones(0, np.int64), *rows["counts"]]).astype(np.int64)
-    return index.fill(examples, found, _weights(examples, found, counts, idf, len(rows)))
+    table = rows.dropDuplicates(["doc_id"]).toArrow()  # at most `per_class` rows of either class
+    lists = table["terms"].combine_chunks()
+    flat, first = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+    counts = table["counts"].combine_chunks().flatten().to_numpy()
+    return Examples(table["doc_id"].to_numpy(), table["label"].to_numpy().astype(np.int64), first.astype(np.int64), flat, counts)
+
+
+def class_factors(terms: np.ndarray, labels: np.ndarray, share: float, size: int) -> np.ndarray:
+    """1 + |evidence| of every term, from the labels of the examples that hold it and the share of toxic examples."""
+    if not 0 < share < 1:
+        return np.ones(size)
+    toxic, other = (np.bincount(terms[labels == label], minlength=size) for label in (1, 0))
+    odds = (toxic + EVIDENCE * share) / (other + EVIDENCE * (1 - share))
+    return 1 + np.abs(np.log(odds * (1 - share) / share))
 
 
 def toxicity(
     df: DataFrame,
     labels: DataFrame,
     per_class: int = PER_CLASS,
-    max_terms: int = MAX_TERMS,
+    max_terms: int | None = None,
     least_chi2: float = LEAST_CHI2,
     k: int = NEIGHBOURS,
     block: int = BLOCK,
@@ -250,17 +349,40 @@ def toxicity(
     # At most 2 * per_class ids.
     sample = written(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-examples")
     sizes = {row["label"]: row["n"] for row in sample.groupBy("label").agg(F.countDistinct("doc_id").alias("n")).collect()}
-    terms = choose_terms(sample, sizes, max_terms, least_chi2)
     n_docs = texts.count()
-    idf = np.log((1 + n_docs) / (1 + document_frequencies(texts, terms))) + 1
+    if max_terms is None:
+
+        def own(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            docs, codes, counts, keys = feature_counts(some)
+            return docs, keys[codes].view(np.int64), counts
+
+        rows = example_counts(sample, own)
+        keys = rows.keyed()
+        held, size = spark.sparkContext.broadcast(keys), len(keys)
+
+        def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return _found(some, held.value)
+
+        frequency = np.append(document_frequencies(texts, counted, size), 1.0)  # the last: terms of no example
+    else:
+        terms = choose_terms(sample, sizes, max_terms, least_chi2)
+        number, size = {term: i for i, term in enumerate(terms)}, len(terms) + 1
+
+        def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return _term_counts(some, number)
+
+        rows = example_counts(sample, counted)
+        frequency = document_frequencies(texts, counted, size)
+    idf = np.log((1 + n_docs) / (1 + frequency)) + 1
     class_weight = np.array([totals.get(c, 0) / max(1, min(per_class, totals.get(c, 0))) for c in (0, 1)])
-    index = spark.sparkContext.broadcast(build_index(sample, terms, idf, class_weight, block))
-    number = {term: i for i, term in enumerate(terms)}
+    held_rows = spark.sparkContext.broadcast(rows.weighted(idf, class_weight, block, by_class=max_terms is None))
 
     def score(part: pa.RecordBatch) -> pa.RecordBatch:
-        searched, n = index.value, part.num_rows
-        docs, found, counts = _term_counts(part.column("text").to_pylist(), number)
+        searched, n = held_rows.value.index(), part.num_rows
+        docs, found, counts = counted(part.column("text").to_pylist())
         weights = _weights(docs, found, counts, searched.idf, n) if len(docs) else counts
+        known = found < size  # the others count in the length only
+        docs, found, weights = docs[known], found[known], weights[known]
         bounds = np.searchsorted(docs, np.arange(n + 1)).tolist()
         scores, evidence = [prior] * n, [[]] * n
         alone: dict[int, tuple] = {}  # texts of a single term have the same neighbours

@@ -171,6 +171,36 @@ def test_toxicity_equals_brute_force(spark):
     assert sum(held) >= 0.95 * len(held)
 
 
+def test_toxicity_weighs_every_term_of_the_examples(spark):
+    rows = toxic_rows()
+    rows += [(1000, "The gnarlword, abcdefghijkl fox", 1), (1001, "gnarlwords lazy (x)", 0), (1002, "a dog of lazy mornings", 0)]
+    learned = {i: y for i, _, y in rows if i % 5 or i == 1000}
+    documents = frame(spark, [(i, t) for i, t, _ in rows]).repartition(3)
+    labels = spark.createDataFrame(list(learned.items()), "doc_id long, label int")
+    found = {r.doc_id: r for r in toxicity.toxicity(documents, labels, k=9).collect()}
+    bags = {i: collections.Counter(f for w in split_words(t) for f in toxicity.features(w)) for i, t, _ in rows}
+    share, n = sum(learned.values()) / len(learned), collections.Counter(f for bag in bags.values() for f in bag)
+    of = {y: collections.Counter(f for i, label in learned.items() if label == y for f in bags[i]) for y in (0, 1)}
+    weight = {}
+    for f in n:
+        known = f in of[0] or f in of[1]
+        odds = (of[1][f] + toxicity.EVIDENCE * share) / (of[0][f] + toxicity.EVIDENCE * (1 - share))
+        idf = math.log((1 + len(rows)) / (1 + (n[f] if known else 1))) + 1
+        weight[f] = idf * (1 + abs(math.log(odds * (1 - share) / share)) if known else 1)
+    vecs = {}
+    for i, bag in bags.items():
+        vec = {f: (1 + math.log(c)) * weight[f] for f, c in bag.items()}
+        vecs[i] = {f: x / math.sqrt(sum(x * x for x in vec.values())) for f, x in vec.items()}
+    for i, vec in vecs.items():
+        scores = {j: sum(x * vecs[j].get(f, 0.0) for f, x in vec.items()) for j in learned}
+        near = sorted((-round(x, 12), j) for j, x in scores.items() if x > 0)[:9]
+        mass, toxic = sum(-x for x, _ in near), sum(-x for x, j in near if learned[j])
+        assert abs(found[i].score - (toxic + toxicity.SMOOTHING * share) / (mass + toxicity.SMOOTHING)) < 1e-6
+        assert found[i].evidence == [j for _, j in near[:3]]
+    plain = [found[i] for i, _, y in rows if not y and i < 1000]
+    assert len({r.score for r in plain}) == len(plain)  # no two texts without a telling word are the same
+
+
 def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, None), (None, 1), (4, 7)], "doc_id long, label int")
     assert toxicity.toxicity(frame(spark, []), labels).count() == 0
