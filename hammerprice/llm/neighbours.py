@@ -6,7 +6,10 @@ vectors that collide on at least `threshold` lines are verified by their exact i
 vectors have been verified, the windows widen by `growth` (virtual rehashing: the arrays stay as they are).
 
 Largest inner product is turned into smallest distance first: vectors are scaled by the largest norm and get one more
-component that brings them to length 1, queries are scaled to length 1.
+component that brings them to length 1, queries are scaled to length 1. That component must stay small for collisions to tell
+vectors apart, so each block is cut into ranges of norm, none wider than `NORM_RATIO` unless it has at most `wanted` vectors
+and all are verified. Each range is scaled by its own largest norm and searched from the longest vectors on; the others are
+left once their largest norm times the query's cannot reach the k-th inner product so far.
 
 Vectors are dealt into blocks by a hash of their id; each pair of a block of vectors and a block of queries is one bounded
 task that returns each query's best of that block, and the best of those are the result. Projections depend on the seed
@@ -39,6 +42,7 @@ START = 0.85
 WANTED = 600
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
+NORM_RATIO = 1.05
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -116,6 +120,53 @@ class CollisionIndex:
             level[left] += 1
 
 
+def norm_ranges(norms: np.ndarray, wanted: int) -> Iterator[tuple[int, int]]:
+    """First place and end of the ranges of falling `norms`."""
+    start = 0
+    while start < len(norms):
+        end = max(int(np.searchsorted(-norms, -norms[start] / NORM_RATIO, "right")), min(start + wanted, len(norms)))
+        yield start, end
+        start = end
+
+
+def best_of_block(
+    ids: np.ndarray,
+    rows: np.ndarray,
+    norms: np.ndarray,
+    asked_ids: np.ndarray,
+    asking: np.ndarray,
+    k: int,
+    projections: int = PROJECTIONS,
+    threshold: int = THRESHOLD,
+    wanted: int = WANTED,
+    seed: int = 1,
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Ids and scores of each query's best `k` of a block but itself, best first."""
+    order = np.lexsort((ids, -norms))
+    ids, rows, norms = ids[order], rows[order], norms[order]
+    lengths, least = np.linalg.norm(asking, axis=1), np.full(len(asking), -np.inf)
+    best = [(np.zeros(0, np.int64), np.zeros(0))] * len(asking)
+    for start, end in norm_ranges(norms, wanted):
+        open_ = np.flatnonzero(norms[start] * lengths * (1 + 1e-9) >= least)
+        if not len(open_):
+            break
+        index = CollisionIndex(rows[start:end], norms[start:end], norms[start], projections, seed)
+        for number, at in index.verified(asking[open_], threshold, wanted):
+            asked, at = open_[number], at + start
+            query = asking[asked]
+            scores = rows[at] @ query
+            if len(at) > k + 1:
+                at = at[scores >= np.partition(scores, -k - 1)[-k - 1] - 1e-12 * np.abs(scores).max()]
+            at = at[ids[at] != asked_ids[asked]]
+            scores = np.array([math.fsum(x) for x in (rows[at] * query).tolist()])
+            found, scores = np.append(best[asked][0], ids[at]), np.append(best[asked][1], scores)
+            first = np.lexsort((found, -scores))[:k]
+            best[asked] = found[first], scores[first]
+            if len(first) == k:
+                least[asked] = scores[first[-1]]
+    return best
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -134,10 +185,7 @@ def nearest(
     `is_query` is a condition on `vec_id`. `wanted` vectors are verified at least for each query in each block.
     """
     table = written(usable(vectors, id_col, vector_col).withColumn("components", F.size("vector")), "vectors")
-    sizes = table.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(is_query.cast("long")).alias("q"), F.max("norm").alias("norm")
-    ).first()
-    largest = float(sizes["norm"] or 1.0)
+    sizes = table.agg(F.count(F.lit(1)).alias("n"), F.sum(is_query.cast("long")).alias("q")).first()
     blocks, query_blocks = max(1, -(-sizes["n"] // block_rows)), max(1, -(-(sizes["q"] or 0) // query_rows))
     dealt = F.xxhash64("vec_id", F.lit(seed))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
@@ -152,19 +200,10 @@ def nearest(
     def search(key: tuple, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(block):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        block = block.sort_values("vec_id")
-        ids, rows = block["vec_id"].to_numpy(), np.stack(block["vector"].to_list())
-        index = CollisionIndex(rows, block["norm"].to_numpy(), largest, projections, seed)
-        asked_ids, asking, out = queries["vec_id"].to_numpy(), np.stack(queries["vector"].to_list()), []
-        for number, at in index.verified(asking, threshold, wanted):
-            query = asking[number]
-            scores = rows[at] @ query
-            if len(at) > k + 1:
-                at = at[scores >= np.partition(scores, -k - 1)[-k - 1] - 1e-12 * np.abs(scores).max()]
-            at = at[ids[at] != asked_ids[number]]
-            scores = np.array([math.fsum(x) for x in (rows[at] * query).tolist()])
-            best = np.lexsort((ids[at], -scores))[:k]
-            out.append((np.full(len(best), asked_ids[number]), ids[at][best], scores[best]))
+        ids, rows, norms = block["vec_id"].to_numpy(), np.stack(block["vector"].to_list()), block["norm"].to_numpy()
+        asked_ids, asking = queries["vec_id"].to_numpy(), np.stack(queries["vector"].to_list())
+        best = best_of_block(ids, rows, norms, asked_ids, asking, k, projections, threshold, wanted, seed)
+        out = [(np.full(len(found), i), found, scores) for i, (found, scores) in zip(asked_ids, best, strict=True)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)), strict=True)))
 
     keys = ["block", "query_block", "components"]

@@ -338,3 +338,26 @@ def test_nearest_query_recalls(spark, small):
         assert np.allclose(own.score, scores[at], atol=1e-12) and (np.diff(own.score) <= 1e-12).all()
         assert own["rank"].tolist() == list(range(1, 21))
     assert hits >= 0.9 * len(found) and len(found) == 20 * (ids % 20 == 0).sum()
+
+
+@pytest.mark.parametrize("norms", ["equal", "one of 2", "one of 3", "one of 5", "lognormal", "narrow", "wide"])
+def test_nearest_recalls_in_a_full_block_whatever_the_norms(norms):
+    rng = np.random.default_rng(5)
+    n, k = neighbours.BLOCK_ROWS, 20
+    rows = rng.standard_normal((n, 64))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    asking = rows[:100].copy()
+    if norms.startswith("one"):
+        rows[-1] *= float(norms[-1])
+    elif norms != "equal":
+        rows *= np.exp(rng.standard_normal(n) * {"lognormal": 0.5, "narrow": 0.03, "wide": 2.0}[norms])[:, None]
+    ids = rng.permutation(n)
+    found = neighbours.best_of_block(ids, rows, np.linalg.norm(rows, axis=1), ids[:100], asking, k)
+    hits = 0
+    for q, (own, scores) in enumerate(found):
+        exact = rows @ asking[q]
+        exact[q] = -np.inf
+        hits += len(set(ids[np.lexsort((ids, -exact))[:k]]) & set(own.tolist()))
+        assert len(own) == k and (np.diff(scores) <= 0).all()
+    print(norms, hits / (100 * k))
+    assert hits >= 0.9 * 100 * k
