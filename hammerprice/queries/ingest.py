@@ -87,9 +87,10 @@ def csv_surplus_fields(spark, sf_dir):
         .when(F.col("s_suppkey") % 7 == 4, key)
         .otherwise(F.concat_ws(",", key, name))
     )
-    lines = table(spark, sf_dir, "supplier").select(line.alias("value"))
-    header = spark.createDataFrame([("s_suppkey,s_name",)], "value string")
-    header.unionAll(lines).coalesce(1).write.text(path)
+    lines = table(spark, sf_dir, "supplier").select(line.alias("s_suppkey,s_name"))
+    # One column whose name is the header of every file, its lines as they stand.
+    as_is = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(**as_is).csv(path)
     kept = read_raw_csv(spark, path, bad_records="aside").select(F.lit("record").alias("kind"), F.col("s_suppkey").alias("text"))
     return kept.unionAll(read_bad_records(spark, path).select("reason", "record"))
 

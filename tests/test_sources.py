@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -228,3 +229,21 @@ def test_scratch_can_be_dropped(spark):
     drop_scratch(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FileNotFound|FILE_NOT_EXIST"):
         spark.read.parquet(f"{other}/none").count()
+
+
+def test_records_with_surplus_fields_are_written_by_all_tasks(spark, small, tmp_path):
+    from hammerprice.queries import QUERIES
+
+    supplier = spark.read.parquet(f"{small}/supplier.parquet")
+    supplier.repartition(4, "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    root = Path(scratch_root(spark).removeprefix("file://"))
+    before = set(root.glob("csv-surplus-*"))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task for each file
+    try:
+        found = QUERIES["csv_surplus_fields"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    (folder,) = set(root.glob("csv-surplus-*")) - before
+    files = [f.read_text().splitlines() for f in folder.glob("part-*")]
+    assert len(files) > 1 and all(lines[0] == "s_suppkey,s_name" for lines in files)
+    assert sum(map(len, files)) - len(files) == supplier.count() == len(found)
