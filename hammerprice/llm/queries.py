@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hammerprice.llm import (
+    alignment,
     byte_bpe,
+    conversation_trie,
     exact_dedup,
     near_dedup,
     neighbours,
     packing,
     quality,
+    sharding,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -128,3 +131,32 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query()
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.assign_shards(_table(spark, sf_dir, "documents"), n_shards=40)
+    return shards.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_query()
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    borrowed = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(4))
+    return conversation_trie.trie(conversation_trie.rebuilt_paths(turns, borrowed, every=20))
+
+
+@_query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.linked_counts(_table(spark, sf_dir, "documents"), *paths).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
