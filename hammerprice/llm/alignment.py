@@ -33,14 +33,14 @@ from hammerprice.llm.chunks import Chunks, cut_before
 from hammerprice.llm.columns import id_and_bytes, slices, written
 
 #: A block of documents is closed at so many bytes of text.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 #: Distinct stretches that a task remembers; it forgets them all between two blocks when there are more.
-LEXICON = 300_000
+LEXICON = 200_000
 #: Steps of the merge in one piece.
 PIECE = 512
 
-#: Stretches are encoded so many at a time, longer ones than LONG bytes by themselves.
-RUN, LONG = 128, 256
+#: Stretches are encoded so many at a time, longer ones than LONG bytes by themselves; so many texts go to a tokenizer at once.
+RUN, LONG, SLAB = 128, 256, 64
 
 #: Rows of stretches with their pairs hold so many stretches.
 PAGE = 256
@@ -153,11 +153,18 @@ class _Tokenizers:
         #: Whether no piece of B reaches over a space from what stands before it.
         self.divides = not any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(self.b.get_piece_size()))
 
-    def encode(self, stretches: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
+    def encode(self, stretches: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of stretches that start with a space, which B adds by itself."""
-        texts = [stretch.decode("utf-8", "replace") for stretch in stretches]
-        ids_a = [encoding.ids for encoding in self.a.encode_batch(texts, add_special_tokens=False)]
-        return ids_a, self.b.encode([text[1:] for text in texts], num_threads=1)
+        ids_a, ids_b = [], []
+        for start in range(0, len(stretches), SLAB):  # the library's encodings are many times as large as their ids
+            texts = [stretch.decode("utf-8", "replace") for stretch in stretches[start : start + SLAB]]
+            ids_a += [np.array(encoding.ids, np.int64) for encoding in self.a.encode_batch(texts, add_special_tokens=False)]
+            ids_b += [np.array(ids, np.int64) for ids in self.b.encode([text[1:] for text in texts], num_threads=1)]
+        return ids_a, ids_b
+
+    @staticmethod
+    def _join(table: list[bytes], ids: np.ndarray) -> bytes:
+        return b"".join(map(table.__getitem__, ids.tolist()))
 
     def spell(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids of A and of B, how many each stretch has, and which stretches both spell byte by byte.
@@ -175,15 +182,14 @@ class _Tokenizers:
         bytes_of = [b"".join([stretches[i] for i in run]) for run in runs]
         order: list[int] = []
         parts_a, parts_b, sizes_a, sizes_b = [], [], [], []
-        for run, whole, ids_a, ids_b in zip(runs, bytes_of, *self.encode(bytes_of), strict=True):
-            a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        for run, whole, a, b in zip(runs, bytes_of, *self.encode(bytes_of), strict=True):
             ends = np.cumsum([len(stretches[i]) for i in run])
             ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
             at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
             if (
                 len(a) and len(b) and ends_a[-1] == ends_b[-1] == ends[-1]
                 and (ends_a[at_a] == ends).all() and (ends_b[at_b] == ends).all()
-                and b"".join([self.a_bytes[i] for i in ids_a]) == whole == b"".join([self.b_bytes[i] for i in ids_b])
+                and self._join(self.a_bytes, a) == whole == self._join(self.b_bytes, b)
             ):
                 order += run
                 parts_a.append(a)
@@ -194,11 +200,10 @@ class _Tokenizers:
                 alone += run
         spelled = np.ones(len(stretches), bool)
         for i, ids_a, ids_b in zip(alone, *self.encode([stretches[i] for i in alone]), strict=True):
-            a_whole, b_whole = (b"".join([table[n] for n in ids]) for table, ids in ((self.a_bytes, ids_a), (self.b_bytes, ids_b)))
-            spelled[i] = a_whole == b_whole == stretches[i]
-            kept_a, kept_b = (ids_a, ids_b) if spelled[i] else ([], [])
-            parts_a.append(np.array(kept_a, np.int64))
-            parts_b.append(np.array(kept_b, np.int64))
+            spelled[i] = self._join(self.a_bytes, ids_a) == stretches[i] == self._join(self.b_bytes, ids_b)
+            kept_a, kept_b = (ids_a, ids_b) if spelled[i] else (ids_a[:0], ids_b[:0])
+            parts_a.append(kept_a)
+            parts_b.append(kept_b)
             sizes_a.append(np.array([len(kept_a)]))
             sizes_b.append(np.array([len(kept_b)]))
         order += alone
@@ -443,6 +448,15 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
 
 
+def _portions(bounds: np.ndarray, size: int = 50_000) -> Iterator[tuple[int, int]]:
+    """Ranges of whole documents, of about `size` stretches or one document each."""
+    start = 0
+    while start < bounds[-1]:
+        stop = int(bounds[max(np.searchsorted(bounds, start + size, "right") - 1, np.searchsorted(bounds, start, "right"))])
+        yield start, stop
+        start = stop
+
+
 def _aligned(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     """Rows of `_ROWS` for all blocks of a task."""
     from pyspark import TaskContext
@@ -465,13 +479,16 @@ def _aligned(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Ite
         codes = np.searchsorted(pairs, lexicon.pairs[at])
         first = np.cumsum(sizes) - sizes
 
-        # Documents by pair: distinct (document, stretch), then distinct (document, pair).
-        held = _distinct(doc * max(1, len(used)) + stretch)
-        in_doc, held = held // max(1, len(used)), held % max(1, len(used))
-        held = np.repeat(in_doc, sizes[held]) * max(1, len(pairs)) + codes[_ragged(first[held], sizes[held])]
-        docs = np.bincount(_distinct(held) % max(1, len(pairs)), minlength=len(pairs))
+        # Documents by pair: distinct (document, stretch), then distinct (document, pair), some documents at a time.
+        docs = np.zeros(len(pairs), np.int64)
+        bounds = np.concatenate([[0], np.cumsum(np.diff(block.first) * block.some)])
+        for a, b in _portions(bounds):
+            held = _distinct(doc[a:b] * max(1, len(used)) + stretch[a:b])
+            in_doc, held = held // max(1, len(used)), held % max(1, len(used))
+            held = np.repeat(in_doc, sizes[held]) * max(1, len(pairs)) + codes[_ragged(first[held], sizes[held])]
+            docs += np.bincount(_distinct(held) % max(1, len(pairs)), minlength=len(pairs))
 
-        bounds = np.concatenate([[0], np.cumsum(np.diff(block.first) * block.some)]).tolist()
+        bounds = bounds.tolist()
         totals = {name: block.totals(lexicon.counts[:, i]) for i, name in enumerate(_TOTALS)}
         yield _rows(
             block.n, serial, _DOCUMENT, doc_id=ids, **totals,

@@ -161,10 +161,15 @@ def brute_groups(text):
         return []
     ends_a, ends_b = (list(itertools.accumulate(map(len, each))) for each in (bytes_a, bytes_b))
     cuts = sorted(set(ends_a) & set(ends_b))
-    return [
-        ([i for i, e in zip(ids_a, ends_a, strict=True) if start < e <= end], [i for i, e in zip(ids_b, ends_b, strict=True) if start < e <= end])
-        for start, end in zip([0, *cuts], cuts, strict=False)
-    ]
+    sides = []
+    for ids, ends in ((ids_a, ends_a), (ids_b, ends_b)):
+        groups, at = [], 0
+        for end in cuts:
+            stop = ends.index(end, at) + 1
+            groups.append(ids[at:stop])
+            at = stop
+        sides.append(groups)
+    return list(zip(*sides, strict=True))
 
 
 def brute_linked(rows):
