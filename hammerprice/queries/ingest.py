@@ -68,7 +68,7 @@ def csv_newlines(spark, sf_dir):
     path = scratch_path(spark, "csv-newlines")
     notes = _notes(spark, sf_dir)
     write_csv(notes, path)
-    return read_processed_csv(spark, path, notes.schema, multi_line=True)
+    return read_processed_csv(spark, path, notes.schema)
 
 
 @query(

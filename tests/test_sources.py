@@ -1,4 +1,5 @@
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -81,10 +82,71 @@ def test_own_csv_is_read_back(spark, tmp_path):
     rows = [(1, 'a\nb "c", d'), (2, ""), (3, "plain"), (4, '"')]
     df = spark.createDataFrame(rows, "x int, t string")
     write_csv(df, str(tmp_path / "c"))
-    got = read_processed_csv(spark, str(tmp_path / "c"), df.schema, multi_line=True)
+    got = read_processed_csv(spark, str(tmp_path / "c"), df.schema)
     assert sorted((r.x, r.t or "") for r in got.collect()) == rows
     with pytest.raises(Exception, match="open quote in record"):
-        read_processed_csv(spark, str(tmp_path / "c"), df.schema).collect()
+        read_processed_csv(spark, str(tmp_path / "c"), df.schema, multi_line=False).collect()
+
+
+def scans(df):
+    """File scans in the plan of `df`."""
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [1024, 60])
+def test_files_with_line_breaks_are_split(spark, tmp_path, split, newline):
+    rng = random.Random(split)
+    cell = lambda: "".join(rng.choice(["a", ",", '"', "\n", "été", "\r\n", "x y", ""]) for _ in range(rng.choice([1, 3, 8, 60])))
+    want = []
+    for part in range(4):
+        rows = [(f"{part}-{i}", cell() if part else "plain", cell()) for i in range(50)]
+        quoted = [",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\n\r') else c for c in row) for row in rows]
+        (tmp_path / f"{part}.csv").write_bytes(newline.join(["key,first,a.b", *quoted, ""]).encode())
+        want += rows
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = read_raw_csv(spark, str(tmp_path), missing=(), multi_line=True)
+        assert df.rdd.getNumPartitions() > 8
+        assert sorted((r.key, r.first or "", r["a.b"] or "") for r in df.collect()) == sorted(want)
+        assert df.count() == len(want)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split * 3))
+        with pytest.raises(Exception, match="cut otherwise"):
+            df.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_quotes_within_a_field_hide_no_comma(spark, tmp_path):
+    put(tmp_path / "a.csv", 'k,t\n1,x"y,z"\n2,"a,b"\n3,"a""b,c"\n4,x"y"\n')
+    for multi_line in (False, True):
+        bad = read_bad_records(spark, str(tmp_path), multi_line=multi_line).collect()
+        assert [tuple(r) for r in bad] == [('1,x"y,z"', "surplus fields")]
+        kept = read_raw_csv(spark, str(tmp_path), multi_line=multi_line, bad_records="aside").collect()
+        assert sorted(map(tuple, kept)) == [("2", "a,b"), ("3", 'a"b,c'), ("4", 'x"y"')]
+
+
+def test_text_is_scanned_once(spark, tmp_path):
+    put(tmp_path / "a.csv", 'month,"to.wn"\n2020-01,"A, B"\n\n2020-02,NA\n')
+    for multi_line in (False, True):
+        df = read_raw_csv(spark, str(tmp_path), multi_line=multi_line)
+        assert scans(df) == 1
+        assert sorted((r["month"], r["to.wn"]) for r in df.collect()) == [("2020-01", "A, B"), ("2020-02", None)]
+
+
+def test_a_quote_left_open_is_found_wherever_it_is(spark, tmp_path):
+    put(tmp_path / "a.csv", 'k,t\n1,a\n2,"open\n3,b\n')
+    put(tmp_path / "b.csv", 'k,t\n4,c\n')
+    for multi_line, lost in ((False, '2,"open'), (True, '2,"open\n3,b')):
+        with pytest.raises(Exception, match="open quote in record"):
+            read_raw_csv(spark, str(tmp_path), multi_line=multi_line).count()
+        bad = read_bad_records(spark, str(tmp_path), multi_line=multi_line).collect()
+        assert [tuple(r) for r in bad] == [(lost, "open quote")]
+    aside = read_raw_csv(spark, str(tmp_path), multi_line=True, bad_records="aside").collect()
+    assert sorted(r.k for r in aside) == ["1", "4"]
 
 
 def test_many_small_files_cost_one_header_read(spark, tmp_path):
