@@ -5,13 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerprice.operators.columns import text_columns
+from hammerprice.operators.ranks import Ranked, ranked
 from hammerprice.schemas import DRIFT_COLUMNS
-from hammerprice.session import materialize
 
 PSI_LIMIT = 0.2
 
@@ -23,116 +22,12 @@ def percent_grid(buckets: int) -> list[float]:
     return [i / buckets for i in range(buckets + 1)]
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n) of the numbers in each column, missing ones as NULL, in durable form.
-
-    Combined map-side, so a hot value costs no more than a rare one; one scan serves all columns.
-    """
-    numbers = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(math.nan)).alias(c) for c in columns])
-    # Grouped by the column's number rather than its name: the shuffled rows stay small.
-    pairs = [F.struct(F.lit(i).alias("which"), F.col(c).alias("value")) for i, c in enumerate(columns, start=1)]
-    counted = numbers.select(F.inline(F.array(*pairs))).groupBy("which", "value").agg(F.count(F.lit(1)).alias("n"))
-    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("which"))
-    return materialize(counted.select(name.alias("column"), "value", "n"), "value-counts")
-
-
-def column_counts(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
-    """(column, text, value, n) of the values in text and numeric columns, in durable form, from one scan of `df`.
-
-    Combined map-side as in `value_counts`; numbers stand in `value`, texts in `text`.
-    """
-    number = lambda c: F.nullif(F.col(c).cast("double"), F.lit(math.nan))
-    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
-    cells = [(no_text, number(c)) for c in numeric] + [(F.col(c), no_number) for c in text]
-    rows = [F.struct(F.lit(i).alias("which"), t.alias("text"), v.alias("value")) for i, (t, v) in enumerate(cells, start=1)]
-    counted = df.select(F.inline(F.array(*rows))).groupBy("which", "text", "value").agg(F.count(F.lit(1)).alias("n"))
-    name = F.element_at(F.array(*[F.lit(c) for c in [*numeric, *text]]), F.col("which"))
-    return materialize(counted.select(name.alias("column"), "text", "value", "n"), "column-counts")
-
-
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
-    """Exact, linearly interpolated quantiles per column."""
-    return quantiles_of_counts(value_counts(df, columns), columns, probabilities)
-
-
-def quantiles_of_counts(
-    counted: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, list[float]]:
-    """The same from `value_counts`: missing values are left out.
-
-    All columns are searched together. A column's values are cut into ranges, as many as the root of their number
-    asks for; each range's row count says which ranges hold a wanted rank, and only those are sorted, each in a task
-    of its own. The values of a range are distinct rows, so no single value can make a range hot.
-    """
-    counted = counted.where(F.col("value").isNotNull())
-    sizes = {
-        row["column"]: row
-        for row in counted.groupBy("column").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()
-    }
-    absent = [c for c in columns if c not in sizes]
-    if absent:
-        raise ValueError(f"no values in {absent}")
-    ranged = _ranged(counted, columns, 1 + math.isqrt(max(sizes[c]["values"] for c in columns)) // 8)
-    totals = ranged.groupBy("column", "range").agg(F.sum("n").alias("rows")).collect()  # one row per range
-
-    wanted = []
-    for c in columns:
-        ranks = sorted({r for p in probabilities for r in _ranks(sizes[c]["rows"], p)[:2]})
-        before = 0
-        for number, size in sorted((t["range"], t["rows"]) for t in totals if t["column"] == c):
-            wanted += [(c, number, rank, rank - before) for rank in ranks if before <= rank < before + size]
-            before += size
-    targets = counted.sparkSession.createDataFrame(wanted, "column string, range int, rank bigint, inside bigint")
-
-    up_to = Window.partitionBy("column", "range").orderBy("value")
-    up_to = up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # At most two rows per column and probability.
-    needed = ranged.join(F.broadcast(targets.select("column", "range").distinct()), ["column", "range"], "left_semi")
-    hits = (
-        needed.withColumn("upto", F.sum("n").over(up_to))
-        .join(F.broadcast(targets), ["column", "range"])
-        .where((F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("n")))
-        .select("column", "rank", "value")
-        .collect()
-    )
-    at = {(row["column"], row["rank"]): row["value"] for row in hits}
-    found = {}
-    for c in columns:
-        places = [_ranks(sizes[c]["rows"], p) for p in probabilities]
-        found[c] = [_between(at[c, low], at[c, high], share) for low, high, share in places]
-    return found
-
-
-def _ranged(counted: DataFrame, columns: Sequence[str], ranges: int) -> DataFrame:
-    """`counted` with the number of the range that each value falls in, `ranges` of similar size per column."""
-    if ranges == 1:
-        return counted.withColumn("range", F.lit(0))
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = counted.groupBy("column").agg(F.percentile_approx("value", steps, 10 * ranges).alias("cuts")).collect()
-    splits = {row["column"]: [-math.inf, *sorted(set(row["cuts"])), math.inf] for row in cuts}
-    wide = counted.select("*", *[F.when(F.col("column") == c, F.col("value")).alias(f"_v{i}") for i, c in enumerate(columns)])
-    places = [f"_r{i}" for i in range(len(columns))]
-    cutter = Bucketizer(
-        splitsArray=[splits[c] for c in columns], inputCols=[f"_v{i}" for i in range(len(columns))], outputCols=places,
-        handleInvalid="keep",
-    )
-    place = F.coalesce(*[F.when(F.col("column") == c, F.col(r)) for c, r in zip(columns, places)])
-    return cutter.transform(wide).select("column", "value", "n", place.cast("int").alias("range"))
-
-
-def _ranks(rows: int, probability: float) -> tuple[int, int, float]:
-    """The two neighbouring ranks a quantile lies between, and its share of the way."""
-    position = (rows - 1) * probability
-    return math.floor(position), math.ceil(position), position - math.floor(position)
-
-
-def _between(low: float, high: float, share: float) -> float:
-    """Linear interpolation from the nearer end, so that both ends are met exactly."""
-    if low == high:
-        return low
-    return low + (high - low) * share if share < 0.5 else high - (high - low) * (1 - share)
+    """Exact, linearly interpolated quantiles per column; missing values are left out."""
+    found = ranked(df, columns, probabilities)
+    return {c: found.quantiles(c, probabilities) for c in columns}
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
@@ -146,13 +41,14 @@ def quantile_table(df: DataFrame, columns: Sequence[str], buckets: int = 10) ->
 
 
 def histogram_shares(
-    counted: DataFrame, actual: DataFrame, edges: Mapping[str, Sequence[float]], actual_counted: bool = False
+    expected: DataFrame, actual: DataFrame, edges: Mapping[str, Sequence[float]],
+    known: Ranked | None = None, probabilities: Sequence[float] = (),
 ) -> DataFrame:
     """(column, bin, lower, upper, expected_count, actual_count, expected_share, actual_share).
 
-    The expected side comes as its `value_counts`, which finding the edges needed anyway, so that the
-    large training table is scanned once; with `actual_counted` so does the other side. Bins are ``[lower, upper)``, the last one closed. Values outside
-    every bin, and missing ones, are in no count but in the denominator of the shares.
+    One aggregate over each table. Where `edges` are the quantiles of the expected side, the order statistics that they
+    were found by hold its counts already: `known`, at `probabilities`, saves its scan. Bins are ``[lower, upper)``, the
+    last one closed. Values outside every bin, and missing ones, are in no count but in the denominator of the shares.
     """
     bins = [
         (c, i, float(lo), float(hi), i == len(edges[c]) - 2)
@@ -160,18 +56,14 @@ def histogram_shares(
         for i, (lo, hi) in enumerate(zip(edges[c][:-1], edges[c][1:]))
     ]
     inside = lambda value, lo, hi, closed: (value >= lo) & (value <= hi if closed else value < hi)
-    of = lambda c: F.col("column") == c
-    counted_bins = [
-        F.sum(F.when(of(c) & inside(F.col("value"), lo, hi, closed), F.col("n")).otherwise(0))
-        for c, _, lo, hi, closed in bins
-    ]
-    counted_rows = F.sum(F.when(of(next(iter(edges))), F.col("n")).otherwise(0))
-    raw_bins = [F.count_if(inside(F.col(c).cast("double"), lo, hi, closed)) for c, _, lo, hi, closed in bins]
-    if actual_counted:
-        other = _one_row(actual, False, counted_rows, counted_bins)
+    counts = [F.count_if(inside(F.col(c).cast("double"), lo, hi, closed)) for c, _, lo, hi, closed in bins]
+    if known:
+        numbers = [n for c in edges for n in known.bin_counts(c, probabilities)]
+        schema = ", ".join(["_expected boolean", "_rows bigint", *[f"b{k} bigint" for k in range(len(bins))]])
+        first = actual.sparkSession.createDataFrame([(True, known.table_rows, *numbers)], schema)
     else:
-        other = _one_row(actual, False, F.count(F.lit(1)), raw_bins)
-    sides = _one_row(counted, True, counted_rows, counted_bins).unionAll(other)
+        first = _one_row(expected, True, counts)
+    sides = first.unionAll(_one_row(actual, False, counts))
     rows = F.array(
         *[
             F.struct(
@@ -197,10 +89,18 @@ def histogram_shares(
     )
 
 
-def _one_row(df: DataFrame, expected: bool, rows: Column, counts: list[Column]) -> DataFrame:
-    return df.agg(
-        F.lit(expected).alias("_expected"), rows.alias("_rows"), *[n.alias(f"b{k}") for k, n in enumerate(counts)]
-    )
+def _one_row(df: DataFrame, expected: bool, counts: list[Column]) -> DataFrame:
+    rows = F.count(F.lit(1)).alias("_rows")
+    return df.agg(F.lit(expected).alias("_expected"), rows, *[n.alias(f"b{k}") for k, n in enumerate(counts)])
+
+
+def quantile_shares(
+    expected: DataFrame, actual: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> DataFrame:
+    """`histogram_shares` over the expected side's quantiles."""
+    known = ranked(expected, columns, probabilities)
+    edges = {c: known.quantiles(c, probabilities) for c in columns}
+    return histogram_shares(expected, actual, edges, known, probabilities)
 
 
 def psi_from_shares(shares: DataFrame, limit: float = PSI_LIMIT, on_degenerate: str = "report") -> DataFrame:
@@ -237,9 +137,7 @@ def population_stability(
     limit: float = PSI_LIMIT,
     on_degenerate: str = "report",
 ) -> DataFrame:
-    counted = value_counts(expected, columns)
-    edges = quantiles_of_counts(counted, columns, percent_grid(buckets))
-    return psi_from_shares(histogram_shares(counted, actual, edges), limit, on_degenerate)
+    return psi_from_shares(quantile_shares(expected, actual, columns, percent_grid(buckets)), limit, on_degenerate)
 
 
 # ---- categories ----
@@ -258,17 +156,6 @@ def category_presence(train: DataFrame, test: DataFrame, columns: Sequence[str]
     )
 
 
-def presence_of_counts(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`category_presence` from `column_counts` of both sides."""
-    sides = [side.where(F.col("column").isin(*columns)).select("column", "text", F.lit(old).alias("old"))
-             for side, old in ((train, True), (test, False))]
-    return (
-        sides[0].unionAll(sides[1])
-        .groupBy("column", F.col("text").alias("value"))
-        .agg(F.bool_or("old").alias("in_train"), F.bool_or(~F.col("old")).alias("in_test"))
-    )
-
-
 def unseen_categories(train: DataFrame, test: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, value) of the text values that occur in `test` only; NULL counts as a value."""
     presence = category_presence(train, test, columns)

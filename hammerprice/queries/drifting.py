@@ -9,14 +9,12 @@ from hammerprice.operators.drift import (
     category_checks as check_categories,
     check_table,
     exact_quantiles,
-    histogram_shares,
     percent_grid,
     population_stability,
+    quantile_shares,
     quantile_table,
-    quantiles_of_counts,
     retraining_verdict,
     unseen_categories as find_unseen,
-    value_counts,
 )
 from hammerprice.queries.frame import rounded, table
 from hammerprice.queries.registry import query
@@ -95,8 +93,7 @@ SELECT "column", CAST(bin AS INTEGER) AS bin, round(lower, 6) AS lower, round(up
 )
 def histogram(spark, sf_dir):
     expected, actual = _sides(spark, sf_dir)
-    counted = value_counts(expected, _COLUMNS)
-    shares = histogram_shares(counted, actual, quantiles_of_counts(counted, _COLUMNS, percent_grid(10)))
+    shares = quantile_shares(expected, actual, _COLUMNS, percent_grid(10))
     return rounded(rounded(shares, 6, "lower", "upper"), 9, "expected_share", "actual_share")
 
 

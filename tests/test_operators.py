@@ -1,12 +1,13 @@
 import datetime as dt
 import math
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from hammerprice.operators import drift
+from hammerprice.operators import drift, ranks
 from hammerprice.operators.combine import align_full, is_subset, union_all, values_missing_from
 from hammerprice.operators.contracts import (
     ContractError,
@@ -30,6 +31,7 @@ from hammerprice.operators.splits import (
     relative_month_split,
     year_rules,
 )
+from hammerprice.session import scratch_root
 
 
 def frame(spark, rows, schema):
@@ -301,13 +303,53 @@ def test_quantiles_are_those_of_numpy(spark, values):
         assert got == {name: np.quantile(column, grid).tolist() for name, column in columns.items()}
 
 
+def test_order_keys_are_the_bits(spark):
+    rng = np.random.default_rng(1)
+    bits = rng.integers(0, 2047 << 52, 20_000)
+    values = np.concatenate([bits.view("f8"), -bits.view("f8"), rng.normal(size=5_000), np.arange(-600, 600) / 8])
+    powers = [s * 2.0**e for s in (1, -1) for e in range(-1074, 1024)]
+    near = [np.nextafter(p, t) for p in powers for t in (0, math.inf)]
+    values = np.concatenate([values, powers, near, [0.0, -0.0, math.inf, -math.inf, 5e-324, np.finfo(float).max]])
+    got = spark.createDataFrame(pd.DataFrame({"x": values})).select("x", ranks.order_key(F.col("x")).alias("key")).toPandas()
+    size = np.abs(got["x"].to_numpy()).view("i8")
+    assert (got["key"].to_numpy() == np.where(got["x"] < 0, -size, size)).all()
+    assert [ranks.key_value(k) for k in got["key"]] == got["x"].tolist()
+
+
+def test_rank_search_moves_slots_and_not_values(spark, tmp_path):
+    """What is shuffled does not grow with the distinct values, and nothing is written."""
+    rng = np.random.default_rng(2)
+    root = Path(scratch_root(spark).removeprefix("file://"))
+    before = set(root.glob("*")) if root.exists() else set()
+    for size in (20_000, 200_000):
+        values = rng.lognormal(sigma=3, size=size)
+        spark.createDataFrame(pd.DataFrame({"x": values})).write.parquet(str(tmp_path / str(size)))
+        found = ranks.ranked(spark.read.parquet(str(tmp_path / str(size))), ["x"], drift.percent_grid(10))
+        assert found.quantiles("x", drift.percent_grid(10)) == np.quantile(values, drift.percent_grid(10)).tolist()
+        edges = np.quantile(values, drift.percent_grid(10))
+        assert found.bin_counts("x", drift.percent_grid(10)) == np.histogram(values, edges)[0].tolist()
+    assert (set(root.glob("*")) if root.exists() else set()) == before
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bin_counts_at_equal_and_missing_values(spark, seed):
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, rng.integers(1, 9), 57).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"x": np.append(values, [math.nan] * seed)}))
+    found = ranks.ranked(df, ["x"], drift.percent_grid(10))
+    edges = np.quantile(values, drift.percent_grid(10))
+    assert (found.table_rows, found.rows["x"]) == (57 + seed, 57)
+    bins = list(zip(edges, edges[1:]))
+    want = [int(((values >= a) & ((values < b) | (last & (values == b)))).sum()) for (a, b), last in zip(bins, [False] * 9 + [True])]
+    assert found.bin_counts("x", drift.percent_grid(10)) == want
+
+
 def test_quantile_interpolation(spark):
     assert drift.exact_quantiles(numbers(spark, [1, 2, 3, 10]), ["x"], [0, 0.1, 0.5, 1])["x"] == pytest.approx([1, 1.3, 2.5, 10])
 
 
 def shares(spark, expected, actual, edges):
-    counted = drift.value_counts(numbers(spark, expected), ["x"])
-    rows = drift.histogram_shares(counted, numbers(spark, actual), {"x": edges}).orderBy("bin").collect()
+    rows = drift.histogram_shares(numbers(spark, expected), numbers(spark, actual), {"x": edges}).orderBy("bin").collect()
     return [tuple(r[c] for c in ("expected_count", "actual_count", "expected_share", "actual_share")) for r in rows]
 
 
