@@ -33,13 +33,18 @@ class PopulationScaler(Estimator, HasInputCols, HasOutputCols, DefaultParamsRead
             *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names)],
             *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(names)],
         ).first()
-        terms = []
-        for i, (name, out) in enumerate(zip(names, self.getOutputCols())):
-            mean, spread = moments[f"m{i}"], moments[f"s{i}"]
-            if mean is None:
-                raise ValueError(f"column {name} holds no value to scale by")
-            terms.append(f"(CAST(`{name}` AS DOUBLE) - ({mean!r}D)) / ({(spread or 1.0)!r}D) AS `{out}`")
-        return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
+        found = [(moments[f"m{i}"], moments[f"s{i}"]) for i in range(len(names))]
+        return scaling(names, self.getOutputCols(), found)
+
+
+def scaling(names: list[str], outputs: list[str], moments: list[tuple[float | None, float]]) -> SQLTransformer:
+    """The fitted `PopulationScaler` of known means and deviations."""
+    terms = []
+    for name, out, (mean, spread) in zip(names, outputs, moments):
+        if mean is None:
+            raise ValueError(f"column {name} holds no value to scale by")
+        terms.append(f"(CAST(`{name}` AS DOUBLE) - ({float(mean)!r}D)) / ({float(spread or 1.0)!r}D) AS `{out}`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 
 
 def preparation_stages(

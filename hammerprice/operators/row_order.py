@@ -38,13 +38,14 @@ class OrderedRows:
 
     def between(self, start: int, stop: int) -> DataFrame:
         """Rows at positions ``start <= position < stop``; the bounds reach the Parquet scan."""
-        inside = (F.col("_id") >= self._id_at(start)) & (F.col("_id") < self._id_at(stop))
+        inside = (F.col("_id") >= self.id_at(start)) & (F.col("_id") < self.id_at(stop))
         return self.frame.where(inside).drop("_id")
 
     def all(self) -> DataFrame:
         return self.frame.drop("_id")
 
-    def _id_at(self, row: int) -> int:
+    def id_at(self, row: int) -> int:
+        """The `_id` of a row position: rows before it have smaller ones, the others not."""
         part, offset = [o for o in self.offsets if o[1] <= row][-1]
         return (part << _POSITION_BITS) + row - offset
 
