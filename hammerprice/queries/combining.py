@@ -86,18 +86,17 @@ def distinct_sorted(spark, sf_dir):
 
 @query(
     """
-SELECT nullif(p_size, 50) AS size, p_brand FROM part WHERE p_retailprice >= 1500
-EXCEPT SELECT nullif(p_size, 49), p_brand FROM part WHERE p_retailprice < 1500
+SELECT nullif(c_nationkey, 3) AS nationkey, c_mktsegment AS segment FROM customer
+EXCEPT SELECT nullif(s_nationkey, 4), 'BUILDING' FROM supplier
 """
 )
 def set_difference(spark, sf_dir):
-    """Sizes and brands of dear parts that no cheap part has; NULL sizes stand on both sides."""
-    parts = table(spark, sf_dir, "part")
-    side = lambda rows, unknown: rows.select(
-        F.nullif("p_size", F.lit(unknown)).alias("size"), "p_brand"
+    """Nations and segments of customers that do not sell buildings there; NULL nations stand on both sides."""
+    customers, suppliers = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    return values_missing_from(
+        customers.select(F.nullif("c_nationkey", F.lit(3)).alias("nationkey"), F.col("c_mktsegment").alias("segment")),
+        suppliers.select(F.nullif("s_nationkey", F.lit(4)).alias("nationkey"), F.lit("BUILDING").alias("segment")),
     )
-    dear = F.col("p_retailprice") >= 1500
-    return values_missing_from(side(parts.where(dear), 50), side(parts.where(~dear), 49))
 
 
 @query(

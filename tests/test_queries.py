@@ -31,6 +31,12 @@ def test_rows_without_sql(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_set_difference_has_rows_and_a_null(spark, scale):
+    found = QUERIES["set_difference"](spark, f"/root/testdata/{scale}").collect()
+    assert found and any(row.nationkey is None for row in found)
+
+
 # Plans: no Python per row, no product of tables, no window that gathers all rows in one task.
 _LAZY = [
     "band_summary", "feature_frame", "month_split", "year_split", "null_report", "unseen_categories", "category_checks",
