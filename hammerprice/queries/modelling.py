@@ -6,12 +6,13 @@ a forest without sampling on one feature of few values.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from hammerprice.learning.estimators import least_squares, random_forest
+from hammerprice.learning.forest_relation import broken_nodes, forest_nodes, tree_predictions
 from hammerprice.learning.importance import permutation_importance
 from hammerprice.learning.preparation import FEATURES, PopulationScaler, preparation_stages, regression_pipeline
 from hammerprice.learning.promotion import gate, retrain_verdict
@@ -386,3 +387,49 @@ def forest_importance(spark, sf_dir):
     model = _forest().fit(splits["train"])
     found = permutation_importance(model, splits["test"], ["p_size"], "price", TIES)
     return rounded(found, 9, "importance_mean", "importance_std")
+
+
+# Two numeric features and a text one, of few values each, every row in every tree and leaves of one combination: each
+# tree predicts the mean of its combination.
+_COMBINED_SQL = """
+combined AS (SELECT *, p_size // 18 AS sizes, CAST(floor(l_quantity / 18) AS BIGINT) AS amounts FROM
+             (SELECT lines.*, p_type FROM lines JOIN part ON l_partkey = p_partkey)),
+leaves AS (SELECT sizes, amounts, p_type, avg(y) AS p, count(*) AS n FROM combined, cut WHERE month < before
+           GROUP BY sizes, amounts, p_type)
+"""
+
+
+@query(
+    f"""
+WITH {PRICED_SQL}, {_COMBINED_SQL}
+SELECT CAST(t AS INTEGER) AS tree, (SELECT count(*) FROM leaves) AS leaves, CAST((SELECT sum(n) FROM leaves) AS BIGINT) AS trained_on,
+       count(*) AS scored, round(avg(p), 6) AS mean_prediction, round(sqrt(avg(pow(y - p, 2))), 6) AS rmse,
+       0 AS leaves_off, 0 AS broken
+FROM combined JOIN leaves USING (sizes, amounts, p_type), cut, range(3) r(t) WHERE month = before GROUP BY t
+"""
+)
+def forest_by_relation(spark, sf_dir):
+    """Three trees as a node table: scored by native expressions, the leaf means recomputed from the training rows."""
+    size_class, amount_class = F.floor(F.col("p_size") / 18).cast("double"), F.floor(F.col("l_quantity") / 18).cast("double")
+    lines = priced_lines(spark, sf_dir).withColumns({"sizes": size_class, "amounts": amount_class})
+    splits = relative_month_split(lines)
+    settings = _EXACT_FOREST | {"maxDepth": 30}
+    fitted = regression_pipeline(random_forest("price", **settings), ["sizes", "amounts"], ["p_type"]).fit(splits["train"])
+    prepare, forest = PipelineModel(fitted.stages[:-1]), fitted.stages[-1]
+    nodes = materialize(forest_nodes(spark, forest), "forest-nodes")
+
+    trained = tree_predictions(prepare.transform(splits["train"]), forest, [*TIES, "price"])
+    means = trained.groupBy("tree", "leaf").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("price").alias("mean"), F.min("prediction").alias("prediction")
+    )
+    off = F.count_if(F.abs(F.col("mean") - F.col("prediction")) > 1e-6 * F.abs("mean"))
+    leaves = means.groupBy("tree").agg(
+        F.count(F.lit(1)).alias("leaves"), F.sum("n").alias("trained_on"), off.cast("int").alias("leaves_off")
+    )
+    scored = tree_predictions(prepare.transform(splits["test"]), forest, [*TIES, "price"])
+    error = F.sqrt(F.avg(F.pow(F.col("price") - F.col("prediction"), 2)))
+    scores = scored.groupBy("tree").agg(
+        F.count(F.lit(1)).alias("scored"), F.avg("prediction").alias("mean_prediction"), error.alias("rmse")
+    )
+    broken = F.lit(broken_nodes(nodes).count()).cast("int").alias("broken")
+    return rounded(leaves.join(scores, "tree").select("*", broken), 6, "mean_prediction", "rmse")
