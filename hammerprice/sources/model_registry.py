@@ -1,27 +1,19 @@
-"""Versioned models and the pointer to the champion."""
+"""Versioned models and the log of champions."""
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_POINTER = T.StructType(
-    [
-        T.StructField("sequence", T.LongType()),
-        T.StructField("version", T.StringType()),
-        T.StructField("path", T.StringType()),
-        T.StructField("settings", T.StringType()),
-        T.StructField("promoted_at", T.TimestampType()),
-    ]
-)
+from hammerprice.sources.commit_log import CommitLog
+
+
+class PromotionConflict(RuntimeError):
+    """Another model became champion in the meantime."""
 
 
 @dataclass(frozen=True)
@@ -35,36 +27,43 @@ class Champion:
         return PipelineModel.load(self.path)
 
 
+def _log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root.rstrip('/')}/champions")
+
+
 def save_model(model: PipelineModel, root: str, version: str) -> str:
     path = f"{root.rstrip('/')}/versions/{version}"
     model.write().overwrite().save(path)
     return path
 
 
+def _newest(log: CommitLog) -> Champion | None:
+    found = log.latest()
+    return found and Champion(found[0], found[1]["version"], found[1]["path"], found[1]["settings"])
+
+
 def current_champion(spark: SparkSession, root: str) -> Champion | None:
-    try:
-        pointers = spark.read.schema(_POINTER).parquet(f"{root.rstrip('/')}/champions")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    row = pointers.orderBy(F.desc("sequence"), F.desc("version")).limit(1).first()
-    return row and Champion(row["sequence"], row["version"], row["path"], json.loads(row["settings"]))
+    return _newest(_log(spark, root))
 
 
-def promote_model(spark: SparkSession, model: PipelineModel, root: str, version: str, settings: Mapping) -> Champion:
-    """Save the model under its own version, then append one pointer row.
+def promote_model(
+    spark: SparkSession, model: PipelineModel, root: str, version: str, settings: Mapping,
+    against: Champion | None = None, still_better: Callable[[Champion], bool] | None = None,
+) -> Champion:
+    """Save the model under its own version, then commit it as the next champion.
 
-    Readers see either the old or the new champion: the pointer is a single committed file.
+    It succeeds the champion that it was compared with: `against`, or the one in place when the call starts. Where another
+    model has come in between, `still_better` is asked whether this one beats that one too, and the commit is tried again;
+    without it, or where it says no, the promotion ends in `PromotionConflict` and there is no second champion.
     """
-    previous = current_champion(spark, root)
+    log = _log(spark, root)
+    rival = against or _newest(log)
     path = save_model(model, root, version)
-    champion = Champion(previous.sequence + 1 if previous else 1, version, path, dict(settings))
-    row = (champion.sequence, version, path, json.dumps(settings), dt.datetime.now(dt.timezone.utc))
-    pointers = f"{root.rstrip('/')}/champions"
-    spark.createDataFrame([row], _POINTER).coalesce(1).write.mode("append").parquet(pointers)
-    same = spark.read.schema(_POINTER).parquet(pointers).where(F.col("sequence") == champion.sequence)
-    rivals = sorted(r["version"] for r in same.collect())
-    if len(rivals) > 1:
-        raise RuntimeError(f"versions {rivals} were promoted at once; {rivals[-1]} is champion, promote anew what should be")
-    return champion
+    while True:
+        champion = Champion(rival.sequence + 1 if rival else 1, version, path, dict(settings))
+        content = {"version": version, "path": path, "settings": champion.settings}
+        if log.commit(champion.sequence, content | {"promoted_at": dt.datetime.now(dt.timezone.utc).isoformat()}):
+            return champion
+        rival = _newest(log)
+        if still_better is None or not still_better(rival):
+            raise PromotionConflict(f"{rival.version} became champion {rival.sequence} before {version}")

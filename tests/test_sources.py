@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hammerprice.operators.combine import align_full, union_all
 from hammerprice.schemas import DOMAINS, MODEL_COLUMNS, PROCESSED, RAW, RAW_COLUMNS, SCORING
 from hammerprice.session import scratch_root
+from hammerprice.sources.commit_log import CommitLog
 from hammerprice.sources.csv_files import (
     read_bad_records,
     read_processed_csv,
@@ -246,25 +247,16 @@ def test_raw_schema_is_text_only():
     assert {f.dataType.simpleString() for f in RAW} == {"string"}
 
 
-def test_two_promotions_at_once_are_noticed(spark, tmp_path):
-    from pyspark.ml import Pipeline
-
-    from hammerprice.sources import model_registry as registry
-
-    root = str(tmp_path / "models")
-    model = Pipeline(stages=[]).fit(spark.range(1))
-    assert registry.current_champion(spark, root) is None
-    assert registry.promote_model(spark, model, root, "a", {}).sequence == 1
-    pointer = spark.read.parquet(f"{root}/champions").withColumns({"version": F.lit("z"), "sequence": F.lit(2)})
-    real = registry.current_champion
-    try:  # another run promotes between this one's reading and writing
-        registry.current_champion = lambda *args: real(*args) if False else registry.Champion(1, "a", root, {})
-        pointer.write.mode("append").parquet(f"{root}/champions")
-        with pytest.raises(RuntimeError, match="promoted at once"):
-            registry.promote_model(spark, model, root, "b", {})
-    finally:
-        registry.current_champion = real
-    assert registry.current_champion(spark, root).version == "z"
+@pytest.mark.parametrize("renaming", [False, True])
+def test_a_commit_number_is_taken_once(spark, tmp_path, renaming):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    if renaming:
+        log._local = None  # as on a distributed file system
+    assert log.latest() is None
+    assert log.commit(1, {"who": "a", "text": "é"}) and not log.commit(1, {"who": "b"})
+    assert log.latest() == (1, {"who": "a", "text": "é"})
+    assert log.commit(2, {"who": "c"}) and log.numbers() == [1, 2]
+    assert not [f for f in (tmp_path / "log").iterdir() if "_aside" in f.name]
 
 
 def test_hot_keys_on_both_sides_of_an_aligned_join(spark):
