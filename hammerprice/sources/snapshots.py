@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hammerprice.sources.commit_log import CommitLog, FoldedLog
 from hammerprice.sources.csv_files import read_raw_csv, write_csv
 
 _LAYOUT = r"source=([^/]+)/snapshot_date=([^/]+)/"
@@ -22,17 +23,48 @@ def land_snapshot(df: DataFrame, root: str, source: str, snapshot_date: str) ->
     return folder
 
 
+#: So many signals are left for streams to see; a stream that is further behind still sees that there is something new.
+SIGNALS = 64
+
+
 def announcements(root: str) -> str:
-    """Folder of one small text file per complete snapshot; streams watch it, as they do not see closing marks."""
+    """Folder of the signals of the newest complete snapshots; streams watch it, as they do not see closing marks."""
     return f"{root.rstrip('/')}/landed"
 
 
+def manifest(spark: SparkSession, root: str) -> FoldedLog:
+    """The log of announced snapshots; its state is the newest snapshot date per source."""
+
+    def newest(state: dict, landed: dict) -> dict:
+        source, date = landed["source"], landed["snapshot_date"]
+        return state | {source: max(date, state.get(source, date))}
+
+    return FoldedLog(CommitLog(spark, f"{root.rstrip('/')}/manifest"), newest)
+
+
 def announce(spark: SparkSession, root: str, source: str, snapshot_date: str) -> None:
-    """Tell streams that a snapshot is complete; writers that land files by other means call this afterwards."""
+    """Enter a complete snapshot in the manifest and signal it to streams.
+
+    Writers that land files by other means call this afterwards. No call lists a folder.
+    """
     if not is_complete(spark, snapshot_folder(root, source, snapshot_date)):
         raise FileNotFoundError(f"snapshot {snapshot_date} of {source} has no closing mark")
-    note = spark.createDataFrame([(f"{source} {snapshot_date}",)], "value string")
-    note.coalesce(1).write.mode("append").text(announcements(root))
+    number = manifest(spark, root).add({"source": source, "snapshot_date": snapshot_date})
+    files, signal = _file_system(spark, f"{announcements(root)}/{number}.txt")
+    files.create(signal, True).close()
+    if number > SIGNALS:
+        files.delete(_file_system(spark, f"{announcements(root)}/{number - SIGNALS}.txt")[1], False)
+
+
+def announce_missing(spark: SparkSession, root: str) -> int:
+    """Announce the complete snapshots that are newer than their source's announced ones; lists all folders."""
+    known, found = latest_snapshots(spark, root), 0
+    for row in snapshot_listing(spark, root).orderBy("source", "snapshot_date").collect():  # one row per snapshot
+        source, date = row["source"], row["snapshot_date"]
+        if date > known.get(source, "") and is_complete(spark, snapshot_folder(root, source, date)):
+            announce(spark, root, source, date)
+            found += 1
+    return found
 
 
 def land_raw_files(spark: SparkSession, location: str, root: str, source: str, snapshot_date: str) -> str:
@@ -63,13 +95,8 @@ def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_snapshots(spark: SparkSession, root: str) -> dict[str, str]:
-    """Newest complete snapshot date per source; a folder without its closing mark does not count."""
-    newest: dict[str, str] = {}
-    for row in snapshot_listing(spark, root).orderBy(F.desc("snapshot_date")).collect():  # one row per snapshot
-        source, date = row["source"], row["snapshot_date"]
-        if source not in newest and is_complete(spark, snapshot_folder(root, source, date)):
-            newest[source] = date
-    return newest
+    """Newest announced snapshot date per source, from the manifest."""
+    return manifest(spark, root).head()[1]
 
 
 def read_latest(spark: SparkSession, root: str, **options) -> DataFrame:

@@ -15,17 +15,16 @@ def on_new_snapshots(
 ) -> StreamingQuery:
     """Call ``job(current raw table, batch id)`` once for all snapshots that were completed since the last run.
 
-    The stream reads the announcements of complete snapshots only: contents are read by the batch reader,
-    which binds columns by name. A snapshot replaces its source's older one as a whole, so the job always
-    sees the newest complete one of each source. The batch id makes a repeated call after a failure
-    recognisable.
+    The stream watches the signals of complete snapshots, a bounded number of empty files: which snapshots
+    are the newest is in the manifest, and contents are read by the batch reader, which binds columns by
+    name. A snapshot replaces its source's older one as a whole, so the job always sees the newest complete
+    one of each source. The batch id makes a repeated call after a failure recognisable.
     """
     folder = spark._jvm.org.apache.hadoop.fs.Path(announcements(root))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            job(read_latest(batch.sparkSession, root), batch_id)
+        job(read_latest(batch.sparkSession, root), batch_id)  # a batch is there because there are new signals
 
     return (
         spark.readStream.text(announcements(root))

@@ -1,5 +1,6 @@
 import json
 import random
+from multiprocessing.pool import ThreadPool
 from pathlib import Path
 
 import pytest
@@ -19,7 +20,7 @@ from hammerprice.sources.csv_files import (
     write_csv,
 )
 from hammerprice.sources.metric_log import log_metrics, read_metrics
-from hammerprice.sources.snapshots import announce, land_raw_files, land_snapshot, latest_snapshots, read_latest
+from hammerprice.sources.snapshots import SIGNALS, announce, announce_missing, land_raw_files, land_snapshot, latest_snapshots, read_latest
 from hammerprice.sources.tables import load_config, read_split, records, write_splits, write_table
 
 
@@ -217,6 +218,41 @@ def test_snapshots(spark, tmp_path):
     ]
 
 
+def test_newest_snapshots_are_found_without_listing(spark, tmp_path, monkeypatch):
+    """Neither announcing nor reading lists folders, and what they touch grows with the logarithm at most."""
+    root, touched = str(tmp_path), []
+    monkeypatch.setattr(CommitLog, "numbers", lambda self: pytest.fail("listed"))
+    for name in ("has", "read"):
+        real = getattr(CommitLog, name)
+        monkeypatch.setattr(CommitLog, name, lambda self, *args, real=real: touched.append(args) or real(self, *args))
+    most = []
+    for i in range(150):
+        source, date = f"s{i % 3}", f"2024-{i:04d}" if i != 149 else "2023-0001"
+        put(tmp_path / f"source={source}" / f"snapshot_date={date}" / "_SUCCESS", "")
+        announce(spark, root, source, date)
+        touched.clear()
+        assert latest_snapshots(spark, root)[source] == (date if i != 149 else "2024-0146")
+        most.append(len(touched))
+    assert max(most[96:128]) <= max(most[:32]) + 8
+    assert len(list((tmp_path / "landed").glob("[0-9]*.txt"))) == SIGNALS
+    (tmp_path / "manifest" / f"state-{64:020d}.json").unlink()  # a writer that ended too early
+    assert latest_snapshots(spark, root) == {"s0": "2024-0147", "s1": "2024-0148", "s2": "2024-0146"}
+    monkeypatch.undo()
+    put(tmp_path / "source=s1" / "snapshot_date=2024-0999" / "_SUCCESS", "")
+    put(tmp_path / "source=s1" / "snapshot_date=2024-0999" / "a.csv", "x\n1\n")
+    put(tmp_path / "source=new" / "snapshot_date=2020-0001" / "a.csv", "x\n1\n")
+    assert announce_missing(spark, root) == 1 and latest_snapshots(spark, root)["s1"] == "2024-0999"
+
+
+def test_snapshots_announced_at_once_are_all_entered(spark, tmp_path):
+    root = str(tmp_path)
+    for i in range(8):
+        put(tmp_path / f"source=s{i}" / "snapshot_date=2024" / "_SUCCESS", "")
+    with ThreadPool(8) as pool:
+        pool.map(lambda i: announce(spark, root, f"s{i}", "2024"), range(8), chunksize=1)
+    assert latest_snapshots(spark, root) == {f"s{i}": "2024" for i in range(8)}
+
+
 def test_unfinished_snapshots_do_not_count(spark, tmp_path):
     root = tmp_path / "land"
     land_snapshot(spark.createDataFrame([("2020-01", "A")], "month string, town string"), str(root), "one", "2024-01-01")
