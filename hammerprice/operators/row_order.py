@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -100,21 +101,70 @@ def fold_of(index: Column, rows: int, folds: int) -> Column:
     return F.when(index < first, F.lit(-1)).otherwise(F.floor((index - first) / size)).cast("int")
 
 
-def shuffle_key(seed: int, *parts: Column) -> Column:
-    """A repeatable pseudo-random BIGINT per row, independent of partitioning."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts])
+# ---- permutations that are computed ----
+
+_ROUNDS = 4
+#: Steps after which a walk is surely back inside: a walk outside is at most as long as there are places outside.
+_WALK = 64
+
+
+def _round_value(seed: int, repeat: Column, number: int, value: Column) -> Column:
+    """A repeatable pseudo-random BIGINT of its arguments."""
+    text = F.concat_ws("|", F.lit(str(seed)), repeat.cast("string"), F.lit(str(number)), value.cast("string"))
     return F.conv(F.left(F.md5(text), F.lit(15)), 16, 10).cast("bigint")
 
 
+def _mixed(position: Column, width: int, height: int, seed: int, repeat: Column) -> Column:
+    """A Feistel network: a bijection of the places of a grid of `width` x `height`."""
+    left, right = position % width, F.floor(position / width).cast("bigint")
+    for number in range(1, _ROUNDS + 1):
+        size = width if number % 2 else height
+        left, right = right, (left + _round_value(seed, repeat, number, right)) % size
+    return right * width + left
+
+
+def permuted(position: Column, rows: int, seed: int, repeat: Column) -> Column:
+    """Where a row position goes in permutation number `repeat` of the positions below `rows`: a computed bijection.
+
+    The positions are the first places of a grid with less than a row of places more. What lands on one of these goes on
+    from there until it lands on a position, which keeps the map one to one.
+    """
+    width = max(1, math.isqrt(max(rows, 1) - 1) + 1)
+    height = -(-max(rows, 1) // width)
+    first = _mixed(position, width, height, seed, repeat)
+    if width * height == rows:
+        return first
+    steps = F.sequence(F.lit(1), F.lit(min(_WALK, width)))
+    on = lambda at, _: F.when(at < rows, at).otherwise(_mixed(at, width, height, seed, repeat))
+    walked = F.when(first < rows, first).otherwise(F.aggregate(steps, first, on))
+    lost = F.raise_error(F.lit("a position did not return to the table")).cast("bigint")
+    return F.when(walked < rows, walked).otherwise(lost)
+
+
+def permutation_sql(rows: str, repeats: int, seed: int, name: str = "donors") -> str:
+    """The recursive CTE `name` (repeat, i, row_index) that `permuted` computes, over the CTE `rows` with a dense `i`."""
+    value = lambda number, of: f"CAST('0x' || left(md5('{seed}|' || repeat || '|{number}|' || {of}), 15) AS BIGINT)"
+    return f"""
+{name}_grid AS (SELECT n, w, CAST((n + w - 1) // w AS BIGINT) AS h FROM
+  (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS w FROM {rows})),
+{name}_walk AS (
+  SELECT repeat, i, CAST(i AS BIGINT) AS x, 0 AS step FROM {rows}, range({repeats}) q(repeat)
+  UNION ALL
+  SELECT repeat, i, ((r2 + {value(4, 'r3')}) % h) * w + r3, step + 1 FROM
+    (SELECT *, (r1 + {value(3, 'r2')}) % w AS r3 FROM
+      (SELECT *, (r0 + {value(2, 'r1')}) % h AS r2 FROM
+        (SELECT *, (x % w + {value(1, 'x // w')}) % w AS r1, x // w AS r0 FROM {name}_walk, {name}_grid WHERE step = 0 OR x >= n)))
+),
+{name} AS (SELECT repeat, i, x AS row_index FROM {name}_walk, {name}_grid WHERE step > 0 AND x < n)"""
+
+
 def shuffled_donors(ordered: OrderedRows, columns: list[str], repeats: int, seed: int) -> DataFrame:
     """(repeat, row_index, columns...): per repeat, the rows' values dealt out in a random order.
 
-    All repeats are ordered by one range shuffle; position j of repeat r goes to row j. Each repeat is a
-    permutation, so a column keeps its multiset of values.
+    Each repeat is a permutation, so a column keeps its multiset of values. Where a row's values go is computed from its
+    position: nothing is sorted or shuffled.
     """
     copies = ordered.indexed("_from").select(
         "_from", *columns, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat")
     )
-    keyed = copies.withColumn("_key", shuffle_key(seed, F.col("repeat"), F.col("_from")))
-    ranked = with_row_index(keyed, ["repeat", "_key", "_from"], "_rank")
-    return ranked.select("repeat", (F.col("_rank") - F.col("repeat") * ordered.rows).alias("row_index"), *columns)
+    return copies.select("repeat", permuted(F.col("_from"), ordered.rows, seed, F.col("repeat")).alias("row_index"), *columns)

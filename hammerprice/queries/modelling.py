@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
+from hammerprice.learning.dictionary import slot_dictionary
 from hammerprice.learning.estimators import least_squares, random_forest
 from hammerprice.learning.forest_relation import broken_nodes, forest_nodes, tree_predictions
 from hammerprice.learning.importance import permutation_importance
@@ -18,6 +19,7 @@ from hammerprice.learning.preparation import FEATURES, PopulationScaler, prepara
 from hammerprice.learning.promotion import gate, retrain_verdict
 from hammerprice.learning.search import TimeOrderedSearch, cross_validate
 from hammerprice.operators.metrics import regression_report as report
+from hammerprice.operators.row_order import permutation_sql
 from hammerprice.operators.splits import relative_month_split
 from hammerprice.queries.frame import TIES, rounded, table
 from hammerprice.queries.registry import query
@@ -103,6 +105,30 @@ def one_hot(spark, sf_dir):
     )
 
 
+@query(
+    """
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_orderkey || '/' || l_linenumber AS line,
+                  nullif(l_returnflag, 'N') AS flag FROM lineitem),
+     lines AS (SELECT line, row_number() OVER (ORDER BY line) - 1 AS slot FROM (SELECT DISTINCT line FROM t WHERE l_linenumber <> 2)),
+     flags AS (SELECT flag, (SELECT count(*) FROM lines) + row_number() OVER (ORDER BY flag) - 1 AS slot
+               FROM (SELECT DISTINCT flag FROM t WHERE flag IS NOT NULL AND l_linenumber <> 2))
+SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, lines.slot AS line_slot, flags.slot AS flag_slot
+FROM t LEFT JOIN lines USING (line) LEFT JOIN flags USING (flag)
+"""
+)
+def one_hot_dictionary(spark, sf_dir):
+    """Slots of a text column with a value per line and of one with NULLs; lines numbered 2 are not fitted on."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        *TIES, F.concat_ws("/", "l_orderkey", "l_linenumber").alias("line"), F.nullif("l_returnflag", F.lit("N")).alias("flag")
+    )
+    found = slot_dictionary(lines.where("l_linenumber <> 2"), ["line", "flag"])
+    slots, lines_end = F.col("slots"), found.table.where("which = 0").count()
+    first = lambda inside: F.get(F.filter(slots, inside), F.lit(0))
+    return found.encode(lines, keep=TIES).select(
+        *TIES, first(lambda s: s < lines_end).alias("line_slot"), first(lambda s: s >= lines_end).alias("flag_slot")
+    )
+
+
 @query(
     """
 WITH p AS (SELECT p_partkey, p_type, p_brand, (p_size - avg(p_size) OVER ()) / stddev_pop(p_size) OVER () AS size,
@@ -279,14 +305,13 @@ def retrain_gate(spark, sf_dir):
 
 @query(
     f"""
-WITH {PRICED_SQL},
+WITH RECURSIVE {PRICED_SQL},
 training AS (SELECT 'model' AS who, lines.* FROM lines, cut WHERE month < before),
 {two_feature_fit('training')},
 t AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS i, y, x1, x2
       FROM lines, cut WHERE month = before),
-k AS (SELECT repeat, i, x1, x2, CAST('0x' || left(md5('42|' || repeat || '|' || i), 15) AS BIGINT) AS key
-      FROM t, range(10) r(repeat)),
-d AS (SELECT repeat, row_number() OVER (PARTITION BY repeat ORDER BY key, i) - 1 AS i, x1 AS d1, x2 AS d2 FROM k),
+{permutation_sql("t", 10, 42)},
+d AS (SELECT repeat, row_index AS i, x1 AS d1, x2 AS d2 FROM donors JOIN t USING (i)),
 base AS (SELECT avg(pow(y - (b0 + b1 * x1 + b2 * x2), 2)) AS mse, var_pop(y) AS spread FROM t, coef),
 p AS (SELECT repeat, avg(pow(y - (b0 + b1 * d1 + b2 * x2), 2)) AS mse1, avg(pow(y - (b0 + b1 * x1 + b2 * d2), 2)) AS mse2
       FROM t JOIN d USING (i), coef GROUP BY repeat)
@@ -371,10 +396,9 @@ def forest_search(spark, sf_dir):
 
 @query(
     f"""
-WITH {PRICED_SQL}, {_FOREST_SQL},
-k AS (SELECT repeat, i, p, CAST('0x' || left(md5('42|' || repeat || '|' || i), 15) AS BIGINT) AS key
-      FROM scored, range(10) r(repeat)),
-d AS (SELECT repeat, row_number() OVER (PARTITION BY repeat ORDER BY key, i) - 1 AS i, p AS given FROM k),
+WITH RECURSIVE {PRICED_SQL}, {_FOREST_SQL},
+{permutation_sql("scored", 10, 42)},
+d AS (SELECT repeat, row_index AS i, p AS given FROM donors JOIN scored USING (i)),
 base AS (SELECT avg(pow(y - p, 2)) AS mse, var_pop(y) AS spread FROM scored),
 e AS (SELECT repeat, avg(pow(y - given, 2)) AS mse FROM scored JOIN d USING (i) GROUP BY repeat)
 SELECT 'p_size' AS feature, round(avg((e.mse - base.mse) / spread), 9) AS importance_mean,

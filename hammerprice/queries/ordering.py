@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hammerprice.operators.row_order import fold_of, order_rows, shuffled_donors, with_row_index
+from hammerprice.operators.row_order import fold_of, order_rows, permutation_sql, shuffled_donors, with_row_index
 from hammerprice.queries.frame import table
 from hammerprice.queries.registry import query
 
@@ -40,14 +40,10 @@ def fold_index(spark, sf_dir):
 
 
 @query(
-    """
-WITH i AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row_index, p_partkey, p_brand FROM part),
-     k AS (SELECT repeat, row_index, p_partkey, p_brand,
-                  CAST('0x' || left(md5('42|' || repeat || '|' || row_index), 15) AS BIGINT) AS key
-           FROM i, range(10) r(repeat))
-SELECT CAST(repeat AS INTEGER) AS repeat,
-       row_number() OVER (PARTITION BY repeat ORDER BY key, row_index) - 1 AS row_index, p_partkey, p_brand
-FROM k
+    f"""
+WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i, p_partkey, p_brand FROM part),
+{permutation_sql("r", 10, 42)}
+SELECT CAST(repeat AS INTEGER) AS repeat, row_index, p_partkey, p_brand FROM donors JOIN r USING (i)
 """
 )
 def shuffled_rows(spark, sf_dir):

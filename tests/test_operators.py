@@ -22,7 +22,7 @@ from hammerprice.operators.contracts import (
 )
 from hammerprice.operators.metrics import r2, rmse
 from hammerprice.operators.profiling import band_summary, distinct_lists, min_max_count, newly_null, null_counts
-from hammerprice.operators.row_order import fold_of, fold_size, fold_start, order_rows, shuffled_donors
+from hammerprice.operators.row_order import fold_of, fold_size, fold_start, order_rows, permuted, shuffled_donors
 from hammerprice.operators.splits import (
     from_month,
     label_splits,
@@ -284,6 +284,21 @@ def test_shuffle_is_a_repeatable_permutation(spark):
         assert sum(r["row_index"] == r["id"] for r in mine) < 20
 
 
+@pytest.mark.parametrize("rows", [1, 2, 3, 5, 7, 10, 17, 99, 101, 1000, 4097, 20_000])
+def test_every_computed_permutation_is_one(spark, rows):
+    places = permuted(F.col("id"), rows, 7, F.col("repeat"))
+    found = spark.range(rows).select("id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("repeat")).select("id", "repeat", places.alias("to"))
+    pairs = found.toPandas()
+    orders = [part.sort_values("id")["to"].to_numpy() for _, part in pairs.groupby("repeat")]
+    for order in orders:
+        assert sorted(order) == list(range(rows))
+    if rows >= 1000:
+        assert len({tuple(order) for order in orders}) == 5
+        for order in orders:
+            assert abs(np.corrcoef(order, np.arange(rows))[0, 1]) < 5 / math.sqrt(rows)
+            assert (np.abs(np.diff(order)) == 1).sum() < 20
+
+
 # ---- drift ----
 
 
