@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hammerprice.operators.row_order import order_rows
 from hammerprice.schemas import STOREY_LABELS
+from hammerprice.session import materialize
 
 
 def band_summary(
@@ -39,10 +41,46 @@ def min_max_count(df: DataFrame, key: str, value: str, names: tuple[str, str, st
 
 
 def distinct_lists(df: DataFrame, key: str, lists: dict[str, str], limit: int | None = None) -> DataFrame:
-    """Sorted distinct non-null values of some columns per key, as arrays named by `lists`."""
+    """Sorted distinct non-null values of some columns per key, as arrays named by `lists`.
+
+    With `limit` only the first keys, whose values alone are gathered. For keys of very many values take `distinct_pages`.
+    """
+    if limit:
+        first = df.select(F.col(key).alias("_key")).distinct().orderBy("_key").limit(limit)
+        # At most `limit` rows.
+        df = df.join(F.broadcast(first), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
     grouped = df.groupBy(key).agg(*[F.sort_array(F.collect_set(c)).alias(name) for name, c in lists.items()])
-    ordered = grouped.orderBy(key)
-    return ordered.limit(limit) if limit else ordered
+    return grouped.orderBy(key)
+
+
+def distinct_pages(df: DataFrame, key: str, columns: Sequence[str], page: int = 10_000) -> DataFrame:
+    """(key, column, page, values): the distinct non-null texts of `columns` per key, ascending, `page` of them to an array.
+
+    The pairs of key and value are made distinct first and numbered in a range sort, so that a key of any number of
+    values spreads over many tasks and no array grows with the table.
+    """
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    pairs = df.select(F.col(key).alias("key"), F.inline(F.array(*cells))).where("value IS NOT NULL").distinct()
+    placed = materialize(order_rows(pairs, ["key", "column", "value"]).indexed("row"), "distinct-pairs")
+    starts = placed.groupBy(F.col("key").alias("_key"), F.col("column").alias("_column")).agg(F.min("row").alias("_first"))
+    # NULL is a key too.
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("column") == F.col("_column"))
+    number = F.floor((F.col("row") - F.col("_first")) / page).cast("long").alias("page")
+    numbered = placed.join(starts, same).select("key", "column", number, "value")
+    return numbered.groupBy("key", "column", "page").agg(F.sort_array(F.collect_list("value")).alias("values"))
+
+
+def grouped_facts(df: DataFrame, sets: Sequence[Sequence[str]], *measures: Column) -> DataFrame:
+    """All `measures` for every grouping in `sets`, in one aggregate over one scan; `of_grouping` takes one of them out."""
+    columns = list(dict.fromkeys(c for group in sets for c in group))
+    grouped = df.groupingSets([list(group) for group in sets], *columns)
+    return materialize(grouped.agg(F.grouping_id().alias("_grouping"), *measures), "facts")
+
+
+def of_grouping(facts: DataFrame, columns: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """The rows of one grouping of `grouped_facts`, where `columns` are all grouping columns in order."""
+    number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in group)
+    return facts.where(F.col("_grouping") == number)
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ from hammerprice.operators.contracts import (
     values_outside_domain,
 )
 from hammerprice.operators.metrics import r2, rmse
-from hammerprice.operators.profiling import band_summary, distinct_lists, min_max_count, newly_null, null_counts
+from hammerprice.operators.profiling import band_summary, distinct_lists, distinct_pages, min_max_count, newly_null, null_counts
 from hammerprice.operators.row_order import fold_of, fold_size, fold_start, order_rows, permuted, shuffled_donors
 from hammerprice.operators.splits import (
     from_month,
@@ -299,6 +299,16 @@ def test_every_computed_permutation_is_one(spark, rows):
             assert (np.abs(np.diff(order)) == 1).sum() < 20
 
 
+def test_pages_of_a_key_of_very_many_values(spark):
+    hot = spark.range(30_000).select(F.lit("hot").alias("k"), F.format_string("%06d", "id").alias("v"), F.lit("w").alias("u"))
+    few = spark.createDataFrame([("a", "2", None), ("a", "10", "x"), ("a", "2", "y"), (None, "n", "x"), ("b", None, None)], "k string, v string, u string")
+    got = {(r["key"], r["column"], r["page"]): r["values"] for r in distinct_pages(hot.unionAll(few), "k", ["v", "u"], 1_000).collect()}
+    assert [got.pop(("hot", "v", i)) for i in range(30)] == [[f"{j:06d}" for j in range(1_000 * i, 1_000 * (i + 1))] for i in range(30)]
+    assert got == {
+        ("hot", "u", 0): ["w"], ("a", "v", 0): ["10", "2"], ("a", "u", 0): ["x", "y"], (None, "v", 0): ["n"], (None, "u", 0): ["x"],
+    }
+
+
 # ---- drift ----
 
 
