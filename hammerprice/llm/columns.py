@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,6 +47,17 @@ def map_slices(
     return df.mapInArrow(run, schema)
 
 
+def packed(df: DataFrame, **beside: Column) -> DataFrame:
+    """Whole rows of `df` in one column `row`, so that no name of theirs meets those of `beside`."""
+    row = F.struct(*[F.col("`" + c.replace("`", "``") + "`").alias(c) for c in df.columns]).alias("row")
+    return df.select(row, *[column.alias(name) for name, column in beside.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The rows of `packed` again, some columns `changed`."""
+    return df.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in columns])
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """`df` written as Parquet to the shared scratch folder and read back: cuts the lineage and outlives executors."""
     path = scratch_path(df.sparkSession, label)

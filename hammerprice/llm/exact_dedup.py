@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hammerprice.llm.columns import free_shuffles, id_and_bytes, slices, written
+from hammerprice.llm.columns import free_shuffles, id_and_bytes, packed, slices, unpacked, written
 
 #: Most distinct texts (as seen by the tasks that met them) in a bucket before it splits.
 BUCKET_ROWS = 1024
@@ -192,16 +192,18 @@ def exact_groups(
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that stay, with all their columns; of rows equal in doc_id and text one stays."""
+    """The rows of `df` that stay, with all their columns.
+
+    Of rows equal in doc_id and normalised text the one of the least text stays, and of rows equal in both any one.
+    """
     kept = exact_groups(df, id_col=id_col, text_col=text_col).where("kept")
-    text = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _UPPER.lower())
-    row_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    marked = df.withColumns({"_hp_id": row_id, "_hp_sha": F.sha2(text.cast("binary"), 256)})
-    kept = kept.select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_hp_id"), F.col("text_sha256").alias("_hp_sha")
-    )
-    found = marked.join(kept, ["_hp_id", "_hp_sha"], "left_semi")
-    return found.dropDuplicates(["_hp_id", "_hp_sha"]).drop("_hp_id", "_hp_sha")
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _UPPER.lower())
+    as_text = lambda doc_id: F.coalesce(doc_id.cast("long").cast("string"), F.lit(""))
+    rows = packed(df, id=as_text(F.col(id_col)), sha=F.sha2(lower.cast("binary"), 256), text=text)
+    stays = kept.select(as_text(F.col("doc_id")).alias("id"), F.col("text_sha256").alias("sha"))
+    found = rows.join(stays, ["id", "sha"], "left_semi").groupBy("id", "sha").agg(F.min_by("row", "text").alias("row"))
+    return unpacked(found, df.columns)
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hammerprice.llm.chunks import LOWER, Chunks, mix, white_space_words
-from hammerprice.llm.columns import free_shuffles, id_and_bytes, map_slices, written
+from hammerprice.llm.columns import free_shuffles, id_and_bytes, map_slices, packed, unpacked, written
 from hammerprice.llm.components import components
 
 WORDS = 5
@@ -269,6 +269,7 @@ def near_groups(
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """The rows of `df` that stay, with all their columns: the least doc_id of each component."""
     kept = near_groups(df, id_col=id_col, text_col=text_col, **parameters).where("kept AND doc_id IS NOT NULL")
-    kept = written(kept.select(F.col("doc_id").alias("_hp_kept")).distinct(), "kept")
-    stays = df.join(kept, df[id_col].cast("long") == F.col("_hp_kept"), "left_semi")
-    return stays.unionByName(df.where(F.col(id_col).isNull()))
+    kept = written(kept.select(F.col("doc_id").alias("id")).distinct(), "kept")
+    rows = packed(df, id=F.col(id_col).cast("long"))
+    stays = rows.join(kept, "id", "left_semi").select("row")
+    return unpacked(stays.unionAll(rows.where(F.col("id").isNull()).select("row")), df.columns)

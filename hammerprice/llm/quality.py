@@ -333,4 +333,5 @@ def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         good = [scorer.score(document) >= LEAST_SCORE for document in documents(texts, hashed=True)]
         return part.filter(pa.array(good, pa.bool_()))
 
-    return map_slices(df, keep, df.schema)
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # Spark resolves the names, and takes a dot for a field
+    return map_slices(plain, keep, plain.schema).toDF(*df.columns)

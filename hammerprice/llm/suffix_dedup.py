@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hammerprice.llm.chunks import mix
-from hammerprice.llm.columns import free_shuffles, id_and_bytes, slices, written
+from hammerprice.llm.columns import free_shuffles, id_and_bytes, packed, slices, unpacked, written
 
 LENGTH = 100
 GRAM = 32
@@ -374,15 +374,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     again = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
     version = F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))) if again else F.lit(0).cast("long")
     kept = written(kept.select("doc_id", "version", "kept"), "shortened").dropDuplicates(["doc_id", "version"])
-    kept = kept.select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_hp_doc"),
-        F.col("version").alias("_hp_version"),
-        F.col("kept").cast("string").alias("_hp_text"),
-    )
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    marked = df.withColumns({"_hp_doc": doc, "_hp_version": version}).join(kept, ["_hp_doc", "_hp_version"], "left")
-    changed = marked.withColumn(text_col, F.coalesce("_hp_text", text_col))
+    kept = kept.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "version", F.col("kept").cast("string").alias("shorter"))
+    rows = packed(df, doc=F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), version=version)
+    found = rows.join(kept, ["doc", "version"], "left")
+    shorter, old = F.col("shorter"), F.col("row")
+    changed = {text_col: F.coalesce(shorter, old.getField(text_col))}
     if chars_col in df.columns:
-        chars = F.when(F.col("_hp_text").isNotNull(), F.length(text_col)).otherwise(F.col(chars_col))
-        changed = changed.withColumn(chars_col, chars.cast(df.schema[chars_col].dataType))
-    return changed.select(*df.columns)
+        chars = F.when(shorter.isNotNull(), F.length(shorter)).otherwise(old.getField(chars_col))
+        changed[chars_col] = chars.cast(df.schema[chars_col].dataType)
+    return unpacked(found, df.columns, **changed)

@@ -3,7 +3,10 @@
 import random
 
 # Extra columns that are named like ones the operators make.
-EXTRA = "hash bucket node key keys anchor doc version place label terms slot n rows rank score kept"
+EXTRA = (
+    "hash bucket node key keys anchor doc version place label terms slot n rows rank score kept row id sha shorter "
+    "_hp_id _hp_sha _hp_kept _hp_doc _hp_text _hp_version a.b x.text"
+)
 
 WORDS = "the quick brown fox jumps over lazy dog été déjà niño größe α Ωmega 数据 a1 don't (x) e.g. 12 3.5 *** !! | http://a.b/c".split()
 
