@@ -5,18 +5,15 @@ their beginnings, and every term of every example is in the index, known by 64-b
 over the whole corpus. A term's weight is (1 + log of its count) * idf * (1 + |evidence|): evidence is the log of how much its
 odds of being in a toxic example differ from those of any example, drawn towards 0 as with `EVIDENCE` more examples that say
 nothing, so that it grows gradually with what is known of a term and no term is left out. Terms of a text that no example
-holds count in its length, with the idf of a term of one document. Example vectors fill an inverted index whose posting
-lists are cut into blocks of examples; each term keeps its largest weight per block. For a query, the blocks' bounds (query
-times those maxima) order the search: the best blocks are scored first, then every block whose bound reaches the k-th score
-so far, so the k nearest are exact. Their votes, weighted by cosine and by how thinly their class was sampled, and smoothed
+holds count in its length, with the idf of a term of one document. Example vectors fill an inverted index cut
+into blocks of examples. Queries come in batches: their short posting lists are added up example by example; the long ones,
+of terms that many examples hold, are kept by block with each term's largest weight there. The blocks' bounds (short part
+plus query times those maxima) order the search, and a block's long lists count only for queries whose bound reaches the
+k-th score so far, so the k nearest are exact. Their votes, weighted by cosine and by how thinly their class was sampled, and smoothed
 towards the share of that class among all labels, give the score; the nearest ids are the evidence.
 
 The index is bounded by the texts of 2 * `per_class` examples and goes to every task; the corpus streams past it.
 
-With `max_terms`, only so many terms are used, all words without one count as one further term, and nothing but idf weighs
-them: those whose document counts differ between the classes by a chi-square of at least `least_chi2` and by odds of
-`LEAST_ODDS` times.
-
 Edge cases: a text without words, also a null or empty one, has no neighbours and gets the prior share. Ties in
 cosine go to the smaller doc_id. A doc_id labelled twice counts with its largest label; null labels and ids are left out.
 Without labels of both classes every
@@ -40,11 +37,12 @@ from hammerprice.llm.columns import id_and_bytes, map_slices, slices, written
 
 PER_CLASS = 4000
 EVIDENCE = 10.0
-LEAST_CHI2 = 25.0
-#: Words that are common in both classes say little of one document, however sure the difference is.
-LEAST_ODDS = 4.0
 NEIGHBOURS = 25
-BLOCK = 64
+BLOCK = 256
+#: A term that one in so many examples holds has an open list.
+COMMON = 12
+#: Bounds and scores are added up in different orders.
+SLACK = 1e-9
 PREFIXES = range(4, 10)
 SMOOTHING = 0.5
 
@@ -60,44 +58,6 @@ def features(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b"*" for n in PREFIXES if n < len(word))]
 
 
-def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Document and distinct word of every word; words are runs that hold no white space, cut at signs."""
-    chunks = Chunks(texts, words_and_signs, LOWER)
-    codes, distinct = chunks.distinct()
-    return np.repeat(np.arange(len(texts)), np.diff(chunks.first)), codes, distinct
-
-
-def _expanded(docs: np.ndarray, codes: np.ndarray, held: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Document and feature of every feature of every word; `held` has the features of the distinct words."""
-    sizes = np.fromiter(map(len, held), np.int64, len(held))
-    flat = np.array([i for one in held for i in one], np.int64)
-    each = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-    stops = np.cumsum(each)
-    at = np.repeat((np.cumsum(sizes) - sizes)[codes] - (stops - each), each) if len(codes) else each
-    return np.repeat(docs, each), flat[at + np.arange(len(at))]
-
-
-def _term_counts(texts: list[bytes], terms: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, term and number of occurrences, by document and term; words without a term count as term `len(terms)`."""
-    docs, codes, distinct = _words(texts)
-    heads, get, size = {term[:4] for term in terms}, terms.get, len(terms) + 1
-    row_of, held = np.full(len(distinct), -1), []
-    for i, word in enumerate(distinct):
-        if word[:4] in heads or word[:3] + b"*" in heads:
-            hits = [term for feature in features(word) if (term := get(feature)) is not None]
-            if hits:
-                row_of[i] = len(held)
-                held.append(hits)
-    row = row_of[codes] if len(codes) else codes
-    plain = np.bincount(docs[row < 0], minlength=len(texts))
-    own, found = _expanded(docs[row >= 0], row[row >= 0], held)
-    pairs, counts = np.unique(own * size + found, return_counts=True)
-    rest = np.flatnonzero(plain)
-    pairs, counts = np.concatenate([pairs, rest * size + size - 1]), np.concatenate([counts, plain[rest]])
-    order = np.argsort(pairs, kind="stable")
-    return pairs[order] // size, pairs[order] % size, counts[order]
-
-
 def feature_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Document, feature and number of occurrences, by document and feature, and the keys of the distinct features."""
     chunks = Chunks(texts, words_and_signs, LOWER)
@@ -132,37 +92,6 @@ def _found(texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return docs, np.where(known & (place < len(keys)), place, len(keys))[codes], counts
 
 
-def choose_terms(sample: DataFrame, sizes: dict[int, int], max_terms: int, least_chi2: float) -> list[bytes]:
-    """Terms whose document counts differ most between the classes of the sample (`text`, `label`)."""
-
-    def count(part: pa.RecordBatch) -> pa.RecordBatch:
-        docs, codes, distinct = _words(part.column("text").to_pylist())
-        number: dict[bytes, int] = {}
-        held = [[number.setdefault(feature, len(number)) for feature in features(word)] for word in distinct]
-        docs, found = _expanded(docs, codes, held)
-        labels = np.array(part.column("label").to_pylist(), np.int64)
-        pairs = np.unique(docs * max(1, len(number)) + found)
-        words, positive = pairs % max(1, len(number)), labels[pairs // max(1, len(number))]
-        both = np.bincount(words, minlength=len(number))
-        toxic = np.bincount(words, weights=positive, minlength=len(number)).astype(np.int64)
-        return pa.RecordBatch.from_pydict(
-            {"term": pa.array(list(number), pa.binary()), "n": pa.array(both, pa.int64()), "toxic": pa.array(toxic, pa.int64())}
-        )
-
-    total, positives = sum(sizes.values()), sizes.get(1, 0)
-    if not 0 < positives < total:
-        return []
-    counts = map_slices(sample.select("text", "label"), count, "term binary, n long, toxic long")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    share, n = positives / total, F.col("n")
-    spread = n * share * (1 - share) * (1 - n / F.lit(float(total)))
-    chi2 = F.when(spread > 0, (F.col("toxic") - n * share) * (F.col("toxic") - n * share) / spread).otherwise(0.0)
-    odds = (F.col("toxic") + 0.5) / (n - F.col("toxic") + 0.5) * (1 - share) / share
-    telling = (odds >= LEAST_ODDS) | (odds <= 1 / LEAST_ODDS)
-    best = counts.where(telling).select("term", chi2.alias("chi2")).where(F.col("chi2") >= least_chi2)
-    return [bytes(row["term"]) for row in best.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()]
-
-
 Counter = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
@@ -182,64 +111,103 @@ def document_frequencies(texts: DataFrame, counted: Counter, size: int) -> np.nd
     return frequency
 
 
-def _weights(docs: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray, n_docs: int) -> np.ndarray:
-    """TF-IDF weights scaled to length 1 by document."""
+def _weights(
+    docs: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray, n_docs: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """TF-IDF weights, and by document what scales them to length 1."""
     weight = (1 + np.log(counts, dtype=np.float64)) * idf[terms]
     norm = np.sqrt(np.bincount(docs, weights=weight * weight, minlength=n_docs))
-    return weight / np.where(norm > 0, norm, 1)[docs]
+    return weight, 1 / np.where(norm > 0, norm, 1)
+
+
+def _ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from `starts` up to `stops`, one range after the other, and the ranges' sizes."""
+    sizes = stops - starts
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    at += np.arange(len(at))
+    return at, sizes
 
 
 class BlockMaxIndex:
-    """Posting lists by term over the examples, in blocks of `block` examples, with each term's largest weight in a block."""
+    """Posting lists over the examples, which are cut into blocks of `block`.
+
+    Long lists, of terms that at least one in `COMMON` examples holds, are kept open: by block, the weights of these terms
+    for every example, and their largest in the block. The others are lists of examples, one for each weight that a term has
+    before an example's vector is scaled. A batch of queries adds up its short lists first; what the long ones can add to a
+    block at most bounds it, and they are multiplied for those queries only whose bound reaches the k-th score that the
+    blocks before gave.
+    """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, class_weight: np.ndarray, idf: np.ndarray, block: int):
         self.ids, self.labels, self.class_weight, self.idf, self.block = ids, labels, class_weight, idf, block
         self.n_blocks = -(-len(ids) // block)
 
-    def fill(self, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> BlockMaxIndex:
-        order = np.lexsort((examples, terms))
-        self.examples, self.weights = examples[order].astype(np.int32), weights[order]
-        cell = terms[order].astype(np.int64) * self.n_blocks + self.examples // self.block
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        cells, self.bounds = cell[first], np.append(first, len(cell)).astype(np.int32)
-        self.maxima = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
-        self.of_term = np.searchsorted(cells, np.arange(len(self.idf) + 1) * self.n_blocks)
-        self.blocks = (cells % max(1, self.n_blocks)).astype(np.int32)
+    def fill(self, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray, scale: np.ndarray) -> BlockMaxIndex:
+        """`weights` of terms in examples, each example's to be multiplied by its `scale`."""
+        self.scale = scale
+        sizes = np.bincount(terms, minlength=len(self.idf))
+        common = np.flatnonzero((sizes > 1) & (sizes * COMMON >= len(self.ids)))
+        self.row = np.full(len(self.idf), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        is_common = self.row[terms] >= 0
+        at, row = examples[is_common], self.row[terms[is_common]]
+        self.open = np.zeros((self.n_blocks, len(common), self.block))
+        self.open[at // self.block, row, at % self.block] = weights[is_common] * scale[at]
+        self.maxima = self.open.max(axis=2, initial=0).T.copy()
+        examples, terms, weights = examples[~is_common], terms[~is_common], weights[~is_common]
+        order = np.lexsort((weights, terms))
+        terms, weights = terms[order], weights[order]
+        self.examples = examples[order].astype(np.min_scalar_type(max(0, len(self.ids) - 1)))
+        first = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(weights, prepend=-1) != 0))
+        self.bounds, self.weights = np.append(first, len(terms)), weights[first]
+        self.of_term = np.searchsorted(terms[first], np.arange(len(self.idf) + 1))
         return self
 
-    def _cells(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cells of the terms (block by block, those that hold an example), their blocks and the query's weights there."""
-        sizes = self.of_term[terms + 1] - self.of_term[terms]
-        stops = np.cumsum(sizes)
-        cells = np.repeat(self.of_term[terms] - (stops - sizes), sizes) + np.arange(sizes.sum())
-        return cells, self.blocks[cells], np.repeat(weights, sizes)
-
-    def _scores(self, cells: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples in `cells` and their cosines, as far as they come from those."""
-        starts, sizes = self.bounds[cells], self.bounds[cells + 1] - self.bounds[cells]
-        stops = np.cumsum(sizes)
-        at = np.repeat(starts - (stops - sizes), sizes) + np.arange(sizes.sum())
-        sums = np.bincount(self.examples[at], weights=self.weights[at] * np.repeat(weights, sizes), minlength=len(self.ids))
-        hit = np.flatnonzero(sums > 0)
-        return hit, sums[hit]
+    def _short(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the short lists of the terms give each example."""
+        lists, sizes = _ranges(self.of_term[terms], self.of_term[terms + 1])
+        weights = np.repeat(weights, sizes) * self.weights[lists]
+        at, sizes = _ranges(self.bounds[lists], self.bounds[lists + 1])
+        each = np.repeat(weights, sizes)
+        return np.bincount(self.examples[at], weights=each, minlength=len(self.ids)) * self.scale
+
+    def nearest_of(
+        self, queries: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The k examples of largest cosine above 0 of each of `n` queries, nearest first, ties to the smaller id.
+
+        `queries`, ascending, tells whose terms and weights these are.
+        """
+        row = self.row[terms]
+        common = row >= 0
+        asked = np.zeros((n, self.open.shape[1]))
+        asked[queries[common], row[common]] = weights[common]
+        scores = np.zeros((n, self.n_blocks * self.block))
+        queries, terms, weights = queries[~common], terms[~common], weights[~common]
+        edges = np.searchsorted(queries, np.arange(n + 1)).tolist()
+        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            scores[i, : len(self.ids)] = self._short(terms[a:b], weights[a:b])
+        by_block = scores.reshape(n, self.n_blocks, self.block)
+        bound = by_block.max(axis=2, initial=0) + asked @ self.maxima
+        best = np.zeros((n, k))  # the largest scores so far, the k-th of them first
+        for j in np.argsort(-bound.sum(axis=0), kind="stable").tolist():
+            open_for = (bound[:, j] > 0) & (bound[:, j] >= best[:, 0] - SLACK)
+            some = np.flatnonzero(open_for)
+            by_block[~open_for, j] = 0
+            if len(some):
+                whole = slice(None) if len(some) == n else some
+                by_block[whole, j] += asked[whole] @ self.open[j]
+                merged = np.concatenate([best[whole], by_block[whole, j]], axis=1)
+                best[whole] = np.partition(merged, self.block, axis=1)[:, self.block :]
+        found = []
+        for own, least in zip(scores[:, : len(self.ids)], best[:, 0], strict=True):
+            hit = np.flatnonzero((own > 0) & (own >= least - SLACK))
+            order = np.lexsort((self.ids[hit], -np.round(own[hit], 12)))[:k]
+            found.append((hit[order], own[hit][order]))
+        return found
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine above 0, nearest first, ties to the smaller id."""
-        cells, blocks, weights = self._cells(terms, weights)
-        bound = np.bincount(blocks, weights=self.maxima[cells] * weights, minlength=self.n_blocks)
-        ranked = np.argsort(-bound, kind="stable")
-        todo = bound > 0
-        best = np.zeros(self.n_blocks, bool)
-        best[ranked[: max(1, -(-2 * k // self.block))]] = True
-        hit, cosine = self._scores(cells[best[blocks]], weights[best[blocks]])
-        todo &= ~best
-        if len(hit) >= k:
-            todo &= bound >= np.partition(cosine, len(cosine) - k)[len(cosine) - k] - 1e-9
-        if todo.any():
-            more, more_cosine = self._scores(cells[todo[blocks]], weights[todo[blocks]])
-            hit, cosine = np.concatenate([hit, more]), np.concatenate([cosine, more_cosine])
-        order = np.lexsort((self.ids[hit], -np.round(cosine, 12)))[:k]
-        return hit[order], cosine[order]
+        return self.nearest_of(np.zeros(len(terms), np.int64), terms, weights, 1, k)[0]
 
     def vote(self, hit: np.ndarray, cosine: np.ndarray, prior: float, smoothing: float) -> float:
         mass = cosine * self.class_weight[self.labels[hit]]
@@ -259,12 +227,11 @@ class Examples:
         self.terms = np.searchsorted(keys, self.terms.view(np.uint64)).astype(np.int32)
         return keys
 
-    def weighted(self, idf: np.ndarray, class_weight: np.ndarray, block: int, by_class: bool) -> Examples:
-        """`by_class`: idf times `class_factors`."""
-        if by_class:
-            share = float(self.labels.mean()) if len(self.ids) else 0.0
-            idf = idf * class_factors(self.terms, np.repeat(self.labels, np.diff(self.first)), share, len(idf))
-        self.idf, self.class_weight, self.block = idf, class_weight, block
+    def weighted(self, idf: np.ndarray, class_weight: np.ndarray, block: int) -> Examples:
+        """Terms weigh idf times `class_factors`."""
+        share = float(self.labels.mean()) if len(self.ids) else 0.0
+        factors = class_factors(self.terms, np.repeat(self.labels, np.diff(self.first)), share, len(idf))
+        self.idf, self.class_weight, self.block = idf * factors, class_weight, block
         return self
 
     def index(self) -> BlockMaxIndex:
@@ -280,7 +247,8 @@ class Examples:
             place[order] = np.arange(len(order))
             made = BlockMaxIndex(self.ids[order], self.labels[order], self.class_weight, idf, self.block)
             examples = np.repeat(place, sizes)
-            self.made = made.fill(examples, self.terms, _weights(examples, self.terms, self.counts, idf, len(self.ids)))
+            self.made = made.fill(examples, self.terms, *_weights(examples, self.terms, self.counts, idf, len(self.ids)))
+            self.terms = self.counts = None  # the task's copy: the index holds what it needs of them
         return self.made
 
     def __getstate__(self) -> dict:
@@ -324,8 +292,6 @@ def toxicity(
     df: DataFrame,
     labels: DataFrame,
     per_class: int = PER_CLASS,
-    max_terms: int | None = None,
-    least_chi2: float = LEAST_CHI2,
     k: int = NEIGHBOURS,
     block: int = BLOCK,
     smoothing: float = SMOOTHING,
@@ -348,54 +314,34 @@ def toxicity(
         chosen = some if chosen is None else chosen.unionByName(some)
     # At most 2 * per_class ids.
     sample = written(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-examples")
-    sizes = {row["label"]: row["n"] for row in sample.groupBy("label").agg(F.countDistinct("doc_id").alias("n")).collect()}
     n_docs = texts.count()
-    if max_terms is None:
-
-        def own(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            docs, codes, counts, keys = feature_counts(some)
-            return docs, keys[codes].view(np.int64), counts
-
-        rows = example_counts(sample, own)
-        keys = rows.keyed()
-        held, size = spark.sparkContext.broadcast(keys), len(keys)
 
-        def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            return _found(some, held.value)
+    def own(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        docs, codes, counts, keys = feature_counts(some)
+        return docs, keys[codes].view(np.int64), counts
 
-        frequency = np.append(document_frequencies(texts, counted, size), 1.0)  # the last: terms of no example
-    else:
-        terms = choose_terms(sample, sizes, max_terms, least_chi2)
-        number, size = {term: i for i, term in enumerate(terms)}, len(terms) + 1
+    rows = example_counts(sample, own)
+    keys = rows.keyed()
+    held, size = spark.sparkContext.broadcast(keys), len(keys)
 
-        def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            return _term_counts(some, number)
+    def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _found(some, held.value)
 
-        rows = example_counts(sample, counted)
-        frequency = document_frequencies(texts, counted, size)
+    frequency = np.append(document_frequencies(texts, counted, size), 1.0)  # the last: terms of no example
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
     class_weight = np.array([totals.get(c, 0) / max(1, min(per_class, totals.get(c, 0))) for c in (0, 1)])
-    held_rows = spark.sparkContext.broadcast(rows.weighted(idf, class_weight, block, by_class=max_terms is None))
+    held_rows = spark.sparkContext.broadcast(rows.weighted(idf, class_weight, block))
 
     def score(part: pa.RecordBatch) -> pa.RecordBatch:
         searched, n = held_rows.value.index(), part.num_rows
         docs, found, counts = counted(part.column("text").to_pylist())
-        weights = _weights(docs, found, counts, searched.idf, n) if len(docs) else counts
+        weights, scale = _weights(docs, found, counts, searched.idf, n)
+        weights = weights * scale[docs]
         known = found < size  # the others count in the length only
         docs, found, weights = docs[known], found[known], weights[known]
-        bounds = np.searchsorted(docs, np.arange(n + 1)).tolist()
-        scores, evidence = [prior] * n, [[]] * n
-        alone: dict[int, tuple] = {}  # texts of a single term have the same neighbours
-        for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-            if a < b:
-                if b == a + 1 and found[a] in alone:
-                    hit, cosine = alone[found[a]]
-                else:
-                    hit, cosine = searched.nearest(found[a:b], weights[a:b], k)
-                    if b == a + 1:
-                        alone[found[a]] = hit, cosine
-                scores[i] = searched.vote(hit, cosine, prior, smoothing)
-                evidence[i] = searched.ids[hit[:3]].tolist()
+        near = searched.nearest_of(docs, found, weights, n, k)
+        scores = [searched.vote(hit, cosine, prior, smoothing) if len(hit) else prior for hit, cosine in near]
+        evidence = [searched.ids[hit[:3]].tolist() for hit, _ in near]
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": part.column("doc_id"),

@@ -88,31 +88,20 @@ def test_quality_query_is_accurate(spark, small):
 # --- toxicity ---
 
 
-def vectors(texts, terms, frequency, n_docs):
-    """TF-IDF vectors over the chosen terms and one for all other words, by plain dictionaries."""
-    idf = [math.log((1 + n_docs) / (1 + f)) + 1 for f in frequency]
-    number = {term: i for i, term in enumerate(terms)}
-    out = []
-    for text in texts:
-        counts = collections.Counter()
-        for word in toxicity._words([(text or "").encode()])[2]:
-            n = sum(1 for w in split_words(text) if w == word)
-            hits = [number[f] for f in toxicity.features(word) if f in number] or [len(terms)]
-            for hit in hits:
-                counts[hit] += n
-        vector = {i: (1 + math.log(n)) * idf[i] for i, n in counts.items()}
-        norm = math.sqrt(sum(x * x for x in vector.values())) or 1.0
-        out.append({i: x / norm for i, x in vector.items()})
-    return out
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<|>")
+BETWEEN = f"(?<=[a-zß-öø-ÿÀ-ÖØ-Þ])(?=[{re.escape(SIGNS)}])|(?<=[{re.escape(SIGNS)}])(?=[a-zß-öø-ÿÀ-ÖØ-Þ])"
 
 
 def split_words(text):
-    docs, codes, distinct = toxicity._words([(text or "").encode()])
-    return [distinct[c] for c in codes.tolist()]
+    """Words by regular expressions: runs without white space, cut between letters and signs."""
+    lower = "".join(c.lower() if c.isascii() else c for c in text or "")
+    return [w.encode() for run in re.findall(r"[^\x20\x09-\x0d]+", lower) for w in re.split(BETWEEN, run)]
 
 
+@pytest.mark.parametrize("common", [0, 4, 10**6])  # no list is long, some, all of two examples
 @pytest.mark.parametrize("block", [2, 16, 1000])
-def test_nearest_examples_are_exact(block):
+def test_nearest_examples_are_exact(block, common, monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", common)
     rng = np.random.default_rng(block)
     n, terms, k = 150, 12, 7
     dense = np.where(rng.random((n, terms)) < 0.3, rng.integers(1, 4, (n, terms)), 0).astype(float)
@@ -121,9 +110,12 @@ def test_nearest_examples_are_exact(block):
     ids = rng.permutation(n)
     index = toxicity.BlockMaxIndex(ids, np.zeros(n, np.int64), np.ones(2), np.ones(terms), block)
     examples, found = np.nonzero(dense)
-    index.fill(examples, found, dense[examples, found])
-    for query in dense[:60]:
-        hit, cosine = index.nearest(np.flatnonzero(query), query[query > 0], k)
+    scale = rng.random(n) + 0.5
+    index.fill(examples, found, (dense / scale[:, None])[examples, found], scale)
+    queries = np.concatenate([dense[:60], np.zeros((1, terms))])
+    which, asked = np.nonzero(queries)
+    batch = index.nearest_of(which, asked, queries[which, asked], len(queries), k)
+    for query, (hit, cosine) in zip(queries, batch, strict=True):
         scores = dense @ query
         order = np.lexsort((ids, -np.round(scores, 12)))
         wanted = [i for i in order[:k] if scores[i] > 0]
@@ -143,44 +135,23 @@ def toxic_rows(n=240, seed=3):
     return rows
 
 
-def test_toxicity_equals_brute_force(spark):
-    rows = toxic_rows()
-    documents = frame(spark, [(i, t) for i, t, _ in rows]).repartition(3)
-    learned = [(i, y) for i, _, y in rows if i % 5]
-    labels = spark.createDataFrame(learned, "doc_id long, label int")
-    found = {r.doc_id: (r.score, r.evidence) for r in toxicity.toxicity(documents, labels, max_terms=20, k=9).collect()}
-    texts = [t for _, t, _ in rows]
-    sample = documents.select("doc_id", "text").join(labels, "doc_id")
-    sample = sample.selectExpr("doc_id", "cast(text as binary) text", "label")
-    terms = toxicity.choose_terms(sample, dict(collections.Counter(y for _, y in learned)), 20, toxicity.LEAST_CHI2)
-    present = [{f for w in set(split_words(t)) for f in toxicity.features(w)} for t in texts]
-    plain = [any(not set(toxicity.features(w)) & set(terms) for w in split_words(t)) for t in texts]
-    frequency = [sum(term in p for p in present) for term in terms] + [sum(plain)]
-    vecs = vectors(texts, terms, frequency, len(rows))
-    prior = sum(y for _, y in learned) / len(learned)
-    for i, vec in enumerate(vecs):
-        near = sorted(
-            ((-round(sum(x * vecs[j].get(t, 0.0) for t, x in vec.items()), 12), j, y) for j, y in learned), key=lambda x: x[:2]
-        )[:9]
-        near = [x for x in near if x[0] < 0]
-        mass = sum(-s for s, _, _ in near)
-        score = (sum(-s for s, _, y in near if y) + toxicity.SMOOTHING * prior) / (mass + toxicity.SMOOTHING)
-        assert abs(found[i][0] - score) < 1e-6
-        assert found[i][1] == [j for _, j, _ in near[:3]]
-    held = [(found[i][0] >= 0.3) == bool(y) for i, _, y in rows if i % 5 == 0]
-    assert sum(held) >= 0.95 * len(held)
-
-
-def test_toxicity_weighs_every_term_of_the_examples(spark):
+@pytest.mark.parametrize("per_class", [4000, 25])  # 25: fewer examples than labels of either class
+def test_toxicity_equals_brute_force_over_all_terms(spark, per_class):
     rows = toxic_rows()
     rows += [(1000, "The gnarlword, abcdefghijkl fox", 1), (1001, "gnarlwords lazy (x)", 0), (1002, "a dog of lazy mornings", 0)]
     learned = {i: y for i, _, y in rows if i % 5 or i == 1000}
     documents = frame(spark, [(i, t) for i, t, _ in rows]).repartition(3)
     labels = spark.createDataFrame(list(learned.items()), "doc_id long, label int")
-    found = {r.doc_id: r for r in toxicity.toxicity(documents, labels, k=9).collect()}
+    found = {r.doc_id: r for r in toxicity.toxicity(documents, labels, per_class=per_class, k=9).collect()}
     bags = {i: collections.Counter(f for w in split_words(t) for f in toxicity.features(w)) for i, t, _ in rows}
-    share, n = sum(learned.values()) / len(learned), collections.Counter(f for bag in bags.values() for f in bag)
-    of = {y: collections.Counter(f for i, label in learned.items() if label == y for f in bags[i]) for y in (0, 1)}
+    n, prior, totals = collections.Counter(f for b in bags.values() for f in b), sum(learned.values()) / len(learned), {}
+    hashed = {r.doc_id: r.h for r in labels.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    chosen = []
+    for y in (0, 1):
+        of_class = sorted((i for i in learned if learned[i] == y), key=lambda i: (hashed[i], i))
+        chosen, totals[y] = chosen + of_class[:per_class], len(of_class) / min(per_class, len(of_class))
+    share = sum(learned[i] for i in chosen) / len(chosen)
+    of = {y: collections.Counter(f for i in chosen if learned[i] == y for f in bags[i]) for y in (0, 1)}
     weight = {}
     for f in n:
         known = f in of[0] or f in of[1]
@@ -192,13 +163,15 @@ def test_toxicity_weighs_every_term_of_the_examples(spark):
         vec = {f: (1 + math.log(c)) * weight[f] for f, c in bag.items()}
         vecs[i] = {f: x / math.sqrt(sum(x * x for x in vec.values())) for f, x in vec.items()}
     for i, vec in vecs.items():
-        scores = {j: sum(x * vecs[j].get(f, 0.0) for f, x in vec.items()) for j in learned}
+        scores = {j: sum(x * vecs[j].get(f, 0.0) for f, x in vec.items()) for j in chosen}
         near = sorted((-round(x, 12), j) for j, x in scores.items() if x > 0)[:9]
-        mass, toxic = sum(-x for x, _ in near), sum(-x for x, j in near if learned[j])
-        assert abs(found[i].score - (toxic + toxicity.SMOOTHING * share) / (mass + toxicity.SMOOTHING)) < 1e-6
+        mass, toxic = sum(-x * totals[learned[j]] for x, j in near), sum(-x * totals[1] for x, j in near if learned[j])
+        assert abs(found[i].score - (toxic + toxicity.SMOOTHING * prior) / (mass + toxicity.SMOOTHING)) < 1e-6
         assert found[i].evidence == [j for _, j in near[:3]]
     plain = [found[i] for i, _, y in rows if not y and i < 1000]
-    assert len({r.score for r in plain}) == len(plain)  # no two texts without a telling word are the same
+    assert per_class < 4000 or len({r.score for r in plain}) == len(plain)  # no two without a telling word are the same
+    held = [(found[i].score >= 0.3) == bool(y) for i, _, y in rows if i % 5 == 0 and i < 1000]
+    assert per_class < 4000 or sum(held) >= 0.95 * len(held)
 
 
 def test_toxicity_edges(spark):
