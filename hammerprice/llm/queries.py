@@ -69,7 +69,7 @@ URL_RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-_TREE = {"depth": 4, "min_rows": 20, "z": 3.0, "weight": 10.0, "threshold": 0.8}
+_TREE = {"min_rows": 20, "min_values": 20, "z": 3.0, "weight": 10.0, "threshold": 0.8}
 
 
 @_query(url_filter.rules_sql(URL_RULES, **_TREE))

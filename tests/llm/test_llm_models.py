@@ -241,10 +241,41 @@ def test_templates_reject_what_resembles_blocked_urls(spark):
     found = {r.page_id: r for r in url_filter.judge_urls(frame_of, rules).collect()}
     assert len(found) == len(urls)
     assert {found[i].verdict for i in range(900, 1000)} == {"block"}  # no rule, but the template is a blocked one
-    assert {found[i].template for i in range(1000)} == {"/ads/*/*"}
+    assert {found[i].template for i in range(1000)} == {"/ads/#any/x"}
     assert {found[i].verdict for i in range(1500, 1550)} == {"allow"}
 
 
+def judged(spark, urls):
+    return url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), URL_RULES).collect()
+
+
+@pytest.mark.parametrize("many, few", [(995, 5), (60, 40), (15, 5), (3, 1)])
+def test_clean_pages_beside_blocked_ones_stay(spark, many, few):
+    found = judged(spark, [f"http://a.net/es/{i}" for i in range(many)] + [f"http://a.net/de/{i}" for i in range(few)])
+    assert [r.verdict for r in sorted(found)] == ["block"] * many + ["allow"] * few
+
+
+def test_similar_branches_merge_and_others_do_not(spark):
+    urls = [f"http://a.net/{s}/{i}" for s in ("es", "fr", "de", "en") for i in range(30)] + ["http://a.net/it"]
+    found = judged(spark, urls)
+    templates = {r.path.split("/")[1]: (r.template, r.verdict) for r in found}
+    assert {s: t for s, (t, _) in templates.items()} == {
+        "es": "/es#2/#rest", "fr": "/es#2/#rest", "de": "/de/#rest", "en": "/en/#rest", "it": "/#unlabelled",
+    }
+    assert {s for s, (_, verdict) in templates.items() if verdict == "block"} == {"es", "fr"}
+
+
+def test_templates_tell_deep_segments_apart(spark):
+    rules = [("block", "h.org", "/a/b/c/d/e/f/bad/"), ("allow", "h.org", "/a/b/c/d/e/f/good/")]
+    urls = [f"http://h.org/a/b/c/d/e/f/{s}/{i}" for s in ("bad", "good", "new") for i in range(40)]
+    urls += [f"http://h.org/a/b/c/d/e/f/{s}" for s in ("bad", "good")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: r for r in url_filter.judge_urls(pages, rules).collect()}
+    assert {found[i].verdict for i in range(40)} == {"block"}
+    assert {found[i].verdict for i in range(40, 122)} == {"allow"}
+    assert len({found[i].template for i in (0, 40, 80)}) == 3
+
+
 # --- neighbours ---
 
 
