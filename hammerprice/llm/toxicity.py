@@ -38,11 +38,9 @@ from hammerprice.llm.columns import id_and_bytes, map_slices, slices, written
 PER_CLASS = 4000
 EVIDENCE = 10.0
 NEIGHBOURS = 25
-BLOCK = 256
+BLOCK = 512
 #: A term that one in so many examples holds has an open list.
-COMMON = 12
-#: Bounds and scores are added up in different orders.
-SLACK = 1e-9
+COMMON = 20
 PREFIXES = range(4, 10)
 SMOOTHING = 0.5
 
@@ -58,8 +56,13 @@ def features(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b"*" for n in PREFIXES if n < len(word))]
 
 
-def feature_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Document, feature and number of occurrences, by document and feature, and the keys of the distinct features."""
+def feature_counts(
+    texts: list[bytes], counted: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]:
+    """Document, feature and number of occurrences, by document and feature, and the keys of the distinct features.
+
+    Without `counted` there are no numbers.
+    """
     chunks = Chunks(texts, words_and_signs, LOWER)
     words, distinct = pd.factorize(chunks.keys())
     at = np.empty(len(distinct), np.int64)
@@ -80,28 +83,34 @@ def feature_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
         feature.append(number[words[of[-1]]])
     every, of, keys = np.concatenate(feature), np.concatenate(of), np.concatenate(keys)
     size = max(1, len(keys))
-    pairs, each = np.unique(docs[of] * size + every, return_inverse=True)
+    pairs = docs[of] * size + every
+    if not counted:
+        pairs = np.unique(pairs)
+        return pairs // size, pairs % size, None, keys
+    pairs, each = np.unique(pairs, return_inverse=True)
     return pairs // size, pairs % size, np.bincount(each, weights=counts[of], minlength=len(pairs)).astype(np.int64), keys
 
 
-def _found(texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, place in the sorted `keys` (their number if absent) and number of occurrences of every feature."""
-    docs, codes, counts, own = feature_counts(texts)
+def _places(keys: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Places of `own` in the sorted `keys`, their number for what is absent."""
     place = np.searchsorted(keys, own)
     known = np.append(keys, np.uint64(0))[place] == own
-    return docs, np.where(known & (place < len(keys)), place, len(keys))[codes], counts
+    return np.where(known & (place < len(keys)), place, len(keys))
 
 
-Counter = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
+def _found(texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, place in the sorted `keys` (their number if absent) and number of occurrences of every feature."""
+    docs, codes, counts, own = feature_counts(texts)
+    return docs, _places(keys, own)[codes], counts
 
 
-def document_frequencies(texts: DataFrame, counted: Counter, size: int) -> np.ndarray:
-    """Number of documents of the whole corpus that hold each of `size` terms."""
+def document_frequencies(texts: DataFrame, places: Callable[[list[bytes]], np.ndarray], size: int) -> np.ndarray:
+    """Number of documents of the whole corpus that hold each of `size` terms; `places` gives those of some texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
         for part in slices(batches):
-            total += np.bincount(counted(part.column("text").to_pylist())[1], minlength=size + 1)
+            total += np.bincount(places(part.column("text").to_pylist()), minlength=size + 1)
         held = np.flatnonzero(total[:size])
         yield pa.RecordBatch.from_pydict({"term": pa.array(held, pa.int64()), "n": pa.array(total[held])})
 
@@ -111,13 +120,14 @@ def document_frequencies(texts: DataFrame, counted: Counter, size: int) -> np.nd
     return frequency
 
 
-def _weights(
-    docs: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray, n_docs: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """TF-IDF weights, and by document what scales them to length 1."""
-    weight = (1 + np.log(counts, dtype=np.float64)) * idf[terms]
-    norm = np.sqrt(np.bincount(docs, weights=weight * weight, minlength=n_docs))
-    return weight, 1 / np.where(norm > 0, norm, 1)
+def _weighted(counts: np.ndarray, idf: np.ndarray | float) -> np.ndarray:
+    return (1 + np.log(counts, dtype=np.float64)) * idf
+
+
+def _scale(docs: np.ndarray, weights: np.ndarray, n_docs: int) -> np.ndarray:
+    """What scales the vector of each document to length 1."""
+    norm = np.sqrt(np.bincount(docs, weights=weights * weights, minlength=n_docs))
+    return 1 / np.where(norm > 0, norm, 1)
 
 
 def _ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,35 +142,43 @@ class BlockMaxIndex:
     """Posting lists over the examples, which are cut into blocks of `block`.
 
     Long lists, of terms that at least one in `COMMON` examples holds, are kept open: by block, the weights of these terms
-    for every example, and their largest in the block. The others are lists of examples, one for each weight that a term has
-    before an example's vector is scaled. A batch of queries adds up its short lists first; what the long ones can add to a
-    block at most bounds it, and they are multiplied for those queries only whose bound reaches the k-th score that the
-    blocks before gave.
+    for every example, in single precision, their largest in the block, and the counts. The others are lists of examples,
+    one for each count that a term has in them. A batch of queries adds up its short lists first; what the long ones can add to a block
+    at most bounds it, and they are multiplied for those queries only whose bound reaches the k-th score that the blocks
+    before gave. These products, too, are of single precision; whatever is within their error of the k-th is added up
+    again from the counts in double precision.
     """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, class_weight: np.ndarray, idf: np.ndarray, block: int):
         self.ids, self.labels, self.class_weight, self.idf, self.block = ids, labels, class_weight, idf, block
         self.n_blocks = -(-len(ids) // block)
 
-    def fill(self, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray, scale: np.ndarray) -> BlockMaxIndex:
-        """`weights` of terms in examples, each example's to be multiplied by its `scale`."""
+    def fill(self, examples: np.ndarray, terms: np.ndarray, counts: np.ndarray, scale: np.ndarray) -> BlockMaxIndex:
+        """`counts` of terms in examples; `scale` makes each example's vector one of length 1."""
         self.scale = scale
         sizes = np.bincount(terms, minlength=len(self.idf))
         common = np.flatnonzero((sizes > 1) & (sizes * COMMON >= len(self.ids)))
         self.row = np.full(len(self.idf), -1, np.int32)
         self.row[common] = np.arange(len(common))
-        is_common = self.row[terms] >= 0
-        at, row = examples[is_common], self.row[terms[is_common]]
-        self.open = np.zeros((self.n_blocks, len(common), self.block))
-        self.open[at // self.block, row, at % self.block] = weights[is_common] * scale[at]
+        row = self.row[terms]
+        is_common = row >= 0
+        at, row, weights = examples[is_common], row[is_common], _weighted(counts[is_common], self.idf[terms[is_common]])
+        self.open = np.zeros((self.n_blocks, len(common), self.block), np.float32)
+        self.open[at // self.block, row, at % self.block] = weights * scale[at]
         self.maxima = self.open.max(axis=2, initial=0).T.copy()
-        examples, terms, weights = examples[~is_common], terms[~is_common], weights[~is_common]
-        order = np.lexsort((weights, terms))
-        terms, weights = terms[order], weights[order]
-        self.examples = examples[order].astype(np.min_scalar_type(max(0, len(self.ids) - 1)))
-        first = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(weights, prepend=-1) != 0))
-        self.bounds, self.weights = np.append(first, len(terms)), weights[first]
-        self.of_term = np.searchsorted(terms[first], np.arange(len(self.idf) + 1))
+        self.counts = np.zeros(self.open.shape, np.min_scalar_type(int(counts.max(initial=0))))
+        self.counts[at // self.block, row, at % self.block] = counts[is_common]
+        self.by_count = np.append(0, _weighted(np.arange(1, 1 + int(counts.max(initial=0))), 1.0))
+        self.slack = (len(common) + 4) * 2.0**-23  # twice the error of a sum of so many products, none above 1
+        each = 1 + int(counts.max(initial=0))
+        lists = terms[~is_common].astype(np.int64) * each + counts[~is_common]
+        order = np.argsort(lists)
+        lists = lists[order]
+        self.examples = examples[~is_common][order].astype(np.min_scalar_type(max(0, len(self.ids) - 1)))
+        first = np.flatnonzero(np.diff(lists, prepend=-1))
+        self.bounds, terms = np.append(first, len(lists)), lists[first] // each
+        self.weights = _weighted(lists[first] % each, self.idf[terms])
+        self.of_term = np.searchsorted(terms, np.arange(len(self.idf) + 1))
         return self
 
     def _short(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -180,30 +198,36 @@ class BlockMaxIndex:
         """
         row = self.row[terms]
         common = row >= 0
-        asked = np.zeros((n, self.open.shape[1]))
+        asked = np.zeros((n, self.open.shape[1]), np.float32)
         asked[queries[common], row[common]] = weights[common]
-        scores = np.zeros((n, self.n_blocks * self.block))
-        queries, terms, weights = queries[~common], terms[~common], weights[~common]
-        edges = np.searchsorted(queries, np.arange(n + 1)).tolist()
+        short = np.zeros((n, len(self.ids)))
+        edges = np.searchsorted(queries[~common], np.arange(n + 1)).tolist()
+        short_terms, short_weights = terms[~common], weights[~common]
         for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-            scores[i, : len(self.ids)] = self._short(terms[a:b], weights[a:b])
+            short[i] = self._short(short_terms[a:b], short_weights[a:b])
+        scores = np.zeros((n, self.n_blocks * self.block), np.float32)
+        scores[:, : len(self.ids)] = short
         by_block = scores.reshape(n, self.n_blocks, self.block)
         bound = by_block.max(axis=2, initial=0) + asked @ self.maxima
-        best = np.zeros((n, k))  # the largest scores so far, the k-th of them first
+        best = np.zeros((n, k), np.float32)  # the largest scores so far, the k-th of them first
         for j in np.argsort(-bound.sum(axis=0), kind="stable").tolist():
-            open_for = (bound[:, j] > 0) & (bound[:, j] >= best[:, 0] - SLACK)
-            some = np.flatnonzero(open_for)
-            by_block[~open_for, j] = 0
+            needs = (bound[:, j] > 0) & (bound[:, j] >= best[:, 0] - self.slack)
+            by_block[~needs, j] = 0
+            some = np.flatnonzero(needs)
             if len(some):
                 whole = slice(None) if len(some) == n else some
                 by_block[whole, j] += asked[whole] @ self.open[j]
                 merged = np.concatenate([best[whole], by_block[whole, j]], axis=1)
                 best[whole] = np.partition(merged, self.block, axis=1)[:, self.block :]
-        found = []
-        for own, least in zip(scores[:, : len(self.ids)], best[:, 0], strict=True):
-            hit = np.flatnonzero((own > 0) & (own >= least - SLACK))
-            order = np.lexsort((self.ids[hit], -np.round(own[hit], 12)))[:k]
-            found.append((hit[order], own[hit][order]))
+        edges = np.searchsorted(queries[common], np.arange(n + 1)).tolist()
+        row, weights, found = row[common], (weights * self.idf[terms])[common], []
+        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            own = scores[i, : len(self.ids)]
+            hit = np.flatnonzero(own >= max(best[i, 0] - self.slack, np.finfo(np.float32).tiny))
+            block, place = np.divmod(hit[:, None], self.block)
+            cosine = short[i, hit] + self.by_count[self.counts[block, row[a:b], place]] @ weights[a:b] * self.scale[hit]
+            order = np.lexsort((self.ids[hit], -np.round(cosine, 12)))[:k]
+            found.append((hit[order], cosine[order]))
         return found
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,7 +271,8 @@ class Examples:
             place[order] = np.arange(len(order))
             made = BlockMaxIndex(self.ids[order], self.labels[order], self.class_weight, idf, self.block)
             examples = np.repeat(place, sizes)
-            self.made = made.fill(examples, self.terms, *_weights(examples, self.terms, self.counts, idf, len(self.ids)))
+            scale = _scale(examples, _weighted(self.counts, idf[self.terms]), len(self.ids))
+            self.made = made.fill(examples, self.terms, self.counts, scale)
             self.terms = self.counts = None  # the task's copy: the index holds what it needs of them
         return self.made
 
@@ -324,19 +349,20 @@ def toxicity(
     keys = rows.keyed()
     held, size = spark.sparkContext.broadcast(keys), len(keys)
 
-    def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _found(some, held.value)
+    def places(some: list[bytes]) -> np.ndarray:
+        _, codes, _, own = feature_counts(some, counted=False)
+        return _places(held.value, own)[codes]
 
-    frequency = np.append(document_frequencies(texts, counted, size), 1.0)  # the last: terms of no example
+    frequency = np.append(document_frequencies(texts, places, size), 1.0)  # the last: terms of no example
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
     class_weight = np.array([totals.get(c, 0) / max(1, min(per_class, totals.get(c, 0))) for c in (0, 1)])
     held_rows = spark.sparkContext.broadcast(rows.weighted(idf, class_weight, block))
 
     def score(part: pa.RecordBatch) -> pa.RecordBatch:
         searched, n = held_rows.value.index(), part.num_rows
-        docs, found, counts = counted(part.column("text").to_pylist())
-        weights, scale = _weights(docs, found, counts, searched.idf, n)
-        weights = weights * scale[docs]
+        docs, found, counts = _found(part.column("text").to_pylist(), held.value)
+        weights = _weighted(counts, searched.idf[found])
+        weights *= _scale(docs, weights, n)[docs]
         known = found < size  # the others count in the length only
         docs, found, weights = docs[known], found[known], weights[known]
         near = searched.nearest_of(docs, found, weights, n, k)

@@ -104,14 +104,15 @@ def test_nearest_examples_are_exact(block, common, monkeypatch):
     monkeypatch.setattr(toxicity, "COMMON", common)
     rng = np.random.default_rng(block)
     n, terms, k = 150, 12, 7
-    dense = np.where(rng.random((n, terms)) < 0.3, rng.integers(1, 4, (n, terms)), 0).astype(float)
-    dense[:, 0] += dense.sum(axis=1) == 0
-    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    counts = np.where(rng.random((n, terms)) < 0.3, rng.integers(1, 4, (n, terms)), 0)
+    counts[:, 0] += counts.sum(axis=1) == 0
+    dense = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0)
+    scale = 1 / np.linalg.norm(dense, axis=1)
+    dense *= scale[:, None]
     ids = rng.permutation(n)
     index = toxicity.BlockMaxIndex(ids, np.zeros(n, np.int64), np.ones(2), np.ones(terms), block)
     examples, found = np.nonzero(dense)
-    scale = rng.random(n) + 0.5
-    index.fill(examples, found, (dense / scale[:, None])[examples, found], scale)
+    index.fill(examples, found, counts[examples, found], scale)
     queries = np.concatenate([dense[:60], np.zeros((1, terms))])
     which, asked = np.nonzero(queries)
     batch = index.nearest_of(which, asked, queries[which, asked], len(queries), k)
