@@ -9,8 +9,8 @@ holds count in its length, with the idf of a term of one document. Example vecto
 into blocks of examples. Queries come in batches: their short posting lists are added up example by example; the long ones,
 of terms that many examples hold, are kept by block with each term's largest weight there. The blocks' bounds (short part
 plus query times those maxima) order the search, and a block's long lists count only for queries whose bound reaches the
-k-th score so far, so the k nearest are exact. Their votes, weighted by cosine and by how thinly their class was sampled, and smoothed
-towards the share of that class among all labels, give the score; the nearest ids are the evidence.
+k-th score so far, so the k nearest are exact. Their votes, weighted by cosine and by how thinly their class was sampled,
+and smoothed towards the share of that class among all labels, give the score; the nearest ids are the evidence.
 
 The index is bounded by the texts of 2 * `per_class` examples and goes to every task; the corpus streams past it.
 
@@ -85,7 +85,8 @@ def feature_counts(
     size = max(1, len(keys))
     pairs = docs[of] * size + every
     if not counted:
-        pairs = np.unique(pairs)
+        pairs.sort()
+        pairs = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
         return pairs // size, pairs % size, None, keys
     pairs, each = np.unique(pairs, return_inverse=True)
     return pairs // size, pairs % size, np.bincount(each, weights=counts[of], minlength=len(pairs)).astype(np.int64), keys
