@@ -56,6 +56,13 @@ def test_one_header_per_directory_is_checked(spark, tmp_path):
         read_raw_csv(spark, str(tmp_path), header_per="row")
 
 
+def test_a_check_of_fields_does_not_parse_the_records_again(spark, tmp_path):
+    put(tmp_path / "a.csv", "month,town,price\n2020-01,A,1\n2020-02,,2\n")
+    got = read_raw_csv(spark, str(tmp_path)).where("month IS NOT NULL AND price IS NOT NULL AND coalesce(town, 'x') <> 'y'")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+    assert sorted(map(tuple, got.collect()), key=str) == [("2020-01", "A", "1"), ("2020-02", None, "2")]
+
+
 def test_records_that_lose_fields_stop_the_job_or_are_set_aside(spark, tmp_path):
     put(tmp_path / "a.csv", 'month,town\n2020-01,A\n2020-02,B,EXTRA\n2020-03\n2020-04,"x, y"\n')
     with pytest.raises(Exception, match="surplus fields in record"):
