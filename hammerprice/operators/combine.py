@@ -63,7 +63,7 @@ def _align_identical(frames: list[DataFrame], columns: list[str]) -> DataFrame:
     """`align_full` when every column is a key: only the number of copies of a row is open.
 
     A row without NULLs comes out as often as its counts in the frames that hold it multiply to; a row
-    with a NULL matches nothing, so its counts add up. One map-side combined aggregate replaces the
+    with a NULL matches nothing, so its counts add up. One aggregate, combined before its shuffle, replaces the
     joins, which also takes the heat out of repeated rows.
     """
     tagged = [f.select(*columns, F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
@@ -71,9 +71,11 @@ def _align_identical(frames: list[DataFrame], columns: list[str]) -> DataFrame:
     has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
     product = reduce(lambda a, b: a * b, [F.greatest(c, F.lit(1).cast("bigint")) for c in counts])
     total = reduce(lambda a, b: a + b, counts)
+    # A split of a file is few bytes, but its rows are many in a task's table of counts. So they are dealt out by what they
+    # weigh, equal ones together; by a hash, as by the columns themselves the parts of a hot row could not be split.
+    dealt = reduce(DataFrame.unionByName, tagged).withColumn("_hash", F.xxhash64(*columns)).hint("rebalance", F.col("_hash"))
     counted = (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy(*columns)
+        dealt.groupBy(*columns)
         .agg(product.alias("_product"), total.alias("_total"))
         .withColumn("_copies", F.when(has_null, F.col("_total")).otherwise(F.col("_product")))
     )

@@ -92,6 +92,14 @@ def test_align_full_of_identical_columns(spark, monkeypatch, chunk):
     assert rows_of(got) == sorted(((r["k"], r["v"]) for r in want), key=str)
 
 
+def test_identical_columns_are_counted_in_parts_of_bounded_size(spark):
+    a, b = frame(spark, [("x", 1), ("x", 1)], "k string, v int"), frame(spark, [("x", 1), (None, 2)], "k string, v int")
+    got = align_full([a, b])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [_hash" in plan[plan.index("Aggregate [k"):]
+    assert sorted(map(tuple, got.collect()), key=str) == [("x", 1), ("x", 1), (None, 2)]
+
+
 def test_align_full_refuses(spark):
     a, b = frame(spark, [(1, 2)], "k int, x int"), frame(spark, [(1, 2)], "k int, x int")
     with pytest.raises(ValueError, match="share no column"):
