@@ -123,7 +123,8 @@ def words_and_signs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     starts, ends = white_space_words(data, offsets)
     cuts = letter_sign_cuts(data)
     cuts = cuts[~np.isin(cuts, offsets)]
-    return np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+    # two sorted runs each, which a stable sort merges
+    return tuple(np.sort(np.concatenate([part, cuts]), kind="stable") for part in (starts, ends))
 
 
 def cut_before(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -41,6 +41,8 @@ NEIGHBOURS = 25
 BLOCK = 512
 #: A term that one in so many examples holds has an open list.
 COMMON = 20
+#: Examples are put into blocks by so many of the terms that most of them hold.
+LIKENESS = 1024
 PREFIXES = range(4, 10)
 SMOOTHING = 0.5
 
@@ -61,14 +63,15 @@ def feature_counts(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]:
     """Document, feature and number of occurrences, by document and feature, and the keys of the distinct features.
 
-    Without `counted` there are no numbers.
+    Without `counted` there are no numbers and no order.
     """
     chunks = Chunks(texts, words_and_signs, LOWER)
     words, distinct = pd.factorize(chunks.keys())
     at = np.empty(len(distinct), np.int64)
     at[words[::-1]] = np.arange(len(words) - 1, -1, -1)
     docs, n = np.repeat(np.arange(len(texts)), np.diff(chunks.first)), max(1, len(distinct))
-    pairs, counts = np.unique(docs * n + words, return_counts=True)
+    pairs = docs * n + words
+    pairs, counts = np.unique(pairs, return_counts=True) if counted else (pd.unique(pairs), None)
     docs, words = pairs // n, pairs % n
     length, beginning = (chunks.ends - chunks.starts)[at], copy.copy(chunks)
     keys, feature, of = [distinct], [words], [np.arange(len(words))]
@@ -85,22 +88,21 @@ def feature_counts(
     size = max(1, len(keys))
     pairs = docs[of] * size + every
     if not counted:
-        pairs.sort()
-        pairs = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
+        pairs = pd.unique(pairs)
         return pairs // size, pairs % size, None, keys
     pairs, each = np.unique(pairs, return_inverse=True)
     return pairs // size, pairs % size, np.bincount(each, weights=counts[of], minlength=len(pairs)).astype(np.int64), keys
 
 
-def _places(keys: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Places of `own` in the sorted `keys`, their number for what is absent."""
-    place = np.searchsorted(keys, own)
-    known = np.append(keys, np.uint64(0))[place] == own
-    return np.where(known & (place < len(keys)), place, len(keys))
+def _places(keys: pd.Index, own: np.ndarray) -> np.ndarray:
+    """Places of `own` in `keys`, their number for what is absent; the index keeps its hash table."""
+    place = keys.get_indexer(own)
+    place[place < 0] = len(keys)
+    return place
 
 
-def _found(texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, place in the sorted `keys` (their number if absent) and number of occurrences of every feature."""
+def _found(texts: list[bytes], keys: pd.Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, place in `keys` (their number if absent) and number of occurrences of every feature."""
     docs, codes, counts, own = feature_counts(texts)
     return docs, _places(keys, own)[codes], counts
 
@@ -142,12 +144,13 @@ def _ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class BlockMaxIndex:
     """Posting lists over the examples, which are cut into blocks of `block`.
 
-    Long lists, of terms that at least one in `COMMON` examples holds, are kept open: by block, the weights of these terms
-    for every example, in single precision, their largest in the block, and the counts. The others are lists of examples,
-    one for each count that a term has in them. A batch of queries adds up its short lists first; what the long ones can add to a block
-    at most bounds it, and they are multiplied for those queries only whose bound reaches the k-th score that the blocks
-    before gave. These products, too, are of single precision; whatever is within their error of the k-th is added up
-    again from the counts in double precision.
+    Long lists, of terms that at least one in `COMMON` examples holds, are kept open: by block, the weights
+    of the terms that it holds for every example of it, in single precision, and their largest there; beside them the counts.
+    The others are lists of examples, one for each count that a term has in them. A batch of queries adds up its short lists
+    first; what the long ones can add to a block at most bounds it, and they are multiplied for those queries only whose
+    bound reaches the k-th score that the blocks before gave; the block of its largest bound is a query's first. These
+    products, too, are of single precision; whatever is within their error of the k-th is added up again from the counts in
+    double precision.
     """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, class_weight: np.ndarray, idf: np.ndarray, block: int):
@@ -161,26 +164,35 @@ class BlockMaxIndex:
         common = np.flatnonzero((sizes > 1) & (sizes * COMMON >= len(self.ids)))
         self.row = np.full(len(self.idf), -1, np.int32)
         self.row[common] = np.arange(len(common))
-        row = self.row[terms]
-        is_common = row >= 0
-        at, row, weights = examples[is_common], row[is_common], _weighted(counts[is_common], self.idf[terms[is_common]])
-        self.open = np.zeros((self.n_blocks, len(common), self.block), np.float32)
-        self.open[at // self.block, row, at % self.block] = weights * scale[at]
-        self.maxima = self.open.max(axis=2, initial=0).T.copy()
-        self.counts = np.zeros(self.open.shape, np.min_scalar_type(int(counts.max(initial=0))))
-        self.counts[at // self.block, row, at % self.block] = counts[is_common]
-        self.by_count = np.append(0, _weighted(np.arange(1, 1 + int(counts.max(initial=0))), 1.0))
+        is_common, most = self.row[terms] >= 0, int(counts.max(initial=0))
+        self._fill_short(examples[~is_common], terms[~is_common], counts[~is_common], 1 + most)
+        examples, terms, counts = examples[is_common], terms[is_common], counts[is_common]
+        at, row, weights = examples, self.row[terms], _weighted(counts, self.idf[terms])
+        dense = np.zeros((self.n_blocks, len(common), self.block), np.float32)
+        dense[at // self.block, row, at % self.block] = weights * scale[at]
+        self.maxima = dense.max(axis=2, initial=0).T.copy()
+        self.held = [np.flatnonzero(largest) for largest in self.maxima.T]
+        self.open = [lists[held] for lists, held in zip(dense, self.held, strict=True)]
+        del dense
+        self.counts = np.zeros((len(self.ids), len(common)), np.min_scalar_type(most))
+        self.counts[at, row] = counts
+        self.by_count = np.append(0, _weighted(np.arange(1, 1 + most), 1.0))
         self.slack = (len(common) + 4) * 2.0**-23  # twice the error of a sum of so many products, none above 1
-        each = 1 + int(counts.max(initial=0))
-        lists = terms[~is_common].astype(np.int64) * each + counts[~is_common]
+        return self
+
+    def _fill_short(self, examples: np.ndarray, terms: np.ndarray, counts: np.ndarray, each: int) -> None:
+        """`each` is more than any count."""
+        examples = examples.astype(np.min_scalar_type(max(0, len(self.ids) - 1)))
+        lists = terms.astype(np.int64)
+        lists *= each
+        lists += counts
         order = np.argsort(lists)
-        lists = lists[order]
-        self.examples = examples[~is_common][order].astype(np.min_scalar_type(max(0, len(self.ids) - 1)))
+        self.examples, lists = examples[order], lists[order]
+        del order
         first = np.flatnonzero(np.diff(lists, prepend=-1))
         self.bounds, terms = np.append(first, len(lists)), lists[first] // each
         self.weights = _weighted(lists[first] % each, self.idf[terms])
         self.of_term = np.searchsorted(terms, np.arange(len(self.idf) + 1))
-        return self
 
     def _short(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What the short lists of the terms give each example."""
@@ -188,7 +200,7 @@ class BlockMaxIndex:
         weights = np.repeat(weights, sizes) * self.weights[lists]
         at, sizes = _ranges(self.bounds[lists], self.bounds[lists + 1])
         each = np.repeat(weights, sizes)
-        return np.bincount(self.examples[at], weights=each, minlength=len(self.ids)) * self.scale
+        return np.bincount(self.examples.take(at, mode="clip"), weights=each, minlength=len(self.ids)) * self.scale
 
     def nearest_of(
         self, queries: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int
@@ -199,7 +211,7 @@ class BlockMaxIndex:
         """
         row = self.row[terms]
         common = row >= 0
-        asked = np.zeros((n, self.open.shape[1]), np.float32)
+        asked = np.zeros((n, len(self.maxima)), np.float32)
         asked[queries[common], row[common]] = weights[common]
         short = np.zeros((n, len(self.ids)))
         edges = np.searchsorted(queries[~common], np.arange(n + 1)).tolist()
@@ -211,13 +223,15 @@ class BlockMaxIndex:
         by_block = scores.reshape(n, self.n_blocks, self.block)
         bound = by_block.max(axis=2, initial=0) + asked @ self.maxima
         best = np.zeros((n, k), np.float32)  # the largest scores so far, the k-th of them first
-        for j in np.argsort(-bound.sum(axis=0), kind="stable").tolist():
-            needs = (bound[:, j] > 0) & (bound[:, j] >= best[:, 0] - self.slack)
-            by_block[~needs, j] = 0
+        order, likely = np.argsort(-bound.sum(axis=0), kind="stable").tolist(), np.argsort(-bound, axis=1)
+        for j, is_first in [(j, is_first) for is_first in (True, False) for j in order]:
+            asking = (likely[:, 0] == j) == is_first
+            needs = asking & (bound[:, j] > 0) & (bound[:, j] >= best[:, 0] - self.slack)
+            by_block[asking & ~needs, j] = 0
             some = np.flatnonzero(needs)
             if len(some):
                 whole = slice(None) if len(some) == n else some
-                by_block[whole, j] += asked[whole] @ self.open[j]
+                by_block[whole, j] += asked[whole].take(self.held[j], axis=1) @ self.open[j]
                 merged = np.concatenate([best[whole], by_block[whole, j]], axis=1)
                 best[whole] = np.partition(merged, self.block, axis=1)[:, self.block :]
         edges = np.searchsorted(queries[common], np.arange(n + 1)).tolist()
@@ -225,8 +239,8 @@ class BlockMaxIndex:
         for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
             own = scores[i, : len(self.ids)]
             hit = np.flatnonzero(own >= max(best[i, 0] - self.slack, np.finfo(np.float32).tiny))
-            block, place = np.divmod(hit[:, None], self.block)
-            cosine = short[i, hit] + self.by_count[self.counts[block, row[a:b], place]] @ weights[a:b] * self.scale[hit]
+            held = self.counts[hit[:, None], row[a:b]]
+            cosine = short[i, hit] + self.by_count[held] @ weights[a:b] * self.scale[hit]
             order = np.lexsort((self.ids[hit], -np.round(cosine, 12)))[:k]
             found.append((hit[order], cosine[order]))
         return found
@@ -246,11 +260,17 @@ class Examples:
         self.ids, self.labels, self.first, self.terms = ids, labels, first, terms
         self.counts = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
-    def keyed(self) -> np.ndarray:
-        """The distinct terms, sorted keys; from now on terms are numbers in them."""
-        keys = np.unique(self.terms.view(np.uint64))
-        self.terms = np.searchsorted(keys, self.terms.view(np.uint64)).astype(np.int32)
-        return keys
+    def keyed(self) -> pd.Index:
+        """Keys of the distinct terms; from now on terms are numbers in them.
+
+        What most examples hold comes first, so that the lists that are read most lie side by side.
+        """
+        keys, sizes = np.unique(self.terms.view(np.uint64), return_counts=True)
+        order = np.argsort(-sizes, kind="stable")
+        number = np.empty(len(keys), np.int32)
+        number[order] = np.arange(len(keys), dtype=np.int32)
+        self.terms = number[np.searchsorted(keys, self.terms.view(np.uint64))]
+        return pd.Index(keys[order])
 
     def weighted(self, idf: np.ndarray, class_weight: np.ndarray, block: int) -> Examples:
         """Terms weigh idf times `class_factors`."""
@@ -262,21 +282,43 @@ class Examples:
     def index(self) -> BlockMaxIndex:
         """The index, made once in a process."""
         if "made" not in self.__dict__:
-            idf, sizes = self.idf, np.diff(self.first)
-            heaviest = np.zeros(len(self.ids), np.int64)
-            for i, (a, b) in enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True)):
-                held = self.terms[a:b]
-                heaviest[i] = held[idf[held] == idf[held].max()].max()
-            order = np.lexsort((self.ids, heaviest, self.labels))  # blocks of a kind
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            made = BlockMaxIndex(self.ids[order], self.labels[order], self.class_weight, idf, self.block)
-            examples = np.repeat(place, sizes)
+            idf, examples = self.idf, np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.first))
             scale = _scale(examples, _weighted(self.counts, idf[self.terms]), len(self.ids))
-            self.made = made.fill(examples, self.terms, self.counts, scale)
+            order = self._by_likeness(examples, scale)
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            np.take(place, examples, out=examples, mode="clip")
+            made = BlockMaxIndex(self.ids[order], self.labels[order], self.class_weight, idf, self.block)
+            self.made = made.fill(examples, self.terms, self.counts, scale[order])
             self.terms = self.counts = None  # the task's copy: the index holds what it needs of them
         return self.made
 
+    def _by_likeness(self, examples: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        """An order of the examples that puts like ones into one block, so that a block's bound tells them from others.
+
+        They are halved along the direction in which their vectors of the `LIKENESS` most held terms differ most, until
+        a half fits a block.
+        """
+        some = self.terms < LIKENESS
+        vectors = np.zeros((len(self.ids), min(LIKENESS, len(self.idf))), np.float32)
+        at, terms = examples[some], self.terms[some]
+        vectors[at, terms] = _weighted(self.counts[some], self.idf[terms]) * scale[at]
+        order, open_parts = np.argsort(self.ids), [(0, len(self.ids))]
+        while open_parts:
+            a, b = open_parts.pop()
+            if b - a <= self.block:
+                continue
+            part = vectors[order[a:b]]
+            part -= part.mean(axis=0)
+            direction = part[np.argmax(np.einsum("ij,ij->i", part, part))]
+            for _ in range(6):
+                direction = (part @ direction) @ part
+                direction /= max(np.linalg.norm(direction), np.finfo(np.float32).tiny)
+            order[a:b] = order[a:b][np.argsort(part @ direction, kind="stable")]
+            middle = a + -(-(b - a) // (2 * self.block)) * self.block
+            open_parts += [(a, middle), (middle, b)]
+        return order
+
     def __getstate__(self) -> dict:
         return {name: value for name, value in self.__dict__.items() if name != "made"}
 

@@ -124,6 +124,21 @@ def test_nearest_examples_are_exact(block, common, monkeypatch):
         assert np.allclose(cosine, scores[wanted])
 
 
+@pytest.mark.parametrize("n", [64, 57, 16, 1])
+def test_blocks_hold_examples_of_a_kind(n):
+    rng, kinds, block = np.random.default_rng(n), np.arange(n) % 2, 16
+    words = rng.permutation(200).reshape(2, 100)  # of either kind, their keys mixed
+    held = [np.sort(rng.choice(words[kind], 30, replace=False)) for kind in kinds]
+    first, terms = 30 * np.arange(n + 1), np.concatenate(held)
+    examples = toxicity.Examples(rng.permutation(n), np.zeros(n, np.int64), first, terms, np.ones(len(terms), np.int64))
+    idf = np.ones(len(examples.keyed()))
+    index = examples.weighted(idf, np.ones(2), block).index()
+    assert sorted(index.ids) == list(range(n))
+    kind_of = dict(zip(examples.ids.tolist(), kinds.tolist(), strict=True))
+    mixed = [len({kind_of[i] for i in index.ids[a : a + block].tolist()}) == 2 for a in range(0, n, block)]
+    assert sum(mixed) <= bool(kinds.sum() % block)  # at most where one kind ends
+
+
 def toxic_rows(n=240, seed=3):
     rng = random.Random(seed)
     rows = []
