@@ -36,6 +36,8 @@ SENTENCE_PENALTY = 16.0
 HARD_PENALTY = 64.0
 HARD_STEP = 128
 STRETCH = 1 << 20
+#: Chunks in each of the two generations a worker remembers; rare ones never end, and every worker of an executor has its own.
+KNOWN_CHUNKS = 150_000
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -69,28 +71,39 @@ class WordTokenizer:
         self.ends, self.sentence = ends, sentence
         self.packed = [i.to_bytes(4, "little") for i in range(size)]
         self.find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.chunks = Memo(lambda chunk: self._whole(chunk), entries=400_000)
+        self.chunks = Memo(lambda chunk: self._whole(chunk), entries=KNOWN_CHUNKS)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         special = [b"<|" in text for text in texts]
         chunks = Chunks([b"" if s else text for text, s in zip(texts, special, strict=True)], words_and_signs, LOWER)
         codes, distinct = chunks.distinct()
-        self._learn(distinct)
+        long = self._learn(distinct)
         ids = gathered(codes, [self.chunks[chunk] for chunk in distinct], chunks.first)
+        for chunk in long:
+            self.chunks.pop(chunk, None)
+            self.chunks.older.pop(chunk, None)
         return [self._whole(text) if s else found for text, s, found in zip(texts, special, ids, strict=True)]
 
     def _whole(self, text: bytes) -> bytes:
         ids = self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        """Put the new ones of `chunks` into the memo.
+    def _learn(self, chunks: list[bytes]) -> list[bytes]:
+        """Put the new ones of `chunks` into the memo; returns those too long to stay there.
 
         Words of ASCII are what the library's pre-tokenizer makes of them, so its model gets them at once.
         """
-        known, older, model, packed = self.chunks, self.chunks.older, self.library.model.tokenize, self.packed
-        new = [chunk for chunk in chunks if chunk not in known and chunk not in older]
-        known.make_room(len(new))
+        known, model, packed = self.chunks, self.library.model.tokenize, self.packed
+        absent = [chunk for chunk in chunks if chunk not in known]
+        if len(known) + len(absent) > known.entries:
+            known.make_room(len(absent))
+            absent = chunks
+        older, new = known.older, []
+        for chunk in absent:
+            if (value := older.get(chunk)) is None:
+                new.append(chunk)
+            else:
+                known[chunk] = value  # older ones go when there is no more room
         split: dict[bytes, list[str]] = {}
         for chunk in new:
             if chunk.isalpha():
@@ -113,6 +126,7 @@ class WordTokenizer:
             for chunk in some:
                 last, word = word, word + len(split[chunk])
                 known[chunk] = joined[ends[last] : ends[word]]
+        return [chunk for chunk in new if len(chunk) > known.longest]
 
 
 @lru_cache(maxsize=1)

@@ -44,6 +44,8 @@ PART = 2 << 20
 #: Stretches compared at a time, and the largest number of classes of one anchor that is compared by columns.
 BATCH_ROWS = 50_000
 GROUP_ROWS = 200_000
+#: Stretches put into columns at a time: an index of all their bytes would be many times the columns.
+FILL_ROWS = 4096
 
 #: Where a document without an id stands in the order.
 NO_ID = (1 << 63) - 1
@@ -133,10 +135,12 @@ class Columns:
         sizes = before - after + length
         self.width = self.reach + length
         self.symbols = np.zeros((self.width, n), np.uint16)  # 0: outside the stretch
-        flat = np.frombuffer(b"".join(stretches), np.uint8).astype(np.uint16) + 1
-        row = np.repeat(np.arange(n), sizes)
-        column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.reach - before, sizes)
-        self.symbols[column, row] = flat
+        for start in range(0, n, FILL_ROWS):
+            some = slice(start, start + FILL_ROWS)
+            flat, each = np.frombuffer(b"".join(stretches[some]), np.uint8), sizes[some]
+            row = np.repeat(np.arange(start, start + len(each)), each)
+            column = np.arange(len(flat)) + np.repeat(self.reach - before[some] - (np.cumsum(each) - each), each)
+            self.symbols[column, row] = flat.astype(np.uint16) + 1
 
     def repeated(self) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest distance of a repeated string's start before the anchor, by row; -1 where none is."""

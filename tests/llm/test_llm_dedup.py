@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -307,3 +308,18 @@ def test_repeats_query(spark, small):
     found = QUERIES["op6_suffix_dedup"](spark, small).collect()
     wanted = {i: (n, removed, runs, hashlib.sha256(kept).hexdigest()) for i, (n, removed, runs, kept) in repeats_brute(rows, 100).items()}
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == wanted
+
+
+def test_columns_are_filled_without_an_index_of_all_bytes():
+    rows = 20_000
+    data = np.random.default_rng(5).integers(0, 256, rows * 199, dtype=np.uint8).tobytes()
+    stretches = [data[i * 199 : (i + 1) * 199] for i in range(rows)]
+    before, after = np.full(rows, 68), np.zeros(rows, np.int64)
+    stretches = [x[:168] for x in stretches]
+    tracemalloc.start()
+    columns = suffix_dedup.Columns(np.zeros(rows, np.int64), before, after, stretches, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * columns.symbols.nbytes
+    for i in (0, 4095, 4096, rows - 1):
+        assert (columns.symbols[:, i] - 1).astype(np.uint8).tobytes() == stretches[i]

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -167,3 +168,28 @@ def test_word_ids_equal_the_library():
     found = tokenizer.encode([text.encode() for text in texts()])
     wanted = [library_of.encode(text, add_special_tokens=False).ids for text in texts()]
     assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == wanted
+
+
+def test_words_that_never_end_do_not_fill_a_worker():
+    """What a worker remembers is bounded in chunks and bytes, and ids are the library's however often it forgets."""
+    tokenizer, library_of = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(w) for w in itertools.product(letters, repeat=4)][:400_000]
+    texts = [" ".join(words[i : i + 1000]) + " caf\u00e9 " + "the" * (2000 + i // 1000) for i in range(0, len(words), 1000)]
+    for start in range(0, len(texts), 20):
+        found = tokenizer.encode([text.encode() for text in texts[start : start + 20]])
+        held = [*tokenizer.chunks.items(), *tokenizer.chunks.older.items()]
+        assert len(held) <= 320_000 and sum(len(k) + len(v) for k, v in held) < 10 << 20
+        for i in (0, 19):
+            assert np.frombuffer(found[i], "<u4").tolist() == library_of.encode(texts[start + i], add_special_tokens=False).ids
+    again = tokenizer.encode([texts[0].encode()])[0]  # long forgotten
+    assert np.frombuffer(again, "<u4").tolist() == library_of.encode(texts[0], add_special_tokens=False).ids
+
+
+def test_ids_stay_right_when_a_slice_holds_more_chunks_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_CHUNKS", 7)
+    tokenizer, library_of = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    for some in (texts(), texts()[::-1], texts()[:5]):
+        found = tokenizer.encode([text.encode() for text in some])
+        wanted = [library_of.encode(text, add_special_tokens=False).ids for text in some]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == wanted
