@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hammerprice.session import materialize
+from hammerprice.session import dropping_shuffles, materialize
 
 _CHUNK = 100_000
+#: Hashes of repeated rows that every task may hold.
+_FEW = 1_000_000
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -62,27 +64,49 @@ def _full_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 def _align_identical(frames: list[DataFrame], columns: list[str]) -> DataFrame:
     """`align_full` when every column is a key: only the number of copies of a row is open.
 
-    A row without NULLs comes out as often as its counts in the frames that hold it multiply to; a row
-    with a NULL matches nothing, so its counts add up. One aggregate, combined before its shuffle, replaces the
-    joins, which also takes the heat out of repeated rows.
+    A row whose hash no other row has comes out once, and is not moved at all: hashes alone are shuffled to find the others,
+    which are compared and counted in full. So the frames are read twice; those that could tell something else the second
+    time are written first.
     """
+    frames = [f if f._jdf.queryExecution().analyzed().deterministic() else materialize(f, "aligned") for f in frames]
     tagged = [f.select(*columns, F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
-    counts = [F.count_if(F.col("_frame") == i) for i in range(len(frames))]
+    hashed = reduce(DataFrame.unionByName, tagged).withColumn("_hash", F.xxhash64(*columns))
+    repeated = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    with dropping_shuffles(hashed.sparkSession):
+        repeated = materialize(repeated, "repeated-hashes")
+    n = repeated.count()
+    if not n:
+        return hashed.select(*columns)
+    if n > _FEW:
+        return _multiplied(hashed, len(frames), columns)
+    lone = hashed.join(F.broadcast(repeated), "_hash", "left_anti").select(*columns)
+    again = hashed.join(F.broadcast(repeated), "_hash", "left_semi")
+    return lone.unionAll(_multiplied(again, len(frames), columns))
+
+
+def _multiplied(hashed: DataFrame, frames: int, columns: list[str]) -> DataFrame:
+    """A row without NULLs as often as its counts in the frames that hold it multiply to; a row with a NULL matches nothing,
+    so its counts add up. One aggregate, combined before its shuffle, replaces the joins, which also takes the heat out of
+    repeated rows.
+    """
+    counts = [F.count_if(F.col("_frame") == i) for i in range(frames)]
     has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
     product = reduce(lambda a, b: a * b, [F.greatest(c, F.lit(1).cast("bigint")) for c in counts])
     total = reduce(lambda a, b: a + b, counts)
     # A split of a file is few bytes, but its rows are many in a task's table of counts. So they are dealt out by what they
     # weigh, equal ones together; by a hash, as by the columns themselves the parts of a hot row could not be split.
-    dealt = reduce(DataFrame.unionByName, tagged).withColumn("_hash", F.xxhash64(*columns)).hint("rebalance", F.col("_hash"))
     counted = (
-        dealt.groupBy(*columns)
+        hashed.hint("rebalance", F.col("_hash"))
+        .groupBy(*columns)
         .agg(product.alias("_product"), total.alias("_total"))
         .withColumn("_copies", F.when(has_null, F.col("_total")).otherwise(F.col("_product")))
     )
-    # Copies unfold chunk by chunk, and the chunks of a row with very many spread over the cluster before they do.
-    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_CHUNK}"))))
+    # Copies unfold chunk by chunk, and the chunks of a row with very many spread over the cluster before they do; no others move.
+    few = _repeat_rows(counted.where(F.col("_copies") <= _CHUNK), F.col("_copies"), columns)
+    many = counted.where(F.col("_copies") > _CHUNK)
+    chunks = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_CHUNK}"))))
     chunks = chunks.withColumn("_copies", F.least(F.lit(_CHUNK), F.col("_copies") - F.col("_chunk") * _CHUNK))
-    return _repeat_rows(chunks.hint("rebalance"), F.col("_copies"), columns)
+    return few.unionAll(_repeat_rows(chunks.hint("rebalance"), F.col("_copies"), columns))
 
 
 def _repeat_rows(df: DataFrame, copies: Column, columns: list[str]) -> DataFrame:

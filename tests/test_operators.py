@@ -100,6 +100,57 @@ def test_identical_columns_are_counted_in_parts_of_bounded_size(spark):
     assert sorted(map(tuple, got.collect()), key=str) == [("x", 1), ("x", 1), (None, 2)]
 
 
+def rows_shuffled(df):
+    """Rows that the exchanges of the plan wrote when `df` was collected."""
+    def walk(node):
+        parts = [node.children().apply(i) for i in range(node.children().size())]
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            parts.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            parts.append(node.plan())
+        own = node.metrics().get("shuffleRecordsWritten").get().value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(map(walk, parts))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_identical_columns_move_only_rows_that_repeat(spark):
+    a = spark.range(2000).selectExpr("cast(id as string) AS k", "id AS v")
+    got = align_full([a, frame(spark, [("7", 7), ("7", 7), ("x", 1), (None, 1)], "k string, v long")])
+    assert len(got.collect()) == 2003
+    assert rows_shuffled(got) < 10  # all 2004 went through three exchanges
+
+
+@pytest.mark.parametrize("few", [0, 3, 1_000_000])
+def test_identical_columns_with_many_or_few_rows_that_repeat(spark, monkeypatch, few):
+    from hammerprice.operators import combine
+
+    monkeypatch.setattr(combine, "_FEW", few)
+    schema = "k string, v double"
+    a = [("x", 0.0), ("x", -0.0), ("y", math.nan), (None, 1.0), ("once", 1.0), (None, None), ("z", 2.0), ("z", 2.0)]
+    b = [("x", 0.0), ("y", math.nan), ("y", math.nan), (None, 1.0), ("other", 1.0), ("z", 2.0), ("z", 2.0)]
+    got = align_full([frame(spark, a, schema), frame(spark, b, schema)]).groupBy("k", "v").count()
+    found = {(k, "nan" if v is not None and math.isnan(v) else v): n for k, v, n in map(tuple, got.collect())}
+    assert found == {
+        ("x", 0.0): 2, ("y", "nan"): 2, (None, 1.0): 2, ("once", 1.0): 1, ("other", 1.0): 1, (None, None): 1, ("z", 2.0): 4,
+    }
+
+
+def test_identical_columns_of_frames_that_change_are_written_first(spark):
+    drawn = spark.range(50).select("id", F.rand().alias("v"))
+    assert align_full([drawn, drawn.select("id", F.rand().alias("v"))]).count() == 100
+
+
+def test_shuffles_are_dropped_only_inside(spark):
+    from hammerprice import session
+
+    before = spark.conf.get(session._DROP_SHUFFLES)
+    with session.dropping_shuffles(spark), session.dropping_shuffles(spark):
+        assert spark.conf.get(session._DROP_SHUFFLES) == "true"
+    assert spark.conf.get(session._DROP_SHUFFLES) == before == "false"
+
+
 def test_align_full_refuses(spark):
     a, b = frame(spark, [(1, 2)], "k int, x int"), frame(spark, [(1, 2)], "k int, x int")
     with pytest.raises(ValueError, match="share no column"):
